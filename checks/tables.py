@@ -6,8 +6,13 @@ independently, so every registered query is checked from the raw tables up.
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,9 +66,163 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("source").isin("src0", "src1"), "ORGA").otherwise("COMP").alias("entity_type"),
         F.concat(F.lit("Entity "), entity).alias("entity_name"),
         F.when(F.col("lang") == "en", "US").otherwise("XX").alias("country_code"),
-        (80 + F.length("source") * 4 + F.col("doc_id") % 9).alias("relevance"),
+        (70 + F.length("source") * 4 + F.col("doc_id") % 9).alias("relevance"),
         F.col("source").alias("source_name"),
         F.lit("P").alias("provider_id"),
         (F.col("doc_id") / 2).cast("bigint").cast("string").alias("provider_story_id"),
         F.substring_index("text", "\n", 1).alias("headline"),
     )
+
+
+def _h1() -> Column:
+    return F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)
+
+
+def _slug() -> Column:
+    """URL slug of a page title: letters, digits and an encoded ampersand."""
+    kept = F.trim(F.regexp_replace(_h1(), r"[^\p{L}\p{N}& ]", ""))
+    return F.replace(F.replace(kept, F.lit("&"), F.lit("%26")), F.lit(" "), F.lit("-"))
+
+
+def _moment(key: str) -> Column:
+    return _day(key).cast("timestamp") + F.make_dt_interval(F.lit(0), (F.col(key) % 24).cast("int"))
+
+
+def web_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw page extract; pages served over plain http appear twice."""
+    title = F.regexp_extract("html", r"(?s)<title[^>]*>(.*?)</title>", 1)
+    titled = F.concat(F.lit("<LINKS>x</LINKS><PAGE_TITLE>"), title, F.lit("</PAGE_TITLE>"))
+    pages = table(spark, folder, "pages")
+    return pages.unionByName(pages.filter(F.col("url").startswith("http:"))).select(
+        F.date_format(_moment("page_id"), "yyyyMMddHHmmss").cast("bigint").alias("DATE"),
+        F.col("url").alias("DocumentIdentifier"),
+        F.regexp_extract(_host(F.col("url")), r"([^.]+\.[^.]+)$", 1).alias("SourceCommonName"),
+        F.when(F.col("url").contains("utm_source"), "<LINKS>x</LINKS>").otherwise(titled).alias("Extras"),
+        F.when(~F.col("html").contains('lang="en"'), "srclc:xx").alias("TranslationInfo"),
+        F.when(~F.col("url").contains("#top"), F.col("url")).otherwise("").alias("V2Organizations"),
+        _day("page_id").cast("timestamp").alias("partition_time"),
+    )
+
+
+def cdx_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """One archive-index response per page: bare, slug, other-language and asset variants."""
+    stamp = F.date_format(_moment("page_id"), "yyyyMMddHHmmss")
+    base = F.concat(
+        F.lit("https://www.example.com/news/home/"), F.date_format(_day("page_id"), "yyyyMMdd"),
+        F.lpad(F.col("page_id").cast("string"), 6, "0"), F.lit("/en"),
+    )
+    status = F.when(F.col("page_id") % 5 == 0, "404").otherwise("200")
+    ok = F.lit("200")
+    rows = F.array(
+        F.array(F.lit("timestamp"), F.lit("original"), F.lit("statuscode")),
+        F.array(stamp, base, ok),
+        F.array(stamp, F.concat(base, F.lit("/"), _slug()), status),
+        F.array(stamp, F.concat(base, F.lit("/de/")), ok),
+        F.array(stamp, F.concat(base, F.lit("/logo.png")), ok),
+    )
+    return table(spark, folder, "pages").select(
+        "page_id", _day("page_id").alias("day"), F.to_json(rows).alias("body")
+    )
+
+
+def sitemaps(spark: SparkSession, folder: str) -> DataFrame:
+    """One small sitemap per page: a release with news metadata (two in three) and a plain page."""
+
+    def xml_text(text: Column) -> Column:
+        return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    date = F.date_format(_day("page_id"), "yyyy-MM-dd")
+    loc = F.concat(
+        F.lit("https://www.example.com/news-releases/"), _slug(), F.lit("-8"),
+        F.lpad(F.col("page_id").cast("string"), 8, "0"), F.lit(".html"),
+    )
+    news = F.concat(
+        F.lit("<news:news><news:publication_date>"), date, F.lit("T08:00:00Z</news:publication_date><news:title>"),
+        xml_text(_h1()), F.lit("</news:title></news:news>"),
+    )
+    body = F.concat(
+        F.lit(
+            '<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" '
+            'xmlns:news="http://www.google.com/schemas/sitemap-news/0.9"><url><loc>'
+        ),
+        xml_text(loc), F.lit("</loc><lastmod>"), date, F.lit("T00:00:00Z</lastmod>"),
+        F.when(F.col("page_id") % 3 != 0, news).otherwise(""),
+        F.lit("</url><url><loc>https://www.example.com/about-us</loc><lastmod>"), date,
+        F.lit("</lastmod></url></urlset>"),
+    )
+    path = F.concat(F.lit("sitemap-"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
+    return table(spark, folder, "pages").select("page_id", path.alias("path"), body.alias("xml"))
+
+
+@F.pandas_udf(BinaryType())
+def _gzip(xml: pd.Series, damaged: pd.Series) -> pd.Series:
+    packed = xml.map(lambda text: gzip.compress(text.encode()))
+    return packed.where(~damaged, packed.map(lambda b: b[: len(b) // 2]))
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The sitemaps as gzip bytes; every fifth one is cut off half way."""
+    content = _gzip("xml", F.col("page_id") % 5 == 0)
+    return sitemaps(spark, folder).select("path", content.alias("content"))
+
+
+def spells(spark: SparkSession, folder: str) -> DataFrame:
+    """Membership spells: first to last order day of each customer."""
+    day = F.to_date("o_orderdate")
+    return (
+        table(spark, folder, "orders")
+        .groupBy(F.col("o_custkey").alias("permno"))
+        .agg(F.min(day).alias("mbrstartdt"), F.max(day).alias("mbrenddt"))
+    )
+
+
+def name_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Name periods: one per customer and order priority."""
+    day = F.to_date("o_orderdate")
+    return (
+        table(spark, folder, "orders")
+        .groupBy(F.col("o_custkey").alias("permno"), F.col("o_orderpriority").alias("comnam"))
+        .agg(F.min(day).alias("namedt"), F.max(day).alias("nameenddt"))
+    )
+
+
+def constituents(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies named after the first two words of each document's title."""
+    headline = F.substring_index("text", "\n", 1)
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("permno"),
+        F.concat(F.substring_index(headline, " ", 2), F.lit(" Inc")).alias("comnam"),
+        F.upper(F.substring("source", 1, 5)).alias("ticker"),
+    )
+
+
+def event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as (source, day, value)."""
+    return table(spark, folder, "events").select(
+        F.col("event_type").alias("source"), F.to_date("ts").alias("day"), "value", "event_id"
+    )
+
+
+def event_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Ledger in which weekdays are done and weekends are not; early days have an old schema."""
+    return (
+        event_days(spark, folder)
+        .filter(F.weekday("day") < 5)
+        .groupBy("source", "day")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("schema_version", F.when(F.col("day") < "2024-01-15", 1).otherwise(2))
+        .withColumn("input_version", F.lit("v1"))
+    )
+
+
+def month_map(spark: SparkSession, folder: str) -> DataFrame:
+    """(month, snapshot_ts): last order of each month; months of high order keys are malformed."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    stamp = F.date_format(F.max("o_orderdate"), "yyyyMMddHHmmss")
+    odd = F.max("o_orderkey") % 2 == 1
+    return (
+        table(spark, folder, "orders")
+        .groupBy(month.alias("month"))
+        .agg(F.when(odd, F.concat(F.lit("x"), stamp)).otherwise(stamp).alias("snapshot_ts"))
+        .filter("month not in ('1996-05', '1997-02', '1997-03')")
+    )

@@ -29,7 +29,8 @@ def _heading(html: Column, css_class: str | None) -> Column:
     else:
         tag = rf"""<h1\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>"""
     inner = F.regexp_extract(html, rf"(?is){tag}(.*?)</h1\s*>", 1)
-    return F.regexp_replace(inner, r"(?s)<[^>]*>", "")
+    # Whitespace next to an inner tag goes with it.
+    return F.regexp_replace(inner, r"(?sU)\s*<[^>]*>\s*", "")
 
 
 def _meta(html: Column, attribute: str, name: str) -> Column:
@@ -55,8 +56,8 @@ def read_html_titles(pages: DataFrame, source: str, url: str = "url", html: str
     """
     body, address = F.col(html), F.col(url)
     tries = [_heading(body, c) for c in [*HEADING_CLASSES[source], None]]
-    # Entities are replaced once, on the chosen heading; spaces count as empty.
-    chosen = F.coalesce(*[F.when(strip(t) != "", t) for t in tries])
+    # Entities are replaced once, on the chosen heading; spaces alone count as empty.
+    chosen = F.coalesce(*[F.when(strip(F.replace(t, F.lit("&nbsp;"), F.lit(" "))) != "", t) for t in tries])
     date = {
         "globenewswire": F.coalesce(date_from_release_path(address), _meta_date(body)),
         "businesswire": date_from_home_path(address),
