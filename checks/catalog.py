@@ -1,5 +1,5 @@
 """All registered queries; importing the modules registers them."""
 
-from checks import matching  # noqa: F401
+from checks import ingest, matching, panel, reporting  # noqa: F401
 
 FLAGSHIP = "fuzzy_match_newswire"

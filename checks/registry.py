@@ -36,6 +36,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return plain(build(spark, folder))
 
+        run.__module_name__ = build.__module__.rsplit(".", 1)[-1]
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_tables(sql)

@@ -220,4 +220,7 @@ def with_tables(body: str) -> str:
                 needed.add(name)
                 texts.append(TABLES[name])
     ctes = ", ".join(f"{name} as materialized ({TABLES[name]})" for name in TABLES if name in needed)
-    return f"with {ctes} {body}" if ctes else body
+    if not ctes:
+        return body
+    own = body.lstrip().removeprefix("with ")
+    return f"with {ctes}, {own}" if own != body.lstrip() else f"with {ctes} {body}"

@@ -151,7 +151,9 @@ def sitemaps(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("</lastmod></url></urlset>"),
     )
     path = F.concat(F.lit("sitemap-"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
-    return table(spark, folder, "pages").select("page_id", path.alias("path"), body.alias("xml"))
+    return table(spark, folder, "pages").select(
+        "page_id", date.alias("date"), path.alias("path"), body.alias("xml")
+    )
 
 
 @F.pandas_udf(BinaryType())

@@ -195,7 +195,7 @@ def validate_month_map(
         finding("in_range", inside, stamp),
         finding("malformed_key", inside.filter(~is_month_key(F.col("month"))), stamp),
         finding("malformed_timestamp", inside.filter(bad), stamp),
-        finding("outside_range", month_map.join(expected, "month", "left_anti"), stamp),
+        finding("outside_range", month_map.join(expected, "month", "left_anti")),
         finding("missing", expected.subtract(inside.select("month")).subtract(absent)),
         finding("covered_no_archive", inside.select("month").intersect(absent)),
     ]

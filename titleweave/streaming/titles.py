@@ -36,7 +36,8 @@ def dedup_titles(stream: DataFrame, ts: str = "gkg_date", delay: str = "31 days"
     the batch form, to get the earliest.
     """
     return (
-        stream.withWatermark(ts, delay)
+        stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, delay)
         .withColumn("_month", F.date_format(ts, "yyyy-MM"))
         .dropDuplicatesWithinWatermark(["_month", "headline"])
         .drop("_month")
@@ -46,8 +47,9 @@ def dedup_titles(stream: DataFrame, ts: str = "gkg_date", delay: str = "31 days"
 def daily_counts(stream: DataFrame, ts: str, delay: str = "1 day", by: list[str] | None = None) -> DataFrame:
     """Rows per day (and ``by``), emitted when the watermark has passed the day."""
     day = F.window(ts, "1 day")
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return (
-        stream.withWatermark(ts, delay)
+        timed.withWatermark(ts, delay)
         .groupBy(day.alias("_day"), *(by or []))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date("_day.start").alias("date"), *(by or []), "n")
