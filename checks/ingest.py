@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sql, tables
-from checks.matching import newswire, web_titles
+from checks.matching import merged, newswire, web_titles
 from checks.registry import check
 from titleweave.functions import dates, text
 from titleweave.operators import coverage, inventory
@@ -246,9 +246,9 @@ def _(spark, folder):
     path = new_folder(spark, "sitemaps")
     inner = F.regexp_extract("xml", "(?s)<urlset[^>]*>(.*)</urlset>", 1)
     lines = tables.sitemaps(spark, folder).select("date", F.lit(1).alias("part"), inner.alias("line"))
-    edges = lines.select("date").distinct().crossJoin(
-        spark.createDataFrame([(0, "<urlset>"), (2, "</urlset>")], "part int, line string")
-    )
+    ends = [F.struct(F.lit(part).alias("part"), F.lit(line).alias("line"))
+            for part, line in ((0, "<urlset>"), (2, "</urlset>"))]
+    edges = lines.select("date").distinct().select("date", F.inline(F.array(*ends)))
     files = lines.unionByName(edges).repartition("date").sortWithinPartitions("date", "part")
     files.drop("part").write.partitionBy("date").text(path)
     scanned = sitemaps.scan_urls(spark, path)
@@ -407,6 +407,16 @@ def _(spark, folder):
     return spark.read.parquet(ledger).drop("input_version")
 
 
+@check("write_merged", "select rp_story_id, headline_source from merged")
+def _(spark, folder):
+    """Written twice: the second write replaces the first as a whole."""
+    path = new_folder(spark, "merged")
+    result = merged(spark, folder).select("rp_story_id", "headline_source")
+    writers.write_merged(result.limit(0), path)
+    writers.write_merged(result, path)
+    return spark.read.parquet(path)
+
+
 @check(
     "relayout_flat_to_hive",
     """select year(o_orderdate) as year, month(o_orderdate) as month, count(*) as source_rows,

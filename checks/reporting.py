@@ -338,9 +338,9 @@ def _(spark, folder):
 
 def _wanted(spark: SparkSession, folder: str) -> DataFrame:
     """Every (source, day) of January 2024 for the sources seen in the events."""
+    first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date")
     sources = tables.event_days(spark, folder).select("source").distinct()
-    days = ledger.calendar(spark, "2024-01-01", "2024-02-01")
-    return days.join(sources, how="cross")  # both are lists: days of a month, known sources
+    return sources.withColumn("day", F.explode(F.sequence(first, last)))
 
 
 _PENDING = """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from titleweave.functions.text import normalize_company
 from titleweave.operators.rows import first_per_key
+from titleweave.session import broadcast_if_small
 
 MIN_NAME_LENGTH = 5
 
@@ -35,7 +36,7 @@ def title_company_match(
     Substring containment without word boundaries. Any occurrence starts with the name's
     first ``min_length`` characters, so titles and names meet in an equi-join on that anchor
     and only real occurrences leave the join. Equal titles are folded first, and each is
-    looked up once.
+    looked up once. A name list within the broadcast bound is joined where the titles are.
     """
     names = first_per_key(
         lookup.filter(F.length("comnam_norm") >= min_length),
@@ -66,7 +67,7 @@ def title_company_match(
         "ticker",
     )
     hits = (
-        places.join(names, "_anchor")
+        places.join(broadcast_if_small(names), "_anchor")
         .filter(occurs)
         .groupBy("_norm")
         .agg(F.min(rank).alias("_hit"))

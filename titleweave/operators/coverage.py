@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,25 +133,20 @@ def match_rates(
         return df.agg(F.countDistinct(column).alias(name))
 
     both = newswire.select("rp_story_id").unionByName(web.select("rp_story_id"))
-    stories = feed.agg(F.countDistinct("rp_story_id").alias("total"))
-    urls = titles.agg(F.countDistinct("source_url").alias("total"))
+    stories = feed.agg(F.countDistinct("rp_story_id")).scalar()
+    urls = titles.agg(F.countDistinct("source_url")).scalar()
     measures = [
         ("rp_combined", distinct(both, "rp_story_id", "matched"), stories),
         ("rp_newswire", distinct(newswire, "rp_story_id", "matched"), stories),
         ("rp_web", distinct(web, "rp_story_id", "matched"), stories),
         ("nw_titles", distinct(newswire, "nw_source_url", "matched"), urls),
     ]
-    result = None
-    for name, matched, total in measures:
-        # Both sides are exactly one row.
-        row = matched.join(total, how="inner").select(
-            F.lit(name).alias("metric"),
-            "matched",
-            "total",
-            pct(F.col("matched"), F.col("total")).alias("match_pct"),
-        )
-        result = row if result is None else result.unionByName(row)
-    return result
+    parts = [
+        matched.select(F.lit(name).alias("metric"), "matched", total.alias("total"))
+        for name, matched, total in measures
+    ]
+    rate = pct(F.col("matched"), F.col("total"))
+    return reduce(DataFrame.unionByName, parts).withColumn("match_pct", rate)
 
 
 def coverage_by_source(
@@ -178,11 +175,10 @@ def daily_match_rate(feed: DataFrame, sources: dict[str, DataFrame]) -> DataFram
     of all sources are counted in one grouped pass.
     """
     daily = count_by_day(feed, "date", "rp_total")
-    tagged = None
-    for name, df in sources.items():
-        part = df.select("date", "rp_story_id", F.lit(name).alias("_source"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    pairs = tagged.distinct()
+    parts = [
+        df.select("date", "rp_story_id", F.lit(name).alias("_source")) for name, df in sources.items()
+    ]
+    pairs = reduce(DataFrame.unionByName, parts).distinct()
     counts = pairs.groupBy("date").agg(
         *[F.count(F.when(F.col("_source") == name, F.col("rp_story_id"))).alias(f"{name}_matched")
           for name in sources]

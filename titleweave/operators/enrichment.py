@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titleweave.operators.rows import first_per_key
+from titleweave.session import broadcast_if_small
 
 # Label and column prefix of each kind of crosswalk.
 KINDS = {"newswire": "nw", "gdelt": "gdelt"}
@@ -36,11 +37,11 @@ def dedup_best_per_story(unified: DataFrame) -> DataFrame:
 def enrich_feed(feed: DataFrame, unified: DataFrame) -> DataFrame:
     """Every feed row, with the best collected title of its story where there is one.
 
-    The right side is unique per story, so the row count equals the feed's. The feed is
-    scanned once and joined on the story key; adaptive execution broadcasts the crosswalk
-    when its measured size allows and splits skewed story keys when it does not.
+    The right side is unique per story, so the row count equals the feed's. The deduplicated
+    crosswalk is measured: within the broadcast bound the wide feed is never shuffled, beyond
+    it the join is by story key, with adaptive execution splitting skewed stories.
     """
-    best = dedup_best_per_story(unified).drop("rp_headline")
+    best = broadcast_if_small(dedup_best_per_story(unified).drop("rp_headline"))
     return feed.withColumnRenamed("headline", "rp_headline").join(best, "rp_story_id", "left").select(
         *["rp_headline" if c == "headline" else c for c in feed.columns],
         "headline", "headline_source", "headline_source_url", "fuzzy_score",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from functools import reduce
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -119,8 +120,9 @@ def inventory_status(spark: SparkSession, path: str, inventory: DataFrame) -> Da
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     )
-    # Both sides are exactly one row.
-    return days.join(slug_coverage(inventory), how="inner")
+    coverage = slug_coverage(inventory)
+    row = coverage.select(F.struct(*coverage.columns)).scalar()
+    return days.withColumn("_urls", row).select(*days.columns, "_urls.*")
 
 
 def available_months(index: DataFrame, url: str = "loc") -> DataFrame:
@@ -199,10 +201,7 @@ def validate_month_map(
         finding("missing", expected.subtract(inside.select("month")).subtract(absent)),
         finding("covered_no_archive", inside.select("month").intersect(absent)),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def lake_inventory(table: DataFrame, by: list[str], day_columns: list[str]) -> DataFrame:

@@ -5,7 +5,8 @@ materialised:
 
 1. Titles become sorted-token keys once per row, and equal keys of a block are folded
    together first, so a title copied a million times is scored once.
-2. Equal keys score 100 and cannot be beaten: a plain equi-join settles those rows.
+2. Equal keys score 100 and cannot be beaten: the same grouping that folds the keys settles
+   those rows.
 3. The rest meet in bounded tiles. A block with many keys is cut into
    ``ceil(n_left / tile_rows) x ceil(n_right / tile_rows)`` tiles, so the work of one task
    does not grow with the size of a hot block. Length and letter-count bounds are residual
@@ -20,48 +21,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titleweave.functions import similarity, text
-from titleweave.session import freeze
+from titleweave.session import broadcast_if_small, freeze
 
 EXACT_SCORE = 100.0
 
 
-def _tile_side(keys: DataFrame, stats: DataFrame, block: str, own: str, other: str, side: str):
+def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]) -> DataFrame:
+    """One row per (block, _key): is it wanted on the left, and the first right row with it."""
+    nothing = F.lit(None).cast(right.select(F.struct(*first)).schema[0].dataType)
+    wanted = left.select(block, "_key", F.lit(True).alias("_wanted"), nothing.alias("_match"))
+    offered = right.select(block, "_key", F.lit(False).alias("_wanted"), F.struct(*first).alias("_match"))
+    return (
+        wanted.unionByName(offered)
+        .filter(f"{block} is not null and _key is not null")
+        .groupBy(block, "_key")
+        .agg(F.max("_wanted").alias("_wanted"), F.min("_match").alias("_match"))
+    )
+
+
+def _with_tiles(keys: DataFrame, tiles: DataFrame | None, block: str) -> DataFrame:
+    """Number of tiles of the row's block on either side; one each when no block needs more."""
+    if tiles is None:
+        return keys.withColumns({"_left_tiles": F.lit(1), "_right_tiles": F.lit(1)})
+    return keys.join(tiles, block)
+
+
+def _tile_side(keys: DataFrame, block: str, own: str, other: str, side: str) -> DataFrame:
     """One side of the tile join: own tile number from the key, one copy per opposite tile."""
     profile = similarity.letter_profile("_key")
     measured = {f"{side}len": F.length("_key")}
     measured |= {f"{side}p{i}": word for i, word in enumerate(profile)}
     measured[f"_{own}"] = F.pmod(F.xxhash64("_key"), F.col(f"_{own}_tiles"))
     return (
-        keys.join(stats, block)
-        .withColumns(measured)
+        keys.withColumns(measured)
         .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), F.col(f"_{other}_tiles") - 1)))
         .withColumnRenamed("_key", f"{side}key")
         .drop("_left_tiles", "_right_tiles")
     )
 
 
+def _block_tiles(keys: DataFrame, block: str, tile_rows: int) -> DataFrame | None:
+    """Tiles per block that has keys on both sides; None when one tile is enough everywhere."""
+
+    def tiles(which: str) -> Column:
+        return F.ceil(F.count_if(F.expr(which)) / F.lit(tile_rows)).cast("int")
+
+    sizes = broadcast_if_small(
+        keys.groupBy(block)
+        .agg(tiles("_wanted and not _offered").alias("_left_tiles"), tiles("_offered").alias("_right_tiles"))
+        .filter("_left_tiles > 0 and _right_tiles > 0")
+    )
+    most = sizes.agg(F.max(F.greatest("_left_tiles", "_right_tiles"))).first()[0]
+    return None if most in (None, 1) else sizes
+
+
 def candidate_pairs(
-    left_keys: DataFrame,
-    right_keys: DataFrame,
+    keys: DataFrame,
     block: str,
     min_score: float,
+    carry: list[str],
     tile_rows: int = 4096,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Pairs of distinct keys (columns ``block`` and ``_key``) that may still reach the score.
+    """Pairs (l_key, r_key) that may still reach the score, with ``carry`` columns of the right.
 
-    Lossless: a pair is left out only if a proven upper bound of its score is too low.
+    ``keys`` has ``block``, ``_key`` and the flags ``_wanted`` (left) and ``_offered`` (right).
+    Lossless: a pair is left out only if a proven upper bound of its score is too low. Left
+    keys that are also offered are settled and take no part.
     """
-    spark = left_keys.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def tiles(keys: DataFrame, side: str) -> DataFrame:
-        count = F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).cast("int")
-        return keys.groupBy(block).agg(count.alias(f"_{side}_tiles"))
-
-    stats = tiles(left_keys, "left").join(tiles(right_keys, "right"), block)
-    left = _tile_side(left_keys, stats, block, "left", "right", "l_")
-    right = _tile_side(right_keys, stats, block, "right", "left", "r_")
+    n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = _block_tiles(keys, block, tile_rows)
+    left = keys.filter("_wanted and not _offered").select(block, "_key")
+    right = keys.filter("_offered").select(block, "_key", *carry)
+    left = _tile_side(_with_tiles(left, tiles, block), block, "left", "right", "l_")
+    right = _tile_side(_with_tiles(right, tiles, block), block, "right", "left", "r_")
     tile = [block, "_left", "_right"]
     # A fixed partition number: adaptive coalescing looks at bytes, but the cost of this join
     # is the number of pairs, and few bytes can mean many pairs.
@@ -69,8 +102,7 @@ def candidate_pairs(
     right = right.select(*[F.col(c).alias(f"_r{c}") if c in tile else F.col(c) for c in right.columns])
     same_tile = " and ".join(f"{c} = _r{c}" for c in tile)
     bound = similarity.may_reach(min_score, "l_", "r_")
-    keep = [block, "l_key", "r_key", *[c for c in right_keys.columns if c not in (block, "_key")]]
-    return left.join(right, F.expr(f"{same_tile} and {bound}")).select(*keep)
+    return left.join(right, F.expr(f"{same_tile} and {bound}")).select(block, "l_key", "r_key", *carry)
 
 
 def fuzzy_best_match(
@@ -91,8 +123,8 @@ def fuzzy_best_match(
     ``block`` the two sides must not share column names. Result: the left columns, the right
     columns and ``fuzzy_score``; a left row appears at most once.
 
-    The two key tables feed several later stages and are checkpointed, which runs two jobs
-    while the plan is built.
+    The folded keys feed several later stages and are checkpointed, which runs a job while
+    the plan is built.
     """
     payload = [c for c in right.columns if c != block]
     first = [*right_order, *[c for c in payload if c not in right_order]]
@@ -100,37 +132,25 @@ def fuzzy_best_match(
     def key(column: str) -> Column:
         return text.token_sort_key(text.normalize_title(F.col(column)))
 
-    keyed = left.withColumn("_key", key(left_text)).filter("_key is not null")
-    wanted = keyed.select(block, "_key").distinct()
-    counterpart = freeze(
-        right.withColumn("_key", key(right_text))
-        .filter("_key is not null")
-        .groupBy(block, "_key")
-        .agg(F.min(F.struct(*first)).alias("_match"))
+    keyed = left.withColumn("_key", key(left_text))
+    folded = freeze(_fold_titles(keyed, right.withColumn("_key", key(right_text)), block, first))
+    exact = folded.filter("_wanted and _match is not null").select(
+        block, "_key", "_match", F.lit(EXACT_SCORE).alias("fuzzy_score")
     )
 
-    settled = freeze(wanted.join(counterpart, [block, "_key"], "left"))
-    exact = settled.filter("_match is not null").withColumn("fuzzy_score", F.lit(EXACT_SCORE))
-    open_keys = settled.filter("_match is null").select(block, "_key")
-
-    order = [F.col(f"_match.{c}").alias(f"_o{i}") for i, c in enumerate(right_order)]
-    pairs = candidate_pairs(
-        open_keys, counterpart.select(block, "_key", *order), block, min_score, tile_rows, partitions
-    )
-    ranking = F.struct(
-        (-F.col("_score")).alias("loss"),
-        *[f"_o{i}" for i in range(len(right_order))],
-        F.col("r_key").alias("other_key"),
-    )
+    order = {f"_o{i}": F.col(f"_match.{c}") for i, c in enumerate(right_order)}
+    flagged = folded.withColumns({"_offered": F.col("_match").isNotNull(), **order}).drop("_match")
+    pairs = candidate_pairs(flagged, block, min_score, list(order), tile_rows, partitions)
+    ranking = F.struct((-F.col("_score")).alias("loss"), *order, F.col("r_key").alias("other"))
     best = (
         pairs.withColumn("_score", similarity.token_sort_ratio(F.col("l_key"), F.col("r_key")))
         .filter(F.col("_score") >= min_score)
-        .groupBy(block, F.col("l_key").alias("_key"))
+        .groupBy(block, F.col("l_key").alias("_own"))
         .agg(F.min(ranking).alias("_rank"))
-        .select(block, F.col("_key").alias("_own"), F.col("_rank.other_key").alias("_key"),
-                (-F.col("_rank.loss")).alias("fuzzy_score"))
-    )
-    fuzzy = best.join(counterpart, [block, "_key"]).select(
+        .select(block, "_own", F.col("_rank.other").alias("_key"), (-F.col("_rank.loss")).alias("fuzzy_score"))
+    )
+    offered = folded.filter("_match is not null").select(block, "_key", "_match")
+    fuzzy = best.join(offered, [block, "_key"]).select(
         block, F.col("_own").alias("_key"), "_match", "fuzzy_score"
     )
     matches = exact.unionByName(fuzzy)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titleweave.operators.rows import attach, number_rows, running_totals
-from titleweave.session import freeze
+from titleweave.operators.rows import attach, attach_group_facts, number_rows, running_totals, slice_rows
 
 
 def weighted_average(df: DataFrame, value: str, weight: str, name: str = "weighted_average") -> DataFrame:
@@ -30,7 +29,7 @@ def with_group_weighted_average(
     df: DataFrame, value: str, weight: str, by: list[str], name: str
 ) -> DataFrame:
     """The grouped average next to every row; null for rows without a group key."""
-    return attach(df, group_weighted_average(df, value, weight, by, name), by)
+    return attach_group_facts(df, group_weighted_average(df, value, weight, by, name), by)
 
 
 def group_weighted_std(
@@ -47,7 +46,7 @@ def group_weighted_std(
     spread = F.sum(w * (x - F.col("_mean")) * (x - F.col("_mean")))
     scale = (n - ddof) / n * F.sum(w)
     return (
-        attach(rows, means, by, "inner")
+        attach_group_facts(rows, means, by, "inner")
         .groupBy(*by)
         .agg(F.sqrt(F.try_divide(spread, scale)).alias(name))
     )
@@ -71,11 +70,13 @@ def weighted_quantiles(
     keys = by or ["_all"]
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.withColumn("_all", F.lit(0)) if not by else df
-    points = freeze(
+    points = slice_rows(
         rows.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
         .dropna()
         .groupBy(*keys, "_v")
-        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last"))
+        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last")),
+        keys,
+        [F.col("_v")],
     )
     summary = points.groupBy(*keys).agg(
         F.sum("_sum").alias("_total"),
@@ -96,7 +97,7 @@ def weighted_quantiles(
         p = F.coalesce(F.try_divide(weight_below - start, width), F.lit(0.0))
         return F.struct(p.alias("p"), F.col("_v").alias("v"))
 
-    curve = attach(running, summary, keys, "inner").select(
+    curve = attach_group_facts(running, summary, keys, "inner").select(
         *keys, F.explode(F.array(at(low), at(high))).alias("_at")
     )
     ends = []
@@ -157,7 +158,7 @@ def lag_by_id(
     Rows are numbered per id and meet their predecessor in an equi-join on (id, number), so
     an id with a large share of all rows is spread over the cluster like any other.
     """
-    numbered = freeze(number_rows(df, ids, [F.col(c) for c in order], "_n"))
+    numbered = number_rows(df, ids, [F.col(c) for c in order], "_n")
     earlier = numbered.select(
         *ids, (F.col("_n") + lags).alias("_n"), *[F.col(c).alias(f"{prefix}{lags}_{c}") for c in columns]
     )
@@ -223,4 +224,4 @@ def lag_on_calendar(
 def leave_one_out_sums(df: DataFrame, by: list[str], column: str, name: str) -> DataFrame:
     """Sum of the row's group minus its own value; null for rows without a group key."""
     sums = df.dropna(subset=by).groupBy(*by).agg(F.sum(column).alias("_sum"))
-    return attach(df, sums, by).withColumn(name, F.col("_sum") - F.col(column)).drop("_sum")
+    return attach_group_facts(df, sums, by).withColumn(name, F.col("_sum") - F.col(column)).drop("_sum")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titleweave.session import freeze
+from titleweave.session import broadcast_if_small, freeze
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -17,51 +17,54 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Null-safe equality on all ``columns``; Spark still plans it as an equi-join."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
 def attach(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join per-key ``facts`` back to the rows, null keys included. ``facts`` has one row per
     key, so a hot key is skewed on the row side only, where adaptive execution can split it."""
-    right = facts.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                         *[c for c in facts.columns if c not in keys])
+    renamed = [F.col(k).alias(f"_r_{k}") for k in keys]
+    right = facts.select(*renamed, *[c for c in facts.columns if c not in keys])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return df.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def attach_group_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``attach`` for aggregates of ``df`` itself: when they are few enough to broadcast, the
+    rows are not shuffled a second time."""
+    return attach(df, broadcast_if_small(facts), keys, how)
+
+
+def slice_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The rows cut into slices (``_slice``) that are consecutive along ``keys`` and ``order``.
+
+    Range-partitioned, then checkpointed: the cut points must not move when several later
+    stages, or a retried one, read the slices.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    return freeze(ranged.withColumn("_slice", F.spark_partition_id()))
+
+
 def running_totals(
     df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]
 ) -> DataFrame:
     """Inclusive running sums within ``keys`` along ``order``, without one task per key.
 
-    Rows are range-partitioned and checkpointed (the cut points of a range partitioning must
-    not move between the two passes); sums run inside each slice, and the slices' own totals,
-    at most one row per slice and key, supply the offsets. ``order`` must be total.
+    ``df`` comes from ``slice_rows`` with the same keys and order, or is sliced here. Sums run
+    inside each slice; the slices' own totals, at most one row per slice and key, supply the
+    offsets. ``order`` must be total.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    inputs = {f"_x_{name}": value for name, value in totals.items()}
-    sliced = freeze(
-        df.withColumns(inputs)
-        .repartitionByRange(n, *[F.col(k) for k in keys], *order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    sliced = df if "_slice" in df.columns else slice_rows(df, keys, order)
     group = [*keys, "_slice"]
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*group)
-        .agg(*[F.sum(f"_x_{name}").alias(f"_s_{name}") for name in totals])
+        .agg(*[F.sum(value).alias(f"_s_{name}") for name, value in totals.items()])
         .select(*group, *[F.sum(f"_s_{name}").over(earlier).alias(f"_o_{name}") for name in totals])
     )
-    within = sliced.withColumns({f"_w_{name}": F.sum(f"_x_{name}").over(inside) for name in totals})
-    joined = attach(within, offsets, group, "inner")
-    result = {
-        name: F.col(f"_w_{name}") + F.coalesce(f"_o_{name}", F.lit(0)) for name in totals
-    }
-    return joined.withColumns(result).select(*df.columns, *totals)
+    within = sliced.withColumns({f"_w_{name}": F.sum(x).over(inside) for name, x in totals.items()})
+    result = {name: F.col(f"_w_{name}") + F.coalesce(f"_o_{name}", F.lit(0)) for name in totals}
+    kept = [c for c in sliced.columns if c != "_slice"]
+    return attach(within, offsets, group, "inner").withColumns(result).select(*kept, *totals)
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str = "row") -> DataFrame:

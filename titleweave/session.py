@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,3 +54,24 @@ def freeze(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+# Largest table that is sent to every executor; measured, not estimated.
+MAX_BROADCAST_BYTES = 64 * 2**20
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Checkpoint a table, measure it, and hint a broadcast only if it is within the bound.
+
+    Worth it where the other side is much larger: adaptive execution alone would first
+    shuffle that side and only then see that it need not have. Above the bound the join
+    stays a shuffle join.
+    """
+    frozen = freeze(df)
+    widths = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(16)
+        for f in df.schema.fields
+    ]
+    size = sum(widths, F.lit(32)).cast("bigint")
+    total = frozen.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(frozen) if total <= max_bytes else frozen

@@ -37,9 +37,12 @@ def decode_archives(files: DataFrame) -> DataFrame:
                 return None
             return raw.removeprefix(b"\xef\xbb\xbf").replace(b"\x00", b"").decode("utf-8", "replace")
 
+        # One archive at a time: unpacked sitemaps are large, batches of them larger.
         for batch in batches:
-            xml = batch["content"].map(text)
-            yield pd.DataFrame({"path": batch["path"], "xml": xml})[xml.notna()]
+            for path, content in zip(batch["path"], batch["content"]):
+                xml = text(content)
+                if xml is not None:
+                    yield pd.DataFrame({"path": [path], "xml": [xml]})
 
     return files.select("path", "content").mapInPandas(decode, "path string, xml string")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,8 +65,23 @@ def combine_crosswalk(spark: SparkSession, path: str, url: str = "nw_source_url"
 
 
 def write_merged(merged: DataFrame, path: str) -> None:
-    """Replace the enriched feed; readers see the old or the new table, never a part."""
-    merged.write.mode("overwrite").parquet(path)
+    """Replace the enriched feed: written in full beside the old one, then renamed into place,
+    so a failed or running write never shows."""
+    spark = merged.sparkSession
+    fresh, old = (f"{path}.{label}-{uuid.uuid4().hex}" for label in ("new", "old"))
+    merged.write.parquet(fresh)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, new, previous = hadoop(path), hadoop(fresh), hadoop(old)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    existed = files.exists(target)
+    if existed and not files.rename(target, previous):
+        raise OSError(f"could not set {path} aside")
+    if not files.rename(new, target):
+        if existed:
+            files.rename(previous, target)
+        raise OSError(f"could not move the new table to {path}")
+    if existed:
+        files.delete(previous, True)
 
 
 def relayout_flat_to_hive(spark: SparkSession, flat: str, target: str) -> DataFrame:
