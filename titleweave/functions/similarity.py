@@ -46,51 +46,70 @@ def may_reach(min_score: float, left: str, right: str) -> str:
     )
 
 
-def _code_points(texts: list[str], width: int, pad: int) -> np.ndarray:
-    out = np.full((len(texts), width), pad, dtype=np.uint32)
-    for row, text in enumerate(texts):
-        out[row, : len(text)] = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    return out
+def _symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All characters of ``texts`` as (text number, position, code point) columns."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    start = np.cumsum(sizes) - sizes
+    return owner, np.arange(len(points)) - np.repeat(start, sizes), points
 
 
 def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
     """Longest-common-subsequence length of each pair, one bit per character of ``left``.
 
     Bit-parallel recurrence (Hyyro 2004), run for all pairs at once; keys longer than a
-    machine word use several words with a carry between them.
+    machine word use several words with a carry between them. Candidates arrive grouped by
+    left key, so the per-character bit masks are built once per distinct key.
     """
     n = len(left)
-    len_a = max(map(len, left), default=0)
-    len_b = max(map(len, right), default=0)
-    if n == 0 or len_a == 0 or len_b == 0:
+    a_of, a_keys = pd.factorize(np.array(left, dtype=object))
+    b_of, b_keys = pd.factorize(np.array(right, dtype=object))
+    a_text, a_place, a_point = _symbols(list(a_keys))
+    b_text, b_place, b_point = _symbols(list(b_keys))
+    if n == 0 or len(a_point) == 0 or len(b_point) == 0:
         return np.zeros(n, dtype=np.int64)
-    words = -(-len_a // 64)
-    a = _code_points(left, words * 64, pad=0xFFFFFFFF)
-    b = _code_points(right, len_b, pad=0xFFFFFFFE)
+    alphabet, dense = np.unique(np.concatenate([a_point, b_point]), return_inverse=True)
+    words = int(a_place.max()) // 64 + 1
+    # One mask more than there are symbols: the last one is empty and pads short keys.
+    masks = np.zeros((len(a_keys), len(alphabet) + 1, words), dtype=np.uint64)
+    bits = np.left_shift(np.uint64(1), (a_place % 64).astype(np.uint64))
+    np.bitwise_or.at(masks, (a_text, dense[: len(a_point)], a_place // 64), bits)
+    codes = np.full((len(b_keys), int(b_place.max()) + 1), len(alphabet), dtype=np.int64)
+    codes[b_text, b_place] = dense[len(a_point) :]
+
+    # Longest right keys first: at character j only a leading part is still running.
+    length = np.array([len(t) for t in b_keys], dtype=np.int64)[b_of]
+    order = np.argsort(-length, kind="stable")
+    own, other, length = a_of[order], codes[b_of[order]], length[order]
+    running = np.searchsorted(-length, -np.arange(int(length[0])), side="left")
     state = np.full((n, words), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for j in range(len_b):
-        hit = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view("<u8")
-        carry = np.zeros(n, dtype=bool)
+    for j, active in enumerate(running):
+        hit = masks[own[:active], other[:active, j]]
+        carry = np.zeros(active, dtype=bool)
         for w in range(words):
-            s = state[:, w]
+            s = state[:active, w]
             u = s & hit[:, w]
             added = s + u
-            overflow = added < s
             total = added + carry
-            carry = overflow | (total < added)
-            state[:, w] = total | (s - u)
-    used = np.packbits(a != 0xFFFFFFFF, axis=1, bitorder="little").view("<u8")
-    return np.bitwise_count(~state & used).sum(axis=1).astype(np.int64)
+            carry = (added < s) | (total < added)
+            state[:active, w] = total | (s - u)
+    # Bits beyond a key's end never change, so every zero bit is one matched character.
+    lcs = np.empty(n, dtype=np.int64)
+    lcs[order] = np.bitwise_count(~state).sum(axis=1)
+    return lcs
 
 
 def score_pairs(left: pd.Series, right: pd.Series) -> np.ndarray:
     """Similarity of each pair in [0, 100]; two empty keys are identical."""
     a, b = left.tolist(), right.tolist()
-    total = np.array([len(x) + len(y) for x, y in zip(a, b)], dtype=np.float64)
-    # Sort by length so that one long pair does not widen the arrays of a whole batch.
-    order = np.argsort(total, kind="stable")
+    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.float64).reshape(-1, 2)
+    total = sizes.sum(axis=1)
     lcs = np.zeros(len(a), dtype=np.int64)
-    for part in np.array_split(order, max(1, len(order) // 2048)):
+    # Keys needing equally many words go together, so one long key does not widen the rest.
+    words = sizes[:, 0] // 64
+    for width in np.unique(words):
+        part = np.flatnonzero(words == width)
         lcs[part] = lcs_lengths([a[i] for i in part], [b[i] for i in part])
     distance = total - 2 * lcs
     ratio = np.divide(distance, total, out=np.zeros_like(total), where=total > 0)

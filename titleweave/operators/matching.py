@@ -80,7 +80,7 @@ def candidate_pairs(
     block: str,
     min_score: float,
     carry: list[str],
-    tile_rows: int = 4096,
+    tile_rows: int = 1024,
     partitions: int | None = None,
 ) -> DataFrame:
     """Pairs (l_key, r_key) that may still reach the score, with ``carry`` columns of the right.
@@ -114,7 +114,7 @@ def fuzzy_best_match(
     right_text: str,
     right_order: list[str],
     min_score: float = 80.0,
-    tile_rows: int = 4096,
+    tile_rows: int = 1024,
     partitions: int | None = None,
 ) -> DataFrame:
     """Each left row with its best right row in the same block, if it scores ``min_score``.
