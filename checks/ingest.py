@@ -9,8 +9,8 @@ from checks import sql, tables
 from checks.matching import merged, newswire, web_titles
 from checks.registry import check
 from titleweave.functions import dates, text
-from titleweave.operators import coverage, inventory
-from titleweave.plans import reports
+from titleweave.operators import companies, coverage, inventory
+from titleweave.plans import crosswalk, reports
 from titleweave.session import new_folder
 from titleweave.sources import cdx, html_pages, lakes, sitemaps, web_extract, writers
 
@@ -115,7 +115,7 @@ def _landed_inventory(spark: SparkSession, folder: str) -> tuple[str, str]:
     days = found.select(F.to_date("date").alias("day")).distinct()
     recent = F.to_date("date") >= "2024-02-01"
     writers.write_inventory(found.filter(~recent).drop("headline_from_slug"), days, path, ledger, "wire")
-    writers.write_inventory(found.filter(recent), days.limit(0), path, ledger, "wire")
+    writers.write_inventory(found.filter(recent), days.filter("false"), path, ledger, "wire")
     return path, ledger
 
 
@@ -412,7 +412,7 @@ def _(spark, folder):
     """Written twice: the second write replaces the first as a whole."""
     path = new_folder(spark, "merged")
     result = merged(spark, folder).select("rp_story_id", "headline_source")
-    writers.write_merged(result.limit(0), path)
+    writers.write_merged(result.filter("headline_source is null"), path)
     writers.write_merged(result, path)
     return spark.read.parquet(path)
 
@@ -443,6 +443,62 @@ def _name_by_month(spark: SparkSession, staged: str, flat: str) -> None:
         shutil.copy(part, Path(flat) / f"{part.parent.name[3:]}.parquet")
 
 
+@check(
+    "refresh_crosswalk",
+    """select date::varchar as date, nw_source_url, rp_story_id, round(fuzzy_score, 6) as fuzzy_score from nw_cw
+       where nw_source <> 'net' or date >= date '2024-02-01'""",
+)
+def _(spark, folder):
+    """First run without one source; the second run adds it, but January's inputs stay as
+    they were, so only the later months are rebuilt."""
+    path, book = new_folder(spark, "crosswalk"), new_folder(spark, "crosswalk-ledger")
+    titles, rp = tables.newswire_titles(spark, folder), tables.feed(spark, folder)
+    known = titles.select("source", F.trunc(F.to_date("date"), "month").alias("month")).distinct()
+    early = known.filter("source <> 'net'").withColumn("input_version", F.lit("v1"))
+    crosswalk.refresh_crosswalk(titles.filter("source <> 'net'"), rp, early, path, book)
+    later = known.filter("source <> 'net' or month >= '2024-02-01'")
+    crosswalk.refresh_crosswalk(titles, rp, later.withColumn("input_version", F.lit("v1")), path, book)
+    return writers.combine_crosswalk(spark, path).select("date", "nw_source_url", "rp_story_id", "fuzzy_score")
+
+
+@check(
+    "read_lookup_tables",
+    """select l.permno, comnam_norm, s.mbrstartdt::varchar as mbrstartdt
+       from lookup l join spells s using (permno)""",
+)
+def _(spark, folder):
+    """Constituents and names lookup, written once and read with their declared schemas."""
+    stored, looked_up = new_folder(spark, "constituents"), new_folder(spark, "lookup")
+    tables.spells(spark, folder).write.parquet(stored)
+    companies.names_lookup(tables.constituents(spark, folder)).write.parquet(looked_up)
+    spells = lakes.read_constituents(spark, stored).select("permno", "mbrstartdt")
+    names = lakes.read_names_lookup(spark, looked_up).select("permno", "comnam_norm")
+    return names.join(spells, "permno")
+
+
+@check("read_feed", "select timestamp_utc::varchar as timestamp_utc, rp_story_id, headline from feed")
+def _(spark, folder):
+    path = new_folder(spark, "feed")
+    tables.feed(spark, folder).write.parquet(path)
+    return lakes.read_feed(spark, path).select("timestamp_utc", "rp_story_id", "headline")
+
+
+@check(
+    "release_url_predicates",
+    """select url, contains(lower(url), '/en/')::int as any_release, contains(lower(url), '?utm')::int as tracked,
+              string_split(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1), '.')[1] as first_label
+       from pages""",
+)
+def _(spark, folder):
+    url = F.col("url")
+    return tables.table(spark, folder, "pages").select(
+        "url",
+        text.is_release_url(F.upper(url), "/en/").alias("any_release"),
+        text.is_release_url(url, "?utm").alias("tracked"),
+        F.substring_index(text.url_host(url), ".", 1).alias("first_label"),
+    )
+
+
 @check(
     "lake_inventory",
     """select source, count(distinct (year, month, day)) as day_partitions, count(distinct (year, month)) as months,

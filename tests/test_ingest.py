@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from titleweave.operators import inventory
-from titleweave.plans import reports
+from titleweave.plans import crosswalk, reports
 from titleweave.sources import cdx, html_pages, lakes, sitemaps, web_extract, writers
 
 SITEMAP = """
@@ -310,3 +310,44 @@ def test_slug_titles_spare_the_page(spark):
     )
     got = rows(html_pages.titles_from_inventory(known, pages), "headline", "date")
     assert got == [("A B", "2024-01-02"), ("Page title", "2024-01-02")]
+
+
+def test_refresh_clears_a_month_that_lost_its_matches(spark, tmp_path):
+    path, book = str(tmp_path / "crosswalk"), str(tmp_path / "ledger")
+    rp = spark.createDataFrame(
+        [("2024-01-05", "s1", "Acme opens plant"), ("2024-02-05", "s2", "Beta wins award")],
+        "d string, rp_story_id string, headline string",
+    ).selectExpr(
+        "cast(d as timestamp) as timestamp_utc", "rp_story_id", "'e' as rp_entity_id",
+        "'n' as entity_name", "headline", "'w' as source_name",
+    )
+
+    def titles(january):
+        data = [(january, "u1", "2024-01-05", "s", 2024, 1), ("Beta wins award", "u2", "2024-02-05", "s", 2024, 2)]
+        return spark.createDataFrame(
+            data, "headline string, source_url string, date string, source string, year int, month int"
+        )
+
+    def inputs(january):
+        data = [("s", "2024-01-01", january), ("s", "2024-02-01", "v1")]
+        return spark.createDataFrame(data, "source string, m string, input_version string").selectExpr(
+            "source", "cast(m as date) as month", "input_version"
+        )
+
+    def stored():
+        return rows(writers.combine_crosswalk(spark, path), "nw_source_url", "fuzzy_score")
+
+    crosswalk.refresh_crosswalk(titles("Acme opens plant"), rp, inputs("v1"), path, book)
+    assert stored() == [("u1", 100.0), ("u2", 100.0)]
+    redone = crosswalk.refresh_crosswalk(titles("Something else entirely"), rp, inputs("v2"), path, book)
+    assert [str(r[0]) for r in rows(redone)] == ["2024-01-01"]
+    assert stored() == [("u2", 100.0)]
+    assert crosswalk.refresh_crosswalk(titles("Acme opens plant"), rp, inputs("v2"), path, book).count() == 0
+
+
+def test_merged_table_is_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "merged")
+    for n in (3, 2):
+        writers.write_merged(spark.range(n), path)
+        assert spark.read.parquet(path).count() == n
+    assert [p.name for p in tmp_path.iterdir()] == ["merged"]

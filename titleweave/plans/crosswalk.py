@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titleweave.functions.text import has_text
+from titleweave.operators.ledger import months_to_rebuild
 from titleweave.operators.matching import fuzzy_best_match
+from titleweave.session import freeze, read_or_empty
+from titleweave.sources.writers import replace_crosswalk_months
 
 DEFAULT_MIN_SCORE = 80.0
 
@@ -82,3 +85,31 @@ def web_crosswalk(
         left, feed, "gdelt_headline", ["gdelt_source_url", "gdelt_headline", "gdelt_source_name"],
         min_score=min_score, **options,
     )
+
+
+CROSSWALK_LEDGER = "source string, month date, input_version string"
+
+
+def refresh_crosswalk(
+    titles: DataFrame, feed: DataFrame, inputs: DataFrame, path: str, ledger_path: str, **options
+) -> DataFrame:
+    """Rebuild only the months whose inputs are new or changed, and return those months.
+
+    ``inputs`` lists (source, month, input_version) as they are now. A month is rebuilt for
+    all its sources together, so a source that arrives late is never missed.
+    """
+    ledger = read_or_empty(titles.sparkSession, ledger_path, CROSSWALK_LEDGER)
+    due = months_to_rebuild(inputs, ledger)
+    months = freeze(due.select("month").distinct())
+    # Partition columns of the title lake: the semi-join prunes the months not due.
+    keys = months.select(F.year("month").alias("year"), F.month("month").alias("month"))
+    due_titles = titles.join(F.broadcast(keys), ["year", "month"], "left_semi")  # months: bounded
+    of_month = F.trunc(F.to_date("timestamp_utc"), "month")
+    due_feed = feed.withColumn("_month", of_month).join(
+        F.broadcast(months.withColumnRenamed("month", "_month")), "_month", "left_semi"
+    )
+    crosswalk = newswire_crosswalk(due_titles, due_feed.drop("_month"), **options)
+    replace_crosswalk_months(crosswalk, months, path)
+    done = inputs.join(months, "month", "left_semi").select("source", "month", "input_version")
+    done.write.mode("append").parquet(ledger_path)
+    return months

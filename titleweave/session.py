@@ -56,6 +56,20 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` and a function turning text into its path objects."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A parquet table, or no rows when nothing has been written yet."""
+    files, to_path = file_system(spark, path)
+    if files.exists(to_path(path)):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 # Largest table that is sent to every executor; measured, not estimated.
 MAX_BROADCAST_BYTES = 64 * 2**20
 

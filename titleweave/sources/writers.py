@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.operators.ledger import ledger_entries
+from titleweave.session import file_system, freeze, read_or_empty
 
 TITLE_PARTITIONS = ["source", "year", "month", "day"]
 
@@ -59,6 +60,19 @@ def write_crosswalk(crosswalk: DataFrame, path: str) -> None:
     _overwrite_partitions(crosswalk.withColumn("ym", F.date_format("date", "yyyy-MM")), path, ["ym"])
 
 
+def replace_crosswalk_months(crosswalk: DataFrame, months: DataFrame, path: str) -> None:
+    """Write rebuilt months (``month``, first of month); one that no longer has any match
+    loses its old partition, which a dynamic overwrite alone would keep."""
+    spark = crosswalk.sparkSession
+    rows = freeze(crosswalk)
+    write_crosswalk(rows, path)
+    rebuilt = months.select(F.date_format("month", "yyyy-MM").alias("ym"))
+    written = rows.select(F.date_format("date", "yyyy-MM").alias("ym"))
+    files, to_path = file_system(spark, path)
+    for row in rebuilt.subtract(written).collect():  # a list of months
+        files.delete(to_path(f"{path}/ym={row.ym}"), True)
+
+
 def combine_crosswalk(spark: SparkSession, path: str, url: str = "nw_source_url") -> DataFrame:
     """All months together, ordered by date and URL."""
     return spark.read.parquet(path).drop("ym").orderBy("date", url)
@@ -70,9 +84,8 @@ def write_merged(merged: DataFrame, path: str) -> None:
     spark = merged.sparkSession
     fresh, old = (f"{path}.{label}-{uuid.uuid4().hex}" for label in ("new", "old"))
     merged.write.parquet(fresh)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target, new, previous = hadoop(path), hadoop(fresh), hadoop(old)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, to_path = file_system(spark, path)
+    target, new, previous = to_path(path), to_path(fresh), to_path(old)
     existed = files.exists(target)
     if existed and not files.rename(target, previous):
         raise OSError(f"could not set {path} aside")
@@ -100,13 +113,8 @@ def relayout_flat_to_hive(spark: SparkSession, flat: str, target: str) -> DataFr
         .drop("_y", "_m")
     )
     keys = ["year", "month"]
-    try:
-        done = spark.read.parquet(target).select(*keys).distinct()
-        todo = source.join(done, keys, "left_anti")
-    except Exception as error:  # noqa: BLE001 - a target that does not exist yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        todo = source
+    done = read_or_empty(spark, target, "year int, month int").distinct()
+    todo = source.join(done, keys, "left_anti")
     todo.select(*source.columns).write.mode("append").partitionBy(*keys).parquet(target)
     before = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_rows"))
     after = spark.read.parquet(target).groupBy(*keys).agg(F.count(F.lit(1)).alias("target_rows"))
