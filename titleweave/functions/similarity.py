@@ -46,6 +46,12 @@ def may_reach(min_score: float, left: str, right: str) -> str:
     )
 
 
+def length_reach(min_score: float, length: int) -> tuple[float, float]:
+    """Shortest and longest partner length that can reach ``min_score``."""
+    t = max(min_score - _SLACK, _SLACK)
+    return length * t / (200 - t), length * (200 - t) / t
+
+
 def _symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All characters of ``texts`` as (text number, position, code point) columns."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)

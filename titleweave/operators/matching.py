@@ -17,7 +17,7 @@ materialised:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from titleweave.functions import similarity, text
@@ -60,19 +60,31 @@ def _tile_side(keys: DataFrame, block: str, own: str, other: str, side: str) ->
     )
 
 
-def _block_tiles(keys: DataFrame, block: str, tile_rows: int) -> DataFrame | None:
-    """Tiles per block that has keys on both sides; None when one tile is enough everywhere."""
-
-    def tiles(which: str) -> Column:
-        return F.ceil(F.count_if(F.expr(which)) / F.lit(tile_rows)).cast("int")
-
+def _survey(keys: DataFrame, block: str, tile_rows: int) -> tuple[DataFrame | None, Row]:
+    """Tiles per block that has keys on both sides (None when one tile is enough everywhere),
+    and the overall range of key lengths on each side."""
+    sides = {"left": "_wanted and not _offered", "right": "_offered"}
+    measures = []
+    for side, which in sides.items():
+        here = F.expr(which)
+        measures.append(F.ceil(F.count_if(here) / F.lit(tile_rows)).cast("int").alias(f"_{side}_tiles"))
+        measures.append(F.min(F.when(here, F.length("_key"))).alias(f"{side}_min"))
+        measures.append(F.max(F.when(here, F.length("_key"))).alias(f"{side}_max"))
     sizes = broadcast_if_small(
-        keys.groupBy(block)
-        .agg(tiles("_wanted and not _offered").alias("_left_tiles"), tiles("_offered").alias("_right_tiles"))
-        .filter("_left_tiles > 0 and _right_tiles > 0")
+        keys.groupBy(block).agg(*measures).filter("_left_tiles > 0 and _right_tiles > 0")
     )
-    most = sizes.agg(F.max(F.greatest("_left_tiles", "_right_tiles"))).first()[0]
-    return None if most in (None, 1) else sizes
+    ranges = [f(c).alias(c) for side in sides for f, c in ((F.min, f"{side}_min"), (F.max, f"{side}_max"))]
+    summary = sizes.agg(F.max(F.greatest("_left_tiles", "_right_tiles")).alias("most"), *ranges).first()
+    tiles = sizes.select(block, "_left_tiles", "_right_tiles")
+    return (None if summary.most in (None, 1) else tiles), summary
+
+
+def _length_in_reach(min_score: float, shortest: int | None, longest: int | None) -> Column:
+    """Keys whose length can pair with some length in [shortest, longest]."""
+    if shortest is None:
+        return F.lit(False)
+    low, high = similarity.length_reach(min_score, shortest)[0], similarity.length_reach(min_score, longest)[1]
+    return F.length("_key").between(low, high)
 
 
 def candidate_pairs(
@@ -90,9 +102,11 @@ def candidate_pairs(
     keys that are also offered are settled and take no part.
     """
     n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = _block_tiles(keys, block, tile_rows)
+    tiles, lengths = _survey(keys, block, tile_rows)
     left = keys.filter("_wanted and not _offered").select(block, "_key")
+    left = left.filter(_length_in_reach(min_score, lengths.right_min, lengths.right_max))
     right = keys.filter("_offered").select(block, "_key", *carry)
+    right = right.filter(_length_in_reach(min_score, lengths.left_min, lengths.left_max))
     left = _tile_side(_with_tiles(left, tiles, block), block, "left", "right", "l_")
     right = _tile_side(_with_tiles(right, tiles, block), block, "right", "left", "r_")
     tile = [block, "_left", "_right"]

@@ -92,26 +92,29 @@ def weighted_quantiles(
     else:
         start, width = F.lit(0.0), F.col("_total")
 
-    def at(weight_below: Column) -> Column:
+    def position(weight_below: Column) -> Column:
         # A single point has no width; it answers every quantile.
-        p = F.coalesce(F.try_divide(weight_below - start, width), F.lit(0.0))
-        return F.struct(p.alias("p"), F.col("_v").alias("v"))
+        return F.coalesce(F.try_divide(weight_below - start, width), F.lit(0.0))
 
     curve = attach_group_facts(running, summary, keys, "inner").select(
-        *keys, F.explode(F.array(at(low), at(high))).alias("_at")
+        *keys, F.col("_v"), position(low).alias("_low"), position(high).alias("_high")
     )
-    ends = []
+    v, lo, hi = F.col("_v"), F.col("_low"), F.col("_high")
+    # Values rise along the curve, so a neighbour's position and value are plain extremes.
+    neighbours = {}
     for name, q in quantiles.items():
-        ends.append(F.max(F.when(F.col("_at.p") <= q, F.col("_at"))).alias(f"_below_{name}"))
-        ends.append(F.min(F.when(F.col("_at.p") > q, F.col("_at"))).alias(f"_above_{name}"))
+        neighbours[f"_bp_{name}"] = F.max(F.when(hi <= q, hi).when(lo <= q, lo))
+        neighbours[f"_bv_{name}"] = F.max(F.when(lo <= q, v))
+        neighbours[f"_ap_{name}"] = F.min(F.when(lo > q, lo).when(hi > q, hi))
+        neighbours[f"_av_{name}"] = F.min(F.when(hi > q, v))
 
     def between(name: str, q: float) -> Column:
-        below, above = F.col(f"_below_{name}"), F.col(f"_above_{name}")
-        share = F.try_divide(F.lit(q) - below["p"], above["p"] - below["p"])
-        inner = below["v"] + share * (above["v"] - below["v"])
-        return F.coalesce(inner, below["v"], above["v"]).alias(name)
+        bp, bv, ap, av = (F.col(f"_{part}_{name}") for part in ("bp", "bv", "ap", "av"))
+        inner = bv + F.try_divide(F.lit(q) - bp, ap - bp) * (av - bv)
+        return F.coalesce(inner, bv, av).alias(name)
 
-    return curve.groupBy(*keys).agg(*ends).select(
+    measures = [measure.alias(name) for name, measure in neighbours.items()]
+    return curve.groupBy(*keys).agg(*measures).select(
         *(by or []), *[between(name, q) for name, q in quantiles.items()]
     )
 
