@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from titleweave.operators import companies, coverage, enrichment, feed
+from titleweave.operators.matching import fuzzy_best_match
 from titleweave.operators.rows import first_per_key
 from titleweave.sources import lakes, web_extract, writers
 
@@ -74,3 +75,33 @@ def test_daily_rates_scan_each_crosswalk_once(spark):
     rows = spark.createDataFrame([("2024-01-01", "s")], "date string, rp_story_id string")
     daily = coverage.daily_match_rate(rows, {"nw": rows, "web": rows})
     assert plan_of(daily).count("Scan ExistingRDD") <= 6
+
+
+def test_a_hot_title_is_split_by_adaptive_execution(spark):
+    """A third of the titles are copies of one: the join that hands matches back to the rows
+    is divided between tasks instead of running the hot title in one."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    title = F.when(F.col("id") % 3 == 0, F.lit("acme opens plant")).otherwise(
+        F.concat(F.lit("title number "), F.xxhash64("id").cast("string"))
+    )
+    left = spark.range(0, 12000, 1, 8).select("id", F.lit("d").alias("block"), title.alias("title"))
+    # Titles found on both sides settle without tiles, which keeps this test small.
+    right = left.select((F.col("id") + 0).alias("j"), "block", F.col("title").alias("other"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        matched = fuzzy_best_match(
+            left, right, block="block", left_text="title", right_text="other", right_order=["j"]
+        )
+        assert len(matched.collect()) == 12000
+        assert "skew=true" in matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

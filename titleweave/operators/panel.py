@@ -168,17 +168,47 @@ def lag_by_id(
     return attach(numbered, earlier, [*ids, "_n"]).drop("_n")
 
 
-# Calendar frequencies: unit to truncate to, step of one period, label at the period's end?
+# Calendar frequencies: unit of one period, and whether it is labelled by its last day.
 _FREQUENCIES = {
-    "D": ("day", "day", False),
-    "W": ("week", "week", True),
-    "MS": ("month", "month", False),
-    "ME": ("month", "month", True),
-    "QS": ("quarter", "quarter", False),
-    "QE": ("quarter", "quarter", True),
-    "YS": ("year", "year", False),
-    "YE": ("year", "year", True),
+    "s": ("second", False),
+    "min": ("minute", False),
+    "h": ("hour", False),
+    "D": ("day", False),
+    "B": ("business day", False),
+    "W": ("week", True),
+    "MS": ("month", False),
+    "ME": ("month", True),
+    "QS": ("quarter", False),
+    "QE": ("quarter", True),
+    "YS": ("year", False),
+    "YE": ("year", True),
 }
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+_DAYS = {"day": 1, "week": 7}
+_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+_SOME_MONDAY = "1970-01-05"
+
+
+def _period_start(moment: Column, unit: str) -> Column:
+    if unit in _SECONDS:
+        return F.date_trunc(unit, moment)
+    if unit == "business day":  # Saturday and Sunday belong to Friday
+        return F.date_sub(moment, F.greatest(F.weekday(moment) - 4, F.lit(0)))
+    return moment if unit == "day" else F.trunc(moment, unit)
+
+
+def _period_moved(start: Column, unit: str, periods: int) -> Column:
+    if unit in _SECONDS:
+        shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(periods * _SECONDS[unit]))
+        return start + shift
+    if unit in _DAYS:
+        return F.date_add(start, periods * _DAYS[unit])
+    if unit == "business day":
+        monday = F.lit(_SOME_MONDAY).cast("date")
+        week = F.floor(F.datediff(start, monday) / 7)
+        working = week * 5 + F.weekday(start) + periods
+        return F.date_add(monday, (F.floor(working / 5) * 7 + F.pmod(working, F.lit(5))).cast("int"))
+    return F.add_months(start, periods * _MONTHS[unit])
 
 
 def lag_on_calendar(
@@ -192,31 +222,25 @@ def lag_on_calendar(
     was observed or its lagged value exists. That is a full outer join of the observed rows
     with the period values moved forward, so the id x period grid is never built.
     """
-    unit, step, at_end = _FREQUENCIES[freq]
-
-    def moved(start: Column, periods: int) -> Column:
-        if step in ("day", "week"):
-            return F.date_add(start, periods * (7 if step == "week" else 1))
-        return F.add_months(start, periods * {"month": 1, "quarter": 3, "year": 12}[step])
+    unit, at_end = _FREQUENCIES[freq]
+    moment = F.col(date).cast("timestamp") if unit in _SECONDS else F.to_date(date)
+    start = _period_start(moment, unit)
 
     def label(start: Column) -> Column:
-        return F.date_sub(moved(start, 1), 1) if at_end else start
+        return F.date_sub(_period_moved(start, unit, 1), 1) if at_end else start
 
-    day = F.to_date(date)
-    start = day if unit == "day" else F.trunc(day, unit)
     last_period = df.agg(F.max(start)).scalar()
     name = f"{prefix}{lags}_{column}"
     held = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(id_column).alias("_id"), start.alias("_start"))
         .agg(F.max_by(column, date).alias(name))
-        .withColumn("_start", moved(F.col("_start"), lags))
+        .withColumn("_start", _period_moved(F.col("_start"), unit, lags))
         .filter(F.col("_start") <= last_period)
         .select("_id", label(F.col("_start")).alias("_label"), name)
     )
-    observed = df.filter(day == label(start))
-    on = (F.col(id_column) == F.col("_id")) & (F.to_date(date) == F.col("_label"))
-    merged = observed.join(held, on, "full")
+    observed = df.filter(moment == label(start))
+    merged = observed.join(held, (F.col(id_column) == F.col("_id")) & (moment == F.col("_label")), "full")
     filled = {
         id_column: F.coalesce(id_column, "_id"),
         date: F.coalesce(F.col(date), F.col("_label").cast(df.schema[date].dataType)),
