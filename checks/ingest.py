@@ -11,7 +11,7 @@ from checks.registry import check
 from titleweave.functions import dates, text
 from titleweave.operators import companies, coverage, inventory
 from titleweave.plans import crosswalk, reports
-from titleweave.session import new_folder
+from titleweave.session import file_system, new_folder
 from titleweave.sources import cdx, html_pages, lakes, sitemaps, web_extract, writers
 
 
@@ -434,13 +434,12 @@ def _(spark, folder):
 
 
 def _name_by_month(spark: SparkSession, staged: str, flat: str) -> None:
-    """Fixture only: copy each month's single part file to ``YYYY-MM.parquet``."""
-    import shutil
-    from pathlib import Path
-
-    Path(flat).mkdir(parents=True)
-    for part in Path(staged.removeprefix("file:")).glob("ym=*/part-*.parquet"):
-        shutil.copy(part, Path(flat) / f"{part.parent.name[3:]}.parquet")
+    """Fixture only: name each month's single part file ``YYYY-MM.parquet``."""
+    files, to_path = file_system(spark, flat)
+    files.mkdirs(to_path(flat))
+    for part in files.globStatus(to_path(f"{staged}/ym=*/part-*.parquet")):
+        month = part.getPath().getParent().getName().removeprefix("ym=")
+        files.rename(part.getPath(), to_path(f"{flat}/{month}.parquet"))
 
 
 @check(
