@@ -146,6 +146,29 @@ _MONTHLY = """(select l_suppkey as id, date_trunc('month', l_shipdate)::date as
               from lineitem where day(l_shipdate) <= 9 group by 1, 2)"""
 
 
+@check(
+    "lag_by_hot_id",
+    """select event_id, coalesce(round(lag(value, 1) over (partition by event_type order by ts, event_id), 6)::varchar, '-') as lagged
+       from events""",
+)
+def _(spark, folder):
+    """Five ids hold all rows: the sliced plan, as chosen when an id outgrows a task."""
+    events = tables.table(spark, folder, "events")
+    lagged = panel.lag_by_id(events, ["event_type"], ["ts", "event_id"], ["value"], max_group_rows=100)
+    shown = F.coalesce(F.round("L1_value", 6).cast("string"), F.lit("-"))
+    return lagged.select("event_id", shown.alias("lagged"))
+
+
+@check(
+    "weighted_quantiles_sliced",
+    _quantile_sql("lineitem", "l_linestatus", "l_extendedprice", "l_quantity", _Q, False),
+)
+def _(spark, folder):
+    return panel.weighted_quantiles(
+        items(spark, folder), "l_extendedprice", "l_quantity", _Q, ["l_linestatus"], max_group_rows=1000
+    )
+
+
 @check(
     "lag_on_calendar",
     f"""with p as {_MONTHLY},

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titleweave.operators.rows import attach, attach_group_facts, number_rows, running_totals, slice_rows
+from titleweave.operators.rows import (
+    MAX_GROUP_ROWS,
+    attach,
+    attach_group_facts,
+    largest_group,
+    number_rows,
+    running_totals,
+)
+from titleweave.session import freeze
 
 
 def weighted_average(df: DataFrame, value: str, weight: str, name: str = "weighted_average") -> DataFrame:
@@ -59,31 +67,31 @@ def weighted_quantiles(
     quantiles: dict[str, float],
     by: list[str] | None = None,
     old_style: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Interpolated weighted quantiles, one column per entry of ``quantiles``.
 
     Rows sorted by (value, weight) sit at p = (running weight - w / 2) / total weight;
     ``old_style`` stretches p to start at 0 and end at 1. A run of equal values is flat, so
     only its two end points matter: rows fold into one per distinct value before anything is
-    sorted, and the running weight is computed in slices (see ``running_totals``).
+    sorted, and the running weight never needs one task for a large group (``running_totals``).
     """
     keys = by or ["_all"]
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.withColumn("_all", F.lit(0)) if not by else df
-    points = slice_rows(
+    points = freeze(
         rows.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
         .dropna()
         .groupBy(*keys, "_v")
-        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last")),
-        keys,
-        [F.col("_v")],
+        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last"))
     )
     summary = points.groupBy(*keys).agg(
         F.sum("_sum").alias("_total"),
         F.min(F.struct("_v", "_first"))["_first"].alias("_head"),
         F.max(F.struct("_v", "_last"))["_last"].alias("_tail"),
     )
-    running = running_totals(points, keys, [F.col("_v")], {"_upto": F.col("_sum")})
+    upto = {"_upto": F.col("_sum")}
+    running = running_totals(points, keys, [F.col("_v")], upto, max_group_rows)
     low = F.col("_upto") - F.col("_sum") + F.col("_first") / 2
     high = F.col("_upto") - F.col("_last") / 2
     if old_style:
@@ -154,16 +162,22 @@ def weighted_quantile_series(
 
 
 def lag_by_id(
-    df: DataFrame, ids: list[str], order: list[str], columns: list[str], lags: int = 1, prefix: str = "L"
-) -> DataFrame:
+    df: DataFrame, ids: list[str], order: list[str], columns: list[str], lags: int = 1,
+    prefix: str = "L", max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
     """Value ``lags`` rows earlier within the id, in row order.
 
-    Rows are numbered per id and meet their predecessor in an equi-join on (id, number), so
-    an id with a large share of all rows is spread over the cluster like any other.
+    One window while every id fits a task. Otherwise rows are numbered per id and meet their
+    predecessor in an equi-join on (id, number), which spreads a hot id over the cluster.
     """
-    numbered = number_rows(df, ids, [F.col(c) for c in order], "_n")
+    lagged = {f"{prefix}{lags}_{c}": c for c in columns}
+    place = [F.col(c) for c in order]
+    if largest_group(df, ids) <= max_group_rows:
+        window = Window.partitionBy(*ids).orderBy(*place)
+        return df.withColumns({name: F.lag(c, lags).over(window) for name, c in lagged.items()})
+    numbered = number_rows(df, ids, place, "_n", max_group_rows)
     earlier = numbered.select(
-        *ids, (F.col("_n") + lags).alias("_n"), *[F.col(c).alias(f"{prefix}{lags}_{c}") for c in columns]
+        *ids, (F.col("_n") + lags).alias("_n"), *[F.col(c).alias(name) for name, c in lagged.items()]
     )
     return attach(numbered, earlier, [*ids, "_n"]).drop("_n")
 

@@ -32,27 +32,29 @@ def attach_group_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: st
     return attach(df, broadcast_if_small(facts), keys, how)
 
 
-def slice_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The rows cut into slices (``_slice``) that are consecutive along ``keys`` and ``order``.
+# Rows of one key that a single task may still sort; measured before choosing a plan.
+MAX_GROUP_ROWS = 5_000_000
 
-    Range-partitioned, then checkpointed: the cut points must not move when several later
-    stages, or a retried one, read the slices.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-    return freeze(ranged.withColumn("_slice", F.spark_partition_id()))
 
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the most frequent key: one column-pruned, map-side combined count."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
 
-def running_totals(
+
+def _running_in_slices(
     df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]
 ) -> DataFrame:
-    """Inclusive running sums within ``keys`` along ``order``, without one task per key.
+    """Running sums for keys too large for one task.
 
-    ``df`` comes from ``slice_rows`` with the same keys and order, or is sliced here. Sums run
+    Rows are range-partitioned into slices that are consecutive along keys and order, and
+    checkpointed: the cut points must not move between the passes or under a retry. Sums run
     inside each slice; the slices' own totals, at most one row per slice and key, supply the
-    offsets. ``order`` must be total.
+    offsets.
     """
-    sliced = df if "_slice" in df.columns else slice_rows(df, keys, order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    sliced = freeze(ranged.withColumn("_slice", F.spark_partition_id()))
     group = [*keys, "_slice"]
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,13 +65,30 @@ def running_totals(
     )
     within = sliced.withColumns({f"_w_{name}": F.sum(x).over(inside) for name, x in totals.items()})
     result = {name: F.col(f"_w_{name}") + F.coalesce(f"_o_{name}", F.lit(0)) for name in totals}
-    kept = [c for c in sliced.columns if c != "_slice"]
-    return attach(within, offsets, group, "inner").withColumns(result).select(*kept, *totals)
+    return attach(within, offsets, group, "inner").withColumns(result).select(*df.columns, *totals)
+
+
+def running_totals(
+    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column],
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Inclusive running sums within ``keys`` along ``order``, which must be total.
+
+    A plain window while every key fits a task; slices when one does not.
+    """
+    if largest_group(df, keys) > max_group_rows:
+        return _running_in_slices(df, keys, order, totals)
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str = "row") -> DataFrame:
+def number_rows(
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "row",
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
     """1-based position of each row within ``keys`` along ``order``, as one column more."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")})
+    one = F.lit(1).cast("bigint")
+    return running_totals(df, keys, order, {name: one}, max_group_rows)
 
 
 def rows_not_in(left: DataFrame, right: DataFrame, ignore: list[str] | None = None) -> DataFrame:
