@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import mixing, sharding
+from titleweave.llm import mixing, quality_rules, sharding, simhash
+from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,26 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document and whether the learned decision list keeps it."""
+    docs = _table(spark, folder, "documents")
+    table = stage(quality_rules.measured(docs).select("doc_id", "measures"), "measures")
+    rules = quality_rules.learn_rules(quality_rules.labelled_rows(table, _table(spark, folder, "labels")))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return table.select(
+        "doc_id", *[F.col(f"measures.{n}").alias(n) for n in names],
+        quality_rules.base_failed().alias("base_failed"), quality_rules.kept(rules).alias("kept"),
+    )
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_groups(_table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
