@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import mixing, quality_rules, sharding, simhash
+from titleweave.llm import mixing, quality_rules, sharding, simhash, substring_dedup
 from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,13 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document once passages of earlier documents are gone."""
+    found = substring_dedup.remove_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document and whether the learned decision list keeps it."""
