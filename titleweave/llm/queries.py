@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import mixing, quality_rules, sharding, simhash, substring_dedup
+from titleweave.llm import decontamination, mixing, quality_rules, sharding, simhash, substring_dedup
 from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold test items, with the items."""
+    return decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document and whether the learned decision list keeps it."""

@@ -93,8 +93,15 @@ class Run:
         return at, scatter((total[at + width] - total[at]) * down[at])
 
 
-def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[Run]:
-    """Cut a text column into runs; null texts are empty."""
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+# White space and ASCII punctuation: what is left are letters, digits and all other scripts.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+def runs(column: pa.Array, limit: int = RUN_BYTES, between: np.ndarray = _WHITE) -> Iterator[Run]:
+    """Cut a text column into runs; null texts are empty. ``between`` marks the bytes that part words."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not pa.types.is_large_string(column.type):
@@ -108,19 +115,19 @@ def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[Run]:
     if column.null_count:
         lengths = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0)
         if lengths.sum() != offsets[-1] - offsets[0]:
-            yield from runs(column.fill_null(""), limit)
+            yield from runs(column.fill_null(""), limit, between)
             return
     first = 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
         last = min(max(last, first + 1), n)
-        yield _run(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+        yield _run(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], between)
         first = last
 
 
-def _run(first: int, data: np.ndarray, bounds: np.ndarray) -> Run:
+def _run(first: int, data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Run:
     n = len(data)
-    inside = ~((data == 32) | ((data - np.uint8(9)) < 5))
+    inside = ~between[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     before = np.empty(n, bool)
