@@ -5,10 +5,9 @@ divided by the segment's own score: a passage that holds a whole segment scores
 document is read as overlapping passages of which one covers any segment in full, and each
 passage queries the index for all segments at or above ``THRESHOLD``:
 
-* the sum of its words' largest impacts anywhere bounds its score; running sums give that bound
-  for all passages of a batch, and nearly all end here;
-* per block of segments, the sum of its words' largest impacts in the block bounds it again;
-* only blocks that can reach the threshold are scored.
+* per block of eight segments, the sum of its distinct words' largest impacts in the block bounds
+  its score with all of them; nearly all passages end here;
+* only the segments of blocks that can reach the threshold are scored.
 
 The bounds are true upper bounds, so nothing above the threshold is lost. A hit is verified on the
 words around it: five-word shingles of the question, and words of the answer (an item's last line,
@@ -37,8 +36,9 @@ from titleweave.llm.wordhash import PUNCTUATION, U, Run, runs
 SEGMENT = 64
 STRIDE = 32
 PASSAGE = SEGMENT + STRIDE
-BLOCK = 32
-THRESHOLD = 0.5
+BLOCK = 8
+THRESHOLD = 0.6
+PASSAGES = 4096
 SHINGLE = 5
 LEAST_OVERLAP = 0.8
 PART_WORDS = 200_000
@@ -64,6 +64,12 @@ def _shingles(words: np.ndarray) -> set[bytes]:
     return {words[i : i + width].tobytes() for i in range(len(words) - width + 1)}
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray, step: int = 1) -> np.ndarray:
+    """first, first + step, ... for each start, ``sizes`` numbers each, end to end."""
+    number = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(first, sizes) + number * step
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The last line is the answer, or the last sentence of a single line; one sentence has none."""
     lines = [line for line in text.split("\n") if line.strip()]
@@ -119,7 +125,6 @@ class Index:
         self.cell_most = np.zeros(len(self.cells))
         np.maximum.at(self.cell_most, place, impact)
         self.cell_first = np.searchsorted(self.cells, np.arange(len(self.terms) + 1) * self.blocks)
-        self.most = np.maximum.reduceat(self.impact, self.first[:-1])
         # A sieve on 16 bits of the hash: most words of a document are in no test item.
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.terms >> U(48)).astype(np.int64)] = True
@@ -133,22 +138,26 @@ class Index:
         out[maybe[known]] = at[known]
         return out
 
-    def _gather(self, first: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    def _gather(self, first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of all lists of these terms, and how many each has."""
         sizes = first[terms + 1] - first[terms]
-        return np.repeat(first[terms] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-
-    def search(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All segments scoring at least the threshold for these distinct terms, and their scores."""
-        cells = self._gather(self.cell_first, terms)
-        bound = np.bincount(self.cells[cells] % self.blocks, self.cell_most[cells], self.blocks)
-        open_ = bound >= THRESHOLD - 1e-9
-        if not open_.any():
-            return np.empty(0, np.int64), np.empty(0)
-        postings = self._gather(self.first, terms)
-        postings = postings[open_[self.segment[postings] // BLOCK]]
-        score = np.bincount(self.segment[postings], self.impact[postings], len(self.item_of))
-        hit = np.flatnonzero(score >= THRESHOLD - 1e-9)
-        return hit, score[hit]
+        return _ranges(first[terms], sizes), sizes
+
+    def search(self, passage: np.ndarray, terms: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passages given as (passage, distinct term) pairs: all hits as passage, segment, score."""
+        cells, size = self._gather(self.cell_first, terms)
+        at = np.repeat(passage, size) * self.blocks + self.cells[cells] % self.blocks
+        open_ = np.bincount(at, self.cell_most[cells], n * self.blocks) >= THRESHOLD - 1e-9
+        some = open_.reshape(n, -1).any(axis=1)[passage]
+        passage, terms = passage[some], terms[some]
+        postings, size = self._gather(self.first, terms)
+        passage, segment = np.repeat(passage, size), self.segment[postings]
+        wanted = open_[passage * self.blocks + segment // BLOCK]
+        key = passage[wanted] * len(self.item_of) + segment[wanted]
+        pairs, place = np.unique(key, return_inverse=True)
+        score = np.bincount(place, self.impact[postings[wanted]], len(pairs))
+        hit = score >= THRESHOLD - 1e-9
+        return pairs[hit] // len(self.item_of), pairs[hit] % len(self.item_of), score[hit]
 
     def _verify(self, item: Item, words: np.ndarray) -> tuple[float, float]:
         width = item.question_words
@@ -162,22 +171,30 @@ class Index:
         out: list[dict[int, tuple[float, float, float]]] = [{} for _ in range(len(run))]
         hashes = run.hashes()
         terms = self.lookup(hashes)
-        weight = np.where(terms >= 0, self.most[terms], 0.0)
-        total = np.r_[0.0, np.cumsum(weight)]
-        counts = np.diff(run.word_bounds)
-        steps = np.maximum(-(-(counts - PASSAGE) // STRIDE), 0) + 1
+        known = np.flatnonzero(terms >= 0)
+        term = terms[known]
+        # Where a document's word was met before; a passage counts each word once.
+        key = run.document_of_words()[known] * len(self.terms) + term
+        order = np.argsort(key, kind="stable")
+        again = key[order][1:] == key[order][:-1]
+        before = np.full(len(known), -1)
+        before[order[1:][again]] = known[order[:-1][again]]
+        steps = np.maximum(-(-(np.diff(run.word_bounds) - PASSAGE) // STRIDE), 0) + 1
         document = np.repeat(np.arange(len(run)), steps)
-        number = np.arange(steps.sum()) - np.repeat(np.r_[0, np.cumsum(steps)[:-1]], steps)
-        start = run.word_bounds[document] + number * STRIDE
+        start = _ranges(run.word_bounds[:-1], steps, STRIDE)
         stop = np.minimum(start + PASSAGE, run.word_bounds[document + 1])
-        for n in np.flatnonzero(total[stop] - total[start] >= THRESHOLD - 1e-6).tolist():
-            own = terms[start[n] : stop[n]]
-            d = int(document[n])
-            for segment, score in zip(*self.search(np.unique(own[own >= 0]))):
-                item = self.items[self.item_of[segment]]
-                a = max(int(start[n]) - item.length, int(run.word_bounds[d]))
-                b = min(int(stop[n]) + item.length, int(run.word_bounds[d + 1]))
-                question, answer = self._verify(item, hashes[a:b])
+        first, last = np.searchsorted(known, start), np.searchsorted(known, stop)
+        for a in range(0, len(start), PASSAGES):
+            part = slice(a, a + PASSAGES)
+            size = last[part] - first[part]
+            at = _ranges(first[part], size)
+            passage = np.repeat(np.arange(len(size)), size)
+            new = before[at] < start[part][passage]
+            for n, segment, score in zip(*self.search(passage[new], term[at[new]], len(size))):
+                d, item = int(document[a + n]), self.items[self.item_of[segment]]
+                low = max(int(start[a + n]) - item.length, int(run.word_bounds[d]))
+                high = min(int(stop[a + n]) + item.length, int(run.word_bounds[d + 1]))
+                question, answer = self._verify(item, hashes[low:high])
                 if question >= LEAST_OVERLAP and answer >= LEAST_OVERLAP:
                     found = (float(score), question, answer)
                     out[d][item.item_id] = max(found, out[d].get(item.item_id, found))
