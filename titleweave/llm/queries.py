@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import decontamination, mixing, quality_rules, sharding, simhash, substring_dedup
+from titleweave.llm import decontamination, html_text, mixing, quality_rules, sharding, simhash, substring_dedup
 from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_per_row(mixing.mix_counts(docs)).select(
         F.col("id").alias("doc_id"), "size", "source", "source_size", "target", "taken"
     )
+
+
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = html_text.extract_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
