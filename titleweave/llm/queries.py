@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import decontamination, html_text, mixing, quality_rules, sharding, simhash, substring_dedup
+from titleweave.llm import decontamination, html_text, mixing, quality_net, quality_rules, sharding, simhash, substring_dedup
 from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     pages = html_text.extract_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    found = quality_net.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
