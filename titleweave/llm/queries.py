@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleweave.llm import decontamination, html_text, mixing, quality_net, quality_rules, sharding, simhash, substring_dedup
+from titleweave.llm import (
+    decontamination, html_text, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
+)
 from titleweave.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     found = quality_net.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Language-model score of every document."""
+    return pitman_yor.score_texts(_table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
