@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.llm import (
-    decontamination, html_text, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
+    decontamination, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
 )
 from titleweave.llm.common import stage
 
@@ -25,6 +25,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses whose notices stand in documents."""
+    return license_scan.scan_licenses(_table(spark, folder, "documents"))
+
+
 @query
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near-equal bytes."""
