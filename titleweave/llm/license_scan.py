@@ -127,7 +127,7 @@ def scan_licenses(df: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLA
 
     Containment is the share of a template's shingles in one window, at least ``LEAST``. Null,
     blank and very short texts have none; of one family of
-    notices a window counts for the best only; rows with equal ids are one document; an empty table
+    notices a document keeps the best only (all of them if tied); rows with equal ids are one document; an empty table
     gives no rows.
     """
     spark = df.sparkSession
@@ -162,10 +162,10 @@ def scan_licenses(df: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLA
     ).select("doc_id", "start", "window", "template", "license", "family", "own").distinct()
     share = F.size(F.array_intersect("window", "own")) / F.size("own")
     verified = met.withColumn("containment", share).where(F.col("containment") >= LEAST)
-    # Of notices that differ in a word or two, such as versions, a window holds the best one.
-    nearest = F.max("containment").over(Window.partitionBy("doc_id", "window", "family"))
-    verified = verified.withColumn("nearest", nearest).where(F.col("containment") == F.col("nearest"))
     best = F.max(F.struct("containment", (-F.col("template")).alias("n")))
-    return verified.groupBy("doc_id", "license").agg(best.alias("b")).select(
+    each = verified.groupBy("doc_id", "family", "license").agg(best.alias("b"))
+    # Notices that differ in a word or two, such as versions, all match one place: the best stays.
+    nearest = F.max("b.containment").over(Window.partitionBy("doc_id", "family"))
+    return each.withColumn("nearest", nearest).where(F.col("b.containment") == F.col("nearest")).select(
         "doc_id", "license", F.col("b.containment").alias("containment"), (-F.col("b.n")).alias("template")
     )
