@@ -179,11 +179,11 @@ def taken_per_row(counts: DataFrame) -> DataFrame:
 def mix(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mixed rows themselves: every row of ``df`` as often as the mix takes it, same columns."""
     counts = mix_counts(df, row_id, source, text, **options)
-    row, copies = free_name(df, "mix_row"), free_name(df, "mix_copies")
+    row, copies, its_id, its_row = (free_name(df, n) for n in ("mix_row", "mix_copies", "mix_id", "mix_digest"))
     digest = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
     once = df.withColumn(row, digest).dropDuplicates([row_id, row])
     take = counts.where("copies > 0").select(
-        F.col("id").alias("mix_id"), F.col("row").alias("mix_digest"), F.col("copies").alias(copies)
+        F.col("id").alias(its_id), F.col("row").alias(its_row), F.col("copies").alias(copies)
     )
-    joined = once.join(take, F.col(row_id).eqNullSafe(F.col("mix_id")) & (F.col(row) == F.col("mix_digest")))
+    joined = once.join(take, F.col(row_id).eqNullSafe(F.col(its_id)) & (F.col(row) == F.col(its_row)))
     return joined.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)

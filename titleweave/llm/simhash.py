@@ -228,30 +228,48 @@ def links(prints: DataFrame) -> DataFrame:
     return tiles.mapInArrow(_link_lists, "u bigint, v bigint")
 
 
-def near_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for every row: the smallest id reachable over links of few bits.
-
-    Blank and null texts share fingerprint zero and link like any other. Repeated rows keep their
-    rows; a null id counts as larger than any other, and a component of null ids only has a null
-    component. An empty table gives no rows.
-    """
-    rows = stage(df.select(F.col(row_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp")), "fingerprints")
+def _grouped(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """doc_id, digest (of the text), fp, root (fingerprint of the component), least (smallest id in it)."""
+    rows = stage(
+        df.select(
+            F.col(row_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
+            fingerprint(F.col(text)).alias("fp"),
+        ),
+        "fingerprints",
+    )
     own = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID))
     prints = stage(rows.groupBy("fp").agg(F.min(own).alias("first")), "distinct-fingerprints")
     roots = stage(components(links(prints.select("fp"))), "roots")
     rooted = prints.join(roots, prints.fp == roots.node).select("fp", "root", "first")
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    moved = rooted.join(least, "root").select(F.col("fp").alias("moved"), "least")
+    moved = rooted.join(least, "root").select(F.col("fp").alias("moved"), "root", "least")
     named = prints.join(moved, F.col("fp") == F.col("moved"), "left").select(
-        F.col("fp").alias("print"), F.coalesce("least", "first").alias("least")
+        F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("least")
     )
-    found = rows.join(named, F.col("fp") == F.col("print"))
+    return rows.join(named, F.col("fp") == F.col("print")).drop("print")
+
+
+def near_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, fp, component_id for every row: the smallest id reachable over links of few bits.
+
+    Blank and null texts share fingerprint zero and link like any other. Repeated rows keep their
+    rows; a null id counts as larger than any other, and a component of null ids only has a null
+    component. An empty table gives no rows.
+    """
+    found = _grouped(df, row_id, text)
     return found.select("doc_id", "fp", F.nullif(F.col("least"), F.lit(_LAST_ID)).alias("component_id"))
 
 
 def keep_one(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``df`` for each component: that of its smallest id. Same columns."""
-    keeper = free_name(df, "keeper")
-    heads = near_groups(df, row_id, text).select(F.col("component_id").alias(keeper)).distinct()
-    chosen = df.join(heads, F.col(row_id).eqNullSafe(F.col(keeper)), "left_semi")
-    return chosen.dropDuplicates([row_id])
+    """One row of ``df`` for each component: that of its smallest id, ties by the text's hash. Same columns.
+
+    A component of null ids only keeps one row too; of fully repeated rows one stays.
+    """
+    digest, head, its_text = (free_name(df, n) for n in ("text_digest", "head_id", "head_text"))
+    own = F.struct(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), "digest")
+    heads = _grouped(df, row_id, text).groupBy("root").agg(F.min(own).alias("h")).select(
+        F.nullif(F.col("h.id"), F.lit(_LAST_ID)).alias(head), F.col("h.digest").alias(its_text)
+    )
+    with_digest = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    is_head = F.col(row_id).eqNullSafe(F.col(head)) & (F.col(digest) == F.col(its_text))
+    return with_digest.join(heads, is_head, "left_semi").dropDuplicates([row_id, digest]).select(*df.columns)
