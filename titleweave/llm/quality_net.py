@@ -39,7 +39,8 @@ for _c in range(256):
     elif chr(_c).isdigit():
         _KIND[_c] = 2
 _KIND[[9, 10, 11, 12, 13, 32]] = -1
-_NOT_CAPITAL = np.array([_KIND[c] == 0 and not 65 <= c <= 90 and c < 128 for c in range(256)])
+_SMALL = np.array([97 <= c <= 122 for c in range(256)])
+_CAPITAL = np.array([65 <= c <= 90 for c in range(256)])
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -64,10 +65,9 @@ def tokens(run: Run) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(0x9E3779B97F4A7C15, len(data) + 1)
     total = sums(_BYTE[data] * up[1:])
     hashes = scatter((total[end] - total[start]) * down[start])
-    small = sums(_NOT_CAPITAL[data], np.int64)
+    small, capital = sums(_SMALL[data], np.int64), sums(_CAPITAL[data], np.int64)
     which = kind[start].astype(np.int64)
-    which[(which == 0) & (small[end] == small[start])] = 1
-    which = np.where(kind[start] == 2, 2, which)
+    which[(which == 0) & (small[end] == small[start]) & (capital[end] > capital[start])] = 1
     bucket = FIRST[which] + (hashes % np.array(RANGES, U)[which]).astype(np.int64)
     return bucket, np.searchsorted(start, run.bounds)
 
