@@ -311,18 +311,18 @@ def _(spark, folder):
 
 @check(
     "validate_month_map",
-    """with e as (select strftime(range, '%Y-%m') as month from range(date '1996-01-01', date '1999-01-01', interval 1 month)),
+    """with e as (select strftime(range, '%Y-%m') as month from range(date '1990-01-01', date '1999-01-01', interval 1 month)),
             i as (select * from month_map where month in (select month from e))
        select 'in_range' as finding, month, snapshot_ts as value from i
        union all select 'malformed_timestamp', month, snapshot_ts from i where not regexp_full_match(snapshot_ts, '[0-9]{14}')
        union all select 'outside_range', month, null from month_map where month not in (select month from e)
        union all select 'missing', month, null from e
-         where month not in (select month from i) and month not in ('1996-05', '1998-12')
-       union all select 'covered_no_archive', month, null from i where month in ('1996-05', '1998-12')""",
+         where month not in (select month from i) and month not in ('1990-05', '1998-12')
+       union all select 'covered_no_archive', month, null from i where month in ('1990-05', '1998-12')""",
 )
 def _(spark, folder):
     months = tables.month_map(spark, folder)
-    return inventory.validate_month_map(months, "1996-01", "1998-12", ["1996-05", "1998-12"])
+    return inventory.validate_month_map(months, "1990-01", "1998-12", ["1990-05", "1998-12"])
 
 
 @check(
@@ -404,7 +404,7 @@ def _(spark, folder):
     found = articles(spark, folder)
     days = found.select(F.to_date("date").alias("day")).distinct()
     writers.write_inventory(found, days, path, ledger, "wire")
-    return spark.read.parquet(ledger).drop("input_version")
+    return spark.read.parquet(ledger).drop("input_version", "done_at")
 
 
 @check("write_merged", "select rp_story_id, headline_source from merged")

@@ -11,7 +11,8 @@ from titleweave.functions import similarity, text
 from titleweave.operators import companies, enrichment, feed, rows
 from titleweave.operators.matching import fuzzy_best_match
 from titleweave.plans import crosswalk, reports
-from titleweave.sources import web_extract
+from titleweave.session import new_folder
+from titleweave.sources import web_extract, writers
 
 
 def web_titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,9 +79,10 @@ def _(spark, folder):
     """select block, id, other, round(fuzzy_score, 6) as fuzzy_score from (
          select l.block, l.id, r.other, SCORE as fuzzy_score,
                 row_number() over (partition by l.id order by SCORE desc, r.other) as place
-         from (select 'E' || (page_id % 3) as block, page_id as id, KEYL as k from pages_h1) l
-         join (select 'E' || (doc_id % 3) as block, doc_id as other, KEYR as k
-               from (select doc_id, split_part(text, chr(10), 1) as title from documents)) r
+         from (select p.page_id as id, KEYL as k, regexp_extract(html, '<html lang="([a-z]+)"', 1) as block
+               from pages_h1 join pages p using (page_id)) l
+         join (select lang as block, doc_id * 1000000 + line as other, KEYR as k
+               from (select *, line_text as title from lines)) r
            on l.block = r.block and (l.k = r.k or (length(l.k) > 0 and length(r.k) > 0
              and 108.5 * least(length(l.k), length(r.k)) >= 91.49 * greatest(length(l.k), length(r.k))))
        ) where place = 1 and fuzzy_score >= 91.5""".replace("SCORE", sql.score("l.k", "r.k"))
@@ -88,15 +90,15 @@ def _(spark, folder):
     .replace("KEYR", sql.sort_key("title"))
 )
 def _(spark, folder):
-    """The generic operator: another block, another threshold, few large blocks."""
+    """The generic operator: blocks by language, a few large ones, and another threshold."""
     h1 = F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)
     left = tables.table(spark, folder, "pages").select(
-        F.concat(F.lit("E"), F.col("page_id") % 3).alias("block"), F.col("page_id").alias("id"), h1.alias("title")
+        F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("block"), F.col("page_id").alias("id"), h1.alias("title")
     )
-    right = tables.table(spark, folder, "documents").select(
-        F.concat(F.lit("E"), F.col("doc_id") % 3).alias("block"),
-        F.col("doc_id").alias("other"),
-        F.substring_index("text", "\n", 1).alias("other_title"),
+    right = tables.lines(spark, folder).select(
+        F.col("lang").alias("block"),
+        (F.col("doc_id") * 1000000 + F.col("line")).alias("other"),
+        F.col("line_text").alias("other_title"),
     )
     matched = fuzzy_best_match(
         left, right, block="block", left_text="title", right_text="other_title",
@@ -141,6 +143,29 @@ def _(spark, folder):
     )
 
 
+@check("similar_turns")
+def _(spark, folder):
+    """Whole texts of consecutive turns, of any length; held against dynamic programming in the tests."""
+    turns = tables.table(spark, folder, "conversations").select(
+        "conv_id", "turn", text.token_sort_key(text.normalize_title(F.col("text"))).alias("a")
+    )
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
+    return turns.join(after, ["conv_id", "turn"]).select(
+        "conv_id", "turn", similarity.token_sort_ratio(F.col("a"), F.col("b")).alias("score")
+    )
+
+
+@check("no_links_still_combine", "select 0 as n_links, 10 as n_columns")
+def _(spark, folder):
+    """A crosswalk without any link is written, combined and counted with its declared columns."""
+    titles = tables.newswire_titles(spark, folder)
+    none = crosswalk.newswire_crosswalk(titles, tables.feed(spark, folder).where("headline is null"))
+    path = new_folder(spark, "no-links")
+    writers.write_crosswalk(none, path)
+    combined = writers.combine_crosswalk(spark, path)
+    return combined.agg(F.count("*").cast("int").alias("n_links")).withColumn("n_columns", F.lit(len(combined.columns)))
+
+
 @check("unify_crosswalks", "select * replace (round(fuzzy_score, 6) as fuzzy_score) from unified")
 def _(spark, folder):
     parts = [("newswire", newswire), ("gdelt", web)]

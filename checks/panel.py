@@ -142,8 +142,22 @@ def _(spark, folder):
     return lagged.select("event_id", "user_id", shown.alias("lagged"))
 
 
-_MONTHLY = """(select l_suppkey as id, date_trunc('month', l_shipdate)::date as date, max(l_quantity) as value
-              from lineitem where day(l_shipdate) <= 9 group by 1, 2)"""
+# Parts of a supplier have many months without a shipment.
+_MONTHLY = """(select l_suppkey * 1000000 + l_partkey as id, date_trunc('month', l_shipdate)::date as date,
+                      max(l_quantity) as value
+              from lineitem group by 1, 2)"""
+
+
+@check(
+    "lag_by_null_id",
+    """select event_id, coalesce(case when u is not null then round(lag(value) over (partition by u order by ts, event_id), 6) end::varchar, '-') as lagged
+       from (select *, case when user_id % 3 <> 0 then user_id end as u from events)""",
+)
+def _(spark, folder):
+    """A third of the ids is null: those rows have no predecessor."""
+    events = tables.table(spark, folder, "events").withColumn("u", F.when(F.col("user_id") % 3 != 0, F.col("user_id")))
+    lagged = panel.lag_by_id(events, ["u"], ["ts", "event_id"], ["value"])
+    return lagged.select("event_id", F.coalesce(F.round("L1_value", 6).cast("string"), F.lit("-")).alias("lagged"))
 
 
 @check(
@@ -180,10 +194,10 @@ def _(spark, folder):
         from l where value is not null or lagged is not null""",
 )
 def _(spark, folder):
+    pair = (F.col("l_suppkey") * 1000000 + F.col("l_partkey")).alias("id")
     monthly = (
         items(spark, folder)
-        .filter(F.day("l_shipdate") <= 9)
-        .groupBy(F.col("l_suppkey").alias("id"), F.trunc("l_shipdate", "month").alias("date"))
+        .groupBy(pair, F.trunc("l_shipdate", "month").alias("date"))
         .agg(F.max("l_quantity").alias("value"))
     )
     return panel.lag_on_calendar(monthly, "value", "id", lags=2, freq="MS").na.fill(-1)

@@ -385,6 +385,36 @@ def _(spark, folder):
     return ledger.months_to_rebuild(inputs, done)
 
 
+_STATES = """(select source, 'v1' as now, case source when 'view' then 'v2' when 'click' then null else 'v1' end as last
+              from (select distinct source from event_days))"""
+
+
+@check(
+    "months_to_rebuild_after_changes",
+    f"""select source, '2024-01-01' as month from {_STATES}
+        where (case when source = 'purchase' then null else now end) is distinct from last""",
+)
+def _(spark, folder):
+    """One source went back to an earlier version, one was never built, one is gone: the last state counts."""
+    sources = tables.event_days(spark, folder).select("source", F.trunc("day", "month").alias("month")).distinct()
+    entry = lambda version, day: (F.lit(version).alias("input_version"), F.lit(day).cast("timestamp").alias("done_at"))
+    past = sources.select("*", *entry("v1", "2024-02-01")).where("source <> 'click'")
+    past = past.unionByName(sources.select("*", *entry("v2", "2024-02-02")).where("source = 'view'"))
+    inputs = sources.where("source <> 'purchase'").withColumn("input_version", F.lit("v1"))
+    return ledger.months_to_rebuild(inputs, past)
+
+
+@check(
+    "days_redone_are_settled",
+    "select source, day::varchar as day from event_ledger where schema_version < 2 and source <> 'view'",
+)
+def _(spark, folder):
+    """Days that were written again with the newer schema are no longer due."""
+    old = tables.event_ledger(spark, folder).withColumn("done_at", F.lit("2024-02-01").cast("timestamp"))
+    again = old.where("source = 'view'").withColumns({"schema_version": F.lit(2), "done_at": F.lit("2024-02-02").cast("timestamp")})
+    return ledger.days_due_again(old.unionByName(again), 2)
+
+
 @check(
     "late_rows",
     """select event_id, ((source, day) in (select (source, day) from event_ledger))::int as late from event_days""",

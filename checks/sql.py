@@ -18,6 +18,7 @@ def sort_key(text: str) -> str:
 
 
 def company(text: str) -> str:
+    # The legal suffixes, as in the engine.
     words = (
         "inc|corp|corporation|co|company|ltd|limited|llc|lp|plc|group|holdings|holding|enterprises"
         "|enterprise|intl|international|technologies|technology|systems|industries|services"
@@ -100,17 +101,22 @@ TABLES: dict[str, str] = {
                year(filed) as year, month(filed) as month, day(filed) as day
         from (select *, case when page_id % 17 = 0 then (date + interval 1 month)::date else date end as filed
               from pages_h1)""",
+    "lines": """
+        select * from (
+          select *, unnest(string_split(text, chr(10))) as line_text,
+                 unnest(range(1, len(string_split(text, chr(10))) + 1)) as line
+          from documents) where line_text <> ''""",
     "feed": f"""
         select ({_day('doc_id')}::timestamp + to_hours((doc_id % 24)::int)) as timestamp_utc,
-               lpad(doc_id::varchar, 12, '0') as rp_story_id,
+               lpad(doc_id::varchar, 12, '0') || '-' || lpad(line::varchar, 6, '0') as rp_story_id,
                'E' || ((doc_id // 3) % 50) as rp_entity_id,
                case when source in ('src0', 'src1') then 'ORGA' else 'COMP' end as entity_type,
                'Entity E' || ((doc_id // 3) % 50) as entity_name,
                case when lang = 'en' then 'US' else 'XX' end as country_code,
                70 + length(source) * 4 + doc_id % 9 as relevance,
                source as source_name, 'P' as provider_id, (doc_id // 2)::varchar as provider_story_id,
-               split_part(text, chr(10), 1) as headline
-        from documents""",
+               line_text as headline
+        from lines""",
     "feed_titles": r"""
         select timestamp_utc::date as date, rp_story_id, rp_entity_id, entity_name as rp_entity_name,
                headline as rp_headline, source_name as rp_source_name
@@ -183,10 +189,7 @@ TABLES: dict[str, str] = {
         from (select *, slug_ok and slug <> '' and not regexp_full_match(lower(slug), '[a-z]{{2}}(-[a-z]{{2}})?')
                      as use_slug from cdx_rows)""",
     "companies": """
-        select doc_id as permno,
-               array_to_string(string_split(split_part(text, chr(10), 1), ' ')[:2], ' ') || ' Inc' as comnam,
-               upper(source[1:5]) as ticker
-        from documents""",
+        select doc_id as permno, line_text || ' Inc' as comnam, upper(source) as ticker from lines""",
     "lookup": f"""
         select * from (select distinct permno, comnam, ticker, {company('comnam')} as comnam_norm from companies)
         where length(comnam_norm) >= 5""",
@@ -204,8 +207,7 @@ TABLES: dict[str, str] = {
     "month_map": """
         select month, case when top % 2 = 1 then 'x' else '' end || stamp as snapshot_ts
         from (select strftime(o_orderdate, '%Y-%m') as month, max(o_orderkey) as top,
-                     strftime(max(o_orderdate), '%Y%m%d%H%M%S') as stamp from orders group by 1)
-        where month not in ('1996-05', '1997-02', '1997-03')""",
+                     strftime(max(o_orderdate), '%Y%m%d%H%M%S') as stamp from orders group by 1)""",
 }
 
 

@@ -55,13 +55,22 @@ def newswire_titles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by line: every column, the line's number from 1 and its whole text; empty lines are left out."""
+    docs = table(spark, folder, "documents")
+    return docs.select("*", F.posexplode(F.split("text", "\n"))).select(
+        *docs.columns, (F.col("pos") + 1).alias("line"), F.col("col").alias("line_text")
+    ).where("line_text <> ''")
+
+
 def feed(spark: SparkSession, folder: str) -> DataFrame:
-    """The entity-tagged feed: one row per document, title = its whole first line."""
+    """The entity-tagged feed: one row per line of a document, so that no text is left out."""
     entity = F.concat(F.lit("E"), ((F.col("doc_id") / 3).cast("bigint") % 50).cast("string"))
     hours = F.make_dt_interval(F.lit(0), (F.col("doc_id") % 24).cast("int"))
-    return table(spark, folder, "documents").select(
+    number = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    return lines(spark, folder).select(
         (_day("doc_id").cast("timestamp") + hours).alias("timestamp_utc"),
-        F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("rp_story_id"),
+        F.concat(number, F.lit("-"), F.lpad(F.col("line").cast("string"), 6, "0")).alias("rp_story_id"),
         entity.alias("rp_entity_id"),
         F.when(F.col("source").isin("src0", "src1"), "ORGA").otherwise("COMP").alias("entity_type"),
         F.concat(F.lit("Entity "), entity).alias("entity_name"),
@@ -70,7 +79,7 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
         F.col("source").alias("source_name"),
         F.lit("P").alias("provider_id"),
         (F.col("doc_id") / 2).cast("bigint").cast("string").alias("provider_story_id"),
-        F.substring_index("text", "\n", 1).alias("headline"),
+        F.col("line_text").alias("headline"),
     )
 
 
@@ -189,12 +198,11 @@ def name_periods(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def constituents(spark: SparkSession, folder: str) -> DataFrame:
-    """Companies named after the first two words of each document's title."""
-    headline = F.substring_index("text", "\n", 1)
-    return table(spark, folder, "documents").select(
+    """Companies named after whole lines of the documents."""
+    return lines(spark, folder).select(
         F.col("doc_id").alias("permno"),
-        F.concat(F.substring_index(headline, " ", 2), F.lit(" Inc")).alias("comnam"),
-        F.upper(F.substring("source", 1, 5)).alias("ticker"),
+        F.concat(F.col("line_text"), F.lit(" Inc")).alias("comnam"),
+        F.upper("source").alias("ticker"),
     )
 
 
@@ -226,5 +234,4 @@ def month_map(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "orders")
         .groupBy(month.alias("month"))
         .agg(F.when(odd, F.concat(F.lit("x"), stamp)).otherwise(stamp).alias("snapshot_ts"))
-        .filter("month not in ('1996-05', '1997-02', '1997-03')")
     )

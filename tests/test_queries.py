@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -19,6 +20,9 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# Similarity of texts of any length: whole-number arithmetic beyond SQL's, tested below.
+NO_SQL = {"similar_turns"}
+
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not present")
 
 
@@ -40,10 +44,10 @@ def duck():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) <= set(entry_points.oracle_sql())
+    assert set(QUERIES) - set(entry_points.oracle_sql()) == NO_SQL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_SQL))
 def test_query(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
     found = duck.execute(entry_points.oracle_sql()[name])
@@ -57,3 +61,22 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert "fuzzy_score" in entry_points.entry(spark).columns
+
+
+def test_similar_turns_by_dynamic_programming(spark):
+    from titleweave.functions import text
+
+    turns = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+    keyed = turns.select("conv_id", "turn", text.token_sort_key(text.normalize_title(F.col("text"))).alias("k"))
+    keys = {(r.conv_id, r.turn): r.k for r in keyed.collect()}
+    got = {(r.conv_id, r.turn): r.score for r in QUERIES["similar_turns"](spark, FOLDER).collect()}
+    assert set(got) == {k for k in keys if (k[0], k[1] + 1) in keys} and got
+    for (conversation, turn), score in got.items():
+        a, b = keys[conversation, turn], keys[conversation, turn + 1]
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b, 1):
+                row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+        total = len(a) + len(b)
+        assert score == pytest.approx(200 * row[-1] / total if total else 100, abs=1e-4)

@@ -106,6 +106,23 @@ def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
     return lcs
 
 
+# From this many machine words on, whole-number arithmetic of any length beats word-wise carries.
+_LONG = 3
+
+
+def lcs_length_long(left: str, right: str) -> int:
+    """The same recurrence for one pair of long keys: one big integer holds all of ``left``."""
+    masks: dict[str, int] = {}
+    for place, character in enumerate(left):
+        masks[character] = masks.get(character, 0) | 1 << place
+    full = (1 << len(left)) - 1
+    state = full
+    for character in right:
+        hit = state & masks.get(character, 0)
+        state = ((state + hit) | (state - hit)) & full
+    return len(left) - state.bit_count()
+
+
 def score_pairs(left: pd.Series, right: pd.Series) -> np.ndarray:
     """Similarity of each pair in [0, 100]; two empty keys are identical."""
     a, b = left.tolist(), right.tolist()
@@ -116,6 +133,9 @@ def score_pairs(left: pd.Series, right: pd.Series) -> np.ndarray:
     words = sizes[:, 0] // 64
     for width in np.unique(words):
         part = np.flatnonzero(words == width)
+        if width >= _LONG:
+            lcs[part] = [lcs_length_long(a[i], b[i]) for i in part]
+            continue
         lcs[part] = lcs_lengths([a[i] for i in part], [b[i] for i in part])
     distance = total - 2 * lcs
     ratio = np.divide(distance, total, out=np.zeros_like(total), where=total > 0)

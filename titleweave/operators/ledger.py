@@ -70,10 +70,26 @@ def month_status(ledger: DataFrame, as_of: Column | str, marked: DataFrame | Non
     )
 
 
+def latest_entries(ledger: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The value of ``column`` in the last entry of each key; entries without ``done_at`` are the oldest.
+
+    An append-only ledger keeps what was true before; only the last entry says what is.
+    """
+    when = F.col("done_at") if "done_at" in ledger.columns else F.lit(None).cast("timestamp")
+    place = F.struct(F.coalesce(when, F.lit(0).cast("timestamp")), column)
+    return ledger.groupBy(*keys).agg(F.max(place)[column].alias(column))
+
+
 def months_to_rebuild(inputs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """(source, month) whose input version is new or differs from the one last processed."""
-    done = ledger.select("source", "month", "input_version").distinct()
-    return inputs.join(done, ["source", "month", "input_version"], "left_anti").select("source", "month")
+    """(source, month) whose input is new, gone, or of another version than the one last processed.
+
+    A source that is gone has a last entry with a version; once its month is rebuilt its entry
+    has none.
+    """
+    keys = ["source", "month"]
+    done = latest_entries(ledger, keys, "input_version").withColumnRenamed("input_version", "_done")
+    both = inputs.select(*keys, "input_version").join(done, keys, "full")
+    return both.where(~F.col("input_version").eqNullSafe(F.col("_done"))).select(*keys)
 
 
 def flag_late_rows(rows: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -86,8 +102,9 @@ def flag_late_rows(rows: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def days_due_again(ledger: DataFrame, schema_version: int) -> DataFrame:
-    """Finished days written with an older schema: the ones a forced re-run must redo."""
-    return ledger.filter(F.col("schema_version") < schema_version).select("source", "day")
+    """Days last written with an older schema: the ones a forced re-run must redo."""
+    last = latest_entries(ledger, ["source", "day"], "schema_version")
+    return last.filter(F.col("schema_version") < schema_version).select("source", "day")
 
 
 def after_first_coverage(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,21 +167,22 @@ def lag_by_id(
     df: DataFrame, ids: list[str], order: list[str], columns: list[str], lags: int = 1,
     prefix: str = "L", max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Value ``lags`` rows earlier within the id, in row order.
+    """Value ``lags`` rows earlier within the id, in row order; null where an id is null.
 
     One window while every id fits a task. Otherwise rows are numbered per id and meet their
     predecessor in an equi-join on (id, number), which spreads a hot id over the cluster.
     """
     lagged = {f"{prefix}{lags}_{c}": c for c in columns}
     place = [F.col(c) for c in order]
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids])
     if largest_group(df, ids) <= max_group_rows:
         window = Window.partitionBy(*ids).orderBy(*place)
-        return df.withColumns({name: F.lag(c, lags).over(window) for name, c in lagged.items()})
+        return df.withColumns({name: F.when(known, F.lag(c, lags).over(window)) for name, c in lagged.items()})
     numbered = number_rows(df, ids, place, "_n", max_group_rows)
     earlier = numbered.select(
         *ids, (F.col("_n") + lags).alias("_n"), *[F.col(c).alias(name) for name, c in lagged.items()]
     )
-    return attach(numbered, earlier, [*ids, "_n"]).drop("_n")
+    return attach(numbered, earlier.where(known), [*ids, "_n"]).drop("_n")
 
 
 # Calendar frequencies: unit of one period, and whether it is labelled by its last day.

@@ -146,6 +146,7 @@ def freq_counts(
     result = result.withColumn("freq", F.col("count") / total * 100)
     if with_cum_freq:
         result = result.withColumn("cum_freq", F.col("_running") / total * 100).drop("_running")
+    result = result.orderBy(F.col("count").desc(), F.col(column).asc_nulls_first())
     return result if with_count else result.drop("count")
 
 

@@ -87,7 +87,7 @@ def web_crosswalk(
     )
 
 
-CROSSWALK_LEDGER = "source string, month date, input_version string"
+CROSSWALK_LEDGER = "source string, month date, input_version string, done_at timestamp"
 
 
 def refresh_crosswalk(
@@ -96,10 +96,13 @@ def refresh_crosswalk(
     """Rebuild only the months whose inputs are new or changed, and return those months.
 
     ``inputs`` lists (source, month, input_version) as they are now. A month is rebuilt for
-    all its sources together, so a source that arrives late is never missed.
+    all its sources together, so a source that arrives late or is gone is never missed. Titles
+    are pruned by the month they are filed under, so matching across months is not offered.
     """
+    if not options.get("month_scoped", True):
+        raise ValueError("a month-wise refresh cannot match titles filed under other months")
     ledger = read_or_empty(titles.sparkSession, ledger_path, CROSSWALK_LEDGER)
-    due = months_to_rebuild(inputs, ledger)
+    due = freeze(months_to_rebuild(inputs, ledger))
     months = freeze(due.select("month").distinct())
     # Partition columns of the title lake: the semi-join prunes the months not due.
     keys = months.select(F.year("month").alias("year"), F.month("month").alias("month"))
@@ -110,6 +113,8 @@ def refresh_crosswalk(
     )
     crosswalk = newswire_crosswalk(due_titles, due_feed.drop("_month"), **options)
     replace_crosswalk_months(crosswalk, months, path)
-    done = inputs.join(months, "month", "left_semi").select("source", "month", "input_version")
+    now = inputs.join(months, "month", "left_semi").select("source", "month", "input_version")
+    gone = due.join(inputs, ["source", "month"], "left_anti").withColumn("input_version", F.lit(None).cast("string"))
+    done = now.unionByName(gone).withColumn("done_at", F.current_timestamp())
     done.write.mode("append").parquet(ledger_path)
     return months

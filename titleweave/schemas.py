@@ -42,4 +42,4 @@ CONSTITUENTS = (
 
 NAMES_LOOKUP = "permno bigint, comnam string, ticker string, comnam_norm string"
 
-LEDGER = "source string, day date, row_count bigint, schema_version int, input_version string"
+LEDGER = "source string, day date, row_count bigint, schema_version int, input_version string, done_at timestamp"

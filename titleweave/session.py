@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,6 +75,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 MAX_BROADCAST_BYTES = 64 * 2**20
 
 
+def _width(value: Column, kind: DataType) -> Column | None:
+    """Bytes that a value takes, about; None for a type whose values cannot be sized."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType)):
+            inner = F.aggregate(value, F.lit(0), lambda s, x: s + F.coalesce(F.octet_length(x), F.lit(0)) + 16)
+        elif isinstance(kind.elementType, (ArrayType, MapType, StructType)):
+            return None
+        else:
+            inner = F.size(value) * 16
+        return F.coalesce(inner, F.lit(0)) + 16
+    if isinstance(kind, StructType):
+        parts = [_width(value[f.name], f.dataType) for f in kind.fields]
+        return None if None in [p if p is None else 0 for p in parts] else sum(parts, F.lit(16))
+    return None if isinstance(kind, MapType) else F.lit(16)
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Checkpoint a table, measure it, and hint a broadcast only if it is within the bound.
 
@@ -82,10 +101,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     stays a shuffle join.
     """
     frozen = freeze(df)
-    widths = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(16)
-        for f in df.schema.fields
-    ]
+    widths = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    if any(w is None for w in widths):
+        return frozen  # what cannot be measured is not broadcast
     size = sum(widths, F.lit(32)).cast("bigint")
     total = frozen.agg(F.sum(size)).first()[0] or 0
     return F.broadcast(frozen) if total <= max_bytes else frozen

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.operators.ledger import ledger_entries
+from titleweave.schemas import NEWSWIRE_CROSSWALK, WEB_CROSSWALK
 from titleweave.session import file_system, freeze, read_or_empty
 
 TITLE_PARTITIONS = ["source", "year", "month", "day"]
@@ -52,7 +53,10 @@ def write_inventory(
     _overwrite_partitions(inventory.withColumns(parts), path, ["year", "month", "day"])
     done = processed.select(F.lit(source).alias("source"), "day")
     rows = inventory.select(F.lit(source).alias("source"), day.alias("day"))
-    ledger_entries(done, rows, schema_version=2).write.mode("append").parquet(ledger_path)
+    # Version 2 files have the slug column; the ledger says what the file really holds.
+    version = 2 if "headline_from_slug" in inventory.columns else 1
+    entries = ledger_entries(done, rows, schema_version=version).withColumn("done_at", F.current_timestamp())
+    entries.write.mode("append").parquet(ledger_path)
 
 
 def write_crosswalk(crosswalk: DataFrame, path: str) -> None:
@@ -74,8 +78,9 @@ def replace_crosswalk_months(crosswalk: DataFrame, months: DataFrame, path: str)
 
 
 def combine_crosswalk(spark: SparkSession, path: str, url: str = "nw_source_url") -> DataFrame:
-    """All months together, ordered by date and URL."""
-    return spark.read.parquet(path).drop("ym").orderBy("date", url)
+    """All months together, ordered by date and URL; no rows if no month has a match."""
+    schema = NEWSWIRE_CROSSWALK if url == "nw_source_url" else WEB_CROSSWALK
+    return read_or_empty(spark, path, f"{schema}, ym string").drop("ym").orderBy("date", url)
 
 
 def write_merged(merged: DataFrame, path: str) -> None:
