@@ -21,6 +21,63 @@ def query(build):
     return build
 
 
+def _license_sql() -> str:
+    """Containment by counting, in every window, the template shingles that stand there."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    families = license_scan.families(license_scan.TEMPLATES)
+    notices = ", ".join(
+        f"({n}, {quoted(name)}, {family}, {quoted(notice)})"
+        for n, ((name, notice), family) in enumerate(zip(license_scan.TEMPLATES, families))
+    )
+
+    def shingles(text: str) -> str:
+        return f"""select *, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) as all_of
+            from (select *, string_split(trim(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as w"""
+
+    return f"""
+    with notices(template, license, family, notice) as (values {notices}),
+    known as (
+      select template, license, family, list_distinct(all_of) as own,
+             pow(2, ceil(log2(len(list_distinct(all_of))) - 1e-9))::bigint as size
+      from ({shingles('notice')} from notices)) where len(all_of) > 0),
+    met as (
+      select doc_id, pos, shingle, k.* from (
+        select doc_id, unnest(all_of) as shingle, unnest(range(0, len(all_of))) as pos
+        from ({shingles('text')} from documents)) where len(w) >= 5) d
+      join (select *, unnest(own) as shingle from known) k using (shingle)),
+    spread as (select *, pos // size as place from met union all select *, pos // size - 1 from met where pos >= size),
+    shares as (
+      select doc_id, family, license, template, count(distinct shingle) / any_value(len(own)) as containment
+      from spread group by doc_id, family, license, template, place),
+    best as (
+      select *, row_number() over (partition by doc_id, family, license order by containment desc, template) as n,
+             max(containment) over (partition by doc_id, family) as nearest
+      from shares where containment >= {license_scan.LEAST})
+    select doc_id, license, containment, template from best where n = 1 and containment = nearest"""
+
+
+ORACLES["op1_license_scan"] = _license_sql()
+
+ORACLES["op3_substring_dedup"] = r"""
+with texts as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+  from documents),
+windows as (
+  select doc_id, unnest(range(1, len(ws) - 48)) as i,
+         unnest(list_transform(range(1, len(ws) - 48), lambda i: md5(array_to_string(ws[i:i + 49], ' ')))) as h
+  from texts where len(ws) >= 50),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 50)) as k
+  from windows join (select h, min(doc_id) as first from windows group by h) using (h) where first < doc_id),
+kept as (
+  select w.doc_id, string_agg(word, ' ' order by k) as t
+  from (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as k from texts) w
+  anti join gone using (doc_id, k) group by w.doc_id)
+select doc_id, len(ws) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from texts left join (select doc_id, count(*) as n from gone group by 1) using (doc_id) left join kept using (doc_id)
+"""
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
