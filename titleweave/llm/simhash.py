@@ -246,6 +246,8 @@ def _grouped(df: DataFrame, row_id: str, text: str) -> DataFrame:
     named = prints.join(moved, F.col("fp") == F.col("moved"), "left").select(
         F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("least")
     )
+    # From a table both sides of the join are plain exchanges, so a fingerprint of many rows can be split.
+    named = stage(named, "named-fingerprints")
     return rows.join(named, F.col("fp") == F.col("print")).drop("print")
 
 
