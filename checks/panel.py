@@ -203,6 +203,28 @@ def _(spark, folder):
     return panel.lag_on_calendar(monthly, "value", "id", lags=2, freq="MS").na.fill(-1)
 
 
+@check(
+    "lag_on_business_months",
+    """with p as (select l_suppkey as id, date_trunc('month', l_shipdate)::date as month, max(l_quantity) as value
+                  from lineitem group by 1, 2),
+             g as (select id, month::date as month from (select distinct id from p),
+                   (select unnest(range((select min(month) from p), (select max(month) from p) + interval 1 day, interval 1 month)) as month)),
+             l as (select g.id, g.month, p.value, lag(p.value) over (partition by g.id order by g.month) as lagged
+                   from g left join p using (id, month))
+        select id, (month + case isodow(month) when 6 then 2 when 7 then 1 else 0 end)::date::varchar as date,
+               coalesce(value, -1) as value, coalesce(lagged, -1) as L1_value
+        from l where value is not null or lagged is not null""",
+)
+def _(spark, folder):
+    """Months labelled by their first working day."""
+    month = F.trunc("l_shipdate", "month")
+    first = F.date_add(month, F.when(F.weekday(month) == 5, 2).when(F.weekday(month) == 6, 1).otherwise(0))
+    monthly = items(spark, folder).groupBy(F.col("l_suppkey").alias("id"), first.alias("date")).agg(
+        F.max("l_quantity").alias("value")
+    )
+    return panel.lag_on_calendar(monthly, "value", "id", freq="BMS").na.fill(-1)
+
+
 @check(
     "leave_one_out_sums",
     """select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(sum(l_quantity) over (partition by l_suppkey) - l_quantity, 6) as others
@@ -363,13 +385,13 @@ def _(spark, folder):
 
 @check(
     "stream_daily_counts",
-    "select ts::date::varchar as date, event_type, count(*) as n from events where ts::date < (select max(ts)::date from events) group by 1, 2",
+    "select ts::date::varchar as date, event_type, count(*) as n from events group by 1, 2",
 )
 def _(spark, folder):
-    """Counts of the days the watermark has closed; the newest day is still open."""
+    """Counts of the days that the watermark has closed, and of the open day from a closing batch pass."""
     events = tables.table(spark, folder, "events")
     out, checkpoint = new_folder(spark, "counts"), new_folder(spark, "progress")
     stream = streams.stream_parquet(spark, folder, events.schema, glob="events.parquet")
     counts = streams.daily_counts(stream, "ts", "0 seconds", ["event_type"])
     streams.run_available(counts, out, checkpoint)
-    return spark.read.parquet(out)
+    return streams.with_open_days(spark.read.parquet(out), events, "ts", ["event_type"])

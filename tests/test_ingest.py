@@ -91,6 +91,9 @@ def test_archives_are_rejected_whole_and_cleaned(spark, tmp_path):
     }
     titles = reports.archive_titles(files, "newswireca", "2019-11")
     assert rows(titles) == [(*r, "newswireca") for r in SLUG_ROWS]
+    done = spark.sql("select 'newswireca' as source, date '2019-11-04' as day union all select 'other', date '2019-11-05'")
+    left = reports.archive_titles(files, "newswireca", "2019-11", done)
+    assert rows(left) == [(*r, "newswireca") for r in SLUG_ROWS if r[2] != "2019-11-04"]
     assert sitemaps.scan_archives(spark, str(tmp_path)).count() == 2
 
 

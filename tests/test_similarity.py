@@ -64,3 +64,24 @@ def test_bound_never_excludes_a_reachable_pair(spark):
         assert scored.filter(~F.col("kept") & (F.col("s") >= threshold)).count() == 0
         # ... and it does exclude something.
         assert scored.filter(~F.col("kept")).count() > 0
+
+
+def test_long_keys_equal_dynamic_programming_and_are_quick():
+    import random
+    import time
+
+    from titleweave.functions.similarity import lcs_length_long, lcs_lengths
+
+    draw = random.Random(4)
+    for n, m in ((1, 700), (700, 1), (400, 900), (1200, 1100)):
+        a, b = ("".join(draw.choice("abcdé ") for _ in range(k)) for k in (n, m))
+        row = [0] * (m + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b, 1):
+                row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+        assert lcs_length_long(a, b) == row[-1] == lcs_lengths([a], [b])[0]
+    a, b = ("".join(draw.choice("abcdefgh ") for _ in range(4000)) for _ in range(2))
+    start = time.process_time()
+    lcs_length_long(a, b)
+    assert time.process_time() - start < 0.05

@@ -185,8 +185,11 @@ def lag_by_id(
     return attach(numbered, earlier.where(known), [*ids, "_n"]).drop("_n")
 
 
-# Calendar frequencies: unit of one period, and whether it is labelled by its last day.
+# Calendar frequencies by name. Unit of one period, whether it is labelled by its last
+# day, and whether a label on a weekend moves into the period's nearest working day.
 _FREQUENCIES = {
+    "us": ("microsecond", False),
+    "ms": ("millisecond", False),
     "s": ("second", False),
     "min": ("minute", False),
     "h": ("hour", False),
@@ -199,8 +202,19 @@ _FREQUENCIES = {
     "QE": ("quarter", True),
     "YS": ("year", False),
     "YE": ("year", True),
+    "BMS": ("month", False, True),
+    "BME": ("month", True, True),
+    "BQS": ("quarter", False, True),
+    "BQE": ("quarter", True, True),
+    "BYS": ("year", False, True),
+    "BYE": ("year", True, True),
 }
-_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+# Other names of the same frequencies.
+_ALIASES = {
+    "S": "s", "T": "min", "H": "h", "L": "ms", "U": "us", "M": "ME", "Q": "QE", "A": "YE", "Y": "YE", "AS": "YS",
+    "BM": "BME", "BQ": "BQE", "BA": "BYE", "BY": "BYE", "BAS": "BYS",
+}
+_SECONDS = {"microsecond": 0.000001, "millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600}
 _DAYS = {"day": 1, "week": 7}
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
 _SOME_MONDAY = "1970-01-05"
@@ -216,7 +230,8 @@ def _period_start(moment: Column, unit: str) -> Column:
 
 def _period_moved(start: Column, unit: str, periods: int) -> Column:
     if unit in _SECONDS:
-        shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(periods * _SECONDS[unit]))
+        seconds = F.lit(f"{periods * _SECONDS[unit]:.6f}").cast("decimal(18,6)")
+        shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
         return start + shift
     if unit in _DAYS:
         return F.date_add(start, periods * _DAYS[unit])
@@ -239,12 +254,17 @@ def lag_on_calendar(
     was observed or its lagged value exists. That is a full outer join of the observed rows
     with the period values moved forward, so the id x period grid is never built.
     """
-    unit, at_end = _FREQUENCIES[freq]
+    unit, at_end, working = (*_FREQUENCIES[_ALIASES.get(freq, freq)], False)[:3]
     moment = F.col(date).cast("timestamp") if unit in _SECONDS else F.to_date(date)
     start = _period_start(moment, unit)
 
     def label(start: Column) -> Column:
-        return F.date_sub(_period_moved(start, unit, 1), 1) if at_end else start
+        if at_end:
+            last = F.date_sub(_period_moved(start, unit, 1), 1)
+            return _period_start(last, "business day") if working else last
+        if working:  # Saturday and Sunday go on to Monday
+            return F.date_add(start, F.pmod(7 - F.weekday(start), F.lit(7)) * (F.weekday(start) > 4).cast("int"))
+        return start
 
     last_period = df.agg(F.max(start)).scalar()
     name = f"{prefix}{lags}_{column}"

@@ -37,7 +37,14 @@ def coverage_series(feed: DataFrame, newswire: DataFrame, web: DataFrame, window
     return rolling_mean(daily, "date", {"match_pct_ma": "match_pct"}, window)
 
 
-def archive_titles(files: DataFrame, source: str, month: str) -> DataFrame:
-    """Titles of one source's landed monthly archive: decode, parse, keep its own month."""
+def archive_titles(files: DataFrame, source: str, month: str, ledger: DataFrame | None = None) -> DataFrame:
+    """Titles of one source's landed monthly archive: decode, parse, keep its own month.
+
+    Days that ``ledger`` (source, day) lists as done are left out.
+    """
     entries = ENTRY_PARSERS[source](url_entries(decode_archives(files)))
-    return in_month_prefix(entries, month).withColumn("source", F.lit(source))
+    titles = in_month_prefix(entries, month).withColumn("source", F.lit(source))
+    if ledger is None:
+        return titles
+    done = ledger.select("source", F.date_format("day", "yyyy-MM-dd").alias("date")).distinct()
+    return titles.join(done, ["source", "date"], "left_anti").select(*titles.columns)

@@ -56,6 +56,18 @@ def daily_counts(stream: DataFrame, ts: str, delay: str = "1 day", by: list[str]
     )
 
 
+def with_open_days(closed: DataFrame, rows: DataFrame, ts: str, by: list[str] | None = None) -> DataFrame:
+    """Closing batch pass: the stream's counts of closed days, and batch counts of all later days.
+
+    ``closed`` is what ``daily_counts`` has written, ``rows`` the table behind the stream. A day
+    is open until the watermark has passed it; here it is counted as it stands now.
+    """
+    last = closed.agg(F.max("date")).scalar()
+    day = F.to_date(F.col(ts).cast("timestamp"))
+    later = rows.where(last.isNull() | (day > last)).groupBy(day.alias("date"), *(by or []))
+    return closed.unionByName(later.agg(F.count(F.lit(1)).alias("n")).select("date", *(by or []), "n"))
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there, write it to parquet and return when done."""
     query = (
