@@ -1,13 +1,12 @@
+"""Invented texts and odd rows that the tests of the training-data operators share."""
+
 import os
 import random
 import re
-import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
 SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from conftest import SCHEMA, SMALL, odd_rows, prose, words_of
+from llm_rows import SCHEMA, SMALL, documents, empty, odd, odd_rows, prose, words_of  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from conftest import SCHEMA, SMALL, odd_rows, prose, words_of
+from llm_rows import SCHEMA, SMALL, documents, empty, odd, odd_rows, prose, words_of  # noqa: F401
 
 from titleweave.llm import decontamination, license_scan, queries, quality_net, quality_rules
 

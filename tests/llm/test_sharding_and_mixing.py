@@ -3,7 +3,7 @@
 import zlib
 from collections import Counter, defaultdict
 
-from conftest import SMALL, SCHEMA, prose, words_of  # noqa: I001
+from llm_rows import SCHEMA, SMALL, documents, empty, odd, prose, words_of  # noqa: F401
 
 from pyspark.sql import functions as F
 

@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from conftest import SMALL, odd_rows
+from llm_rows import SMALL, documents, empty, odd, odd_rows  # noqa: F401
 
 import corpus_pipeline
 from titleweave.llm import decontamination, html_text, mixing, pitman_yor, queries, quality_rules, sharding, simhash
