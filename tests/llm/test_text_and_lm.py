@@ -43,6 +43,12 @@ LONG = "A long sentence of the article that has many words and no links at all,
     (f"<main><h1>T</h1><p>{LONG}<p>x</main><aside>{LONG}</aside><footer>{LONG}</footer>", f"T\n{LONG}\nx"),
     (f"<article><p>{LONG}</p><form>name <input></form><div class='ad-slot'>Buy</div><ul><li>i<li>ii</ul></article>",
      f"{LONG}\ni\nii"),
+    (f"<div class='page has sidebar'><main class='overflow hidden'><p>{LONG}</main></div><div class='sidebar'>{LONG} no</div>", LONG),
+    (f"<form id=aspnet><article><p>{LONG}</article><div class=notice>{LONG} no</div></form>", LONG),
+    (f"<div class='wrap with-sidebar'><p>{LONG}</p></div><nav>{LONG} no</nav>", LONG),
+    (f"<article><p>{LONG}</article><section id=talk><article class=comment><p>{LONG} no</article></section>", LONG),
+    (f"<div id=text><p>{LONG}<p>{LONG}</div><div id=readerComments><p>{LONG} no</div>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}<div hidden>no</div></article>", LONG),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<!-- <p>no</p> --><p>yes</p>", "yes"),
     ("<p>1 < 2 and <3</p>", "1 < 2 and <3"), ("<div>" * 3000 + "deep", "deep"),
 ])

@@ -5,7 +5,8 @@ lowers it, text outside raises it. The sum of an element's child densities peaks
 that directly holds the article. The least density on the path from there to ``body`` is the
 page's threshold: elements at or above it are searched for their own peaks, and those make the
 text. Elements that declare themselves menus, adverts, forms, notices, comments and the like
-are taken out of the tree first. If the peak lies in an ``article`` or ``main`` element, that
+are taken out of the tree first; forms and those known by class or id only stay in if they hold
+an ``article`` or ``main`` element, or if nothing else has text. If the peak lies in an ``article`` or ``main`` element, that
 whole element is the text.
 """
 
@@ -58,7 +59,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 class Node:
     __slots__ = ("tag", "parent", "parts", "part", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak")
 
-    def __init__(self, tag: str, parent: Node | None, part: bool = False):
+    def __init__(self, tag: str, parent: Node | None, part: int = 0):
         self.tag, self.parent, self.part = tag, parent, part
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -66,20 +67,24 @@ class Node:
         self.peak: Node | None = None
 
 
-def _is_part(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element declares itself to be something beside the article."""
+SURE, LIKELY = 1, 2
+
+
+def _part(tag: str, attributes: str, inside_article: bool) -> int:
+    """Whether an element declares itself to be something beside the article: 0, LIKELY or SURE."""
     if tag in PAGE_PARTS or tag == "header" and not inside_article:
-        return True
+        return LIKELY if tag == "form" else SURE
     if not attributes or tag in ("html", "body"):
-        return False
+        return 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    names = f"{found.get('class', '')} {found.get('id', '')}"
+    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}")
     if tag in ("article", "main"):
-        return bool(COMMENT_NAMES.search(names)) and inside_article
-    return bool(
+        return SURE if COMMENT_NAMES.search(names) else 0
+    bare = re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)
+    return LIKELY * bool(
         found.get("role", "").lower() in PART_ROLES
         or found.get("aria-hidden", "").lower() == "true"
-        or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes)
+        or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", bare)
         or re.search(r"display\s*:\s*none", found.get("style", ""))
         or PART_NAMES.search(names)
         or not inside_article and HEADER_NAMES.search(names)
@@ -144,7 +149,10 @@ def parse(page: str) -> Node:
                     close(n)
                     if tag != "tr":
                         break
-        node = Node(tag, stack[-1], _is_part(tag, m[3], articles > 0))
+        node = Node(tag, stack[-1], _part(tag, m[3], articles > 0))
+        if tag in ("article", "main") and not node.part:
+            for above in stack:
+                above.part = SURE if above.part == SURE else 0
         stack[-1].parts.append(node)
         if tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
@@ -267,12 +275,32 @@ def main_text(page: str | None) -> str:
     root = parse(page)
     body = next((p for p in root.parts if isinstance(p, Node) and p.tag == "body"), root)
     body.parent = None
+    text = _text(body)
+    if not text and _restore(body):
+        text = _text(body)
+    return text
+
+
+def _text(body: Node) -> str:
     nodes = _in_order(body)
     _weigh(nodes)
     _find_peaks(nodes)
     return "\n".join(_blocks(body, _chosen(body, nodes)))
 
 
+def _restore(body: Node) -> bool:
+    """Take likely parts back into the tree, and clear all counts; false if there are none."""
+    found, waiting = False, [body]
+    for node in waiting:
+        found |= node.part == LIKELY
+        node.part = SURE if node.part == SURE else 0
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.total = 0.0
+        node.peak = None
+        waiting.extend(p for p in node.parts if isinstance(p, Node))
+    return found
+
+
 @F.arrow_udf(StringType())
 def page_text(pages: pa.Array) -> pa.Array:
     return pa.array([main_text(p.as_py()) for p in pages], pa.string())
