@@ -56,6 +56,21 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<body><main><h1>Title</h1><p>lead</p><article><p>{LONG}</p><p>{LONG} two</p><p>{LONG} three</p></article></main>",
+     f"Title\nlead\n{LONG}\n{LONG} two\n{LONG} three"),
+    (f"<body><article><p>{LONG}</p><p>{LONG} two</p><p>{LONG} three</p></article>"
+     f"<article><p>{LONG} four</p><p>{LONG} five</p></article><nav><a href=a>A</a></nav>",
+     f"{LONG}\n{LONG} two\n{LONG} three\n{LONG} four\n{LONG} five"),
+    (f"<body><div><article><p>{LONG}</p><p>{LONG} two</p></article></div><div><article><p>{LONG} three</p></article></div>",
+     f"{LONG}\n{LONG} two\n{LONG} three"),
+    (f"<body><h1>{LONG} {LONG}</h1><article><p>{LONG} one</p><p>{LONG} two</p></article>", f"{LONG} {LONG}\n{LONG} one\n{LONG} two"),
+    (f"<body><article><p>{LONG}</p><p>{LONG} two</p></article><article><a href=a>More</a></article>", f"{LONG}\n{LONG} two"),
+])
+def test_articles_in_parts_and_around(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_keep_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "<p>a</p>", "old"), (1, "<p>a</p>", "old"), (None, None, None)], "page_id int, html string, text string")
     found = html_text.extract_text(df)

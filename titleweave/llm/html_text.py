@@ -6,8 +6,9 @@ that directly holds the article. The least density on the path from there to ``b
 page's threshold: elements at or above it are searched for their own peaks, and those make the
 text. Elements that declare themselves menus, adverts, forms, notices, comments and the like
 are taken out of the tree first; forms and those known by class or id only stay in if they hold
-an ``article`` or ``main`` element, or if nothing else has text. If the peak lies in an ``article`` or ``main`` element, that
-whole element is the text.
+an ``article`` or ``main`` element, or if nothing else has text. If the peak lies in an ``article`` or ``main`` element, the
+outermost such element around it is taken whole, and with it all other such elements, and the headings beside
+it or beside what it stands in, at or above the page's threshold.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ PART_NAMES = re.compile(
     r"|navbar|navigation|masthead|topbar|toolbar|footer|copyright|disclaimer|skip-?link)(?:$|[\s_-]|\d)",
     re.I,
 )
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|head)(?:$|[\s_-])", re.I)
 COMMENT_NAMES = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|related|ad|advert|sponsored|promo)(?:$|[\s_-]|\d)", re.I)
 
@@ -202,6 +204,38 @@ def _find_peaks(nodes: list[Node]) -> None:
             up.peak = node.peak
 
 
+def _threshold(node: Node) -> float:
+    """The least density on the path from an element to the body."""
+    least, up = node.density, node
+    while up is not None and up.tag != "html":
+        least, up = min(least, up.density), up.parent
+    return least
+
+
+def _with_siblings(home: Node, peak: Node, nodes: list[Node]) -> list[Node]:
+    """The outermost article around ``home``; other articles and headings beside it that are dense enough."""
+    top, path, inside, up = home, set(), False, peak
+    while up is not None:
+        inside |= up is home
+        up = up.parent
+    threshold = _threshold(peak if inside else home)
+    up = home
+    while up is not None:
+        if up.tag in ("article", "main"):
+            top = up
+        up = up.parent
+    up = top.parent
+    while up is not None:
+        path.add(id(up))
+        up = up.parent
+    found = [top]
+    for node in nodes:
+        if node is not top and node.chars and node.density >= threshold:
+            if node.tag in ("article", "main") or node.tag in HEADINGS and id(node.parent) in path:
+                found.append(node)
+    return found
+
+
 def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
     peak = root.peak
     if not peak.total:
@@ -216,10 +250,8 @@ def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
         if 2 * (best.chars - best.link_chars) >= root.chars - root.link_chars:
             node = best
     if node is not None:
-        return [node]
-    threshold, up = peak.density, peak
-    while up is not None and up.tag != "html":
-        threshold, up = min(threshold, up.density), up.parent
+        return _with_siblings(node, peak, nodes)
+    threshold = _threshold(peak)
     found, waiting = [], [root]
     while waiting:
         node = waiting.pop()
