@@ -62,6 +62,18 @@ def test_licenses_in_odd_places(spark, odd, empty):
     assert scanned(odd) == {} and scanned(empty) == {} and scanned(df, templates=()) == {}
 
 
+def test_sibling_licenses_in_places_of_their_own(spark):
+    exact, near = "licensed under the GNU General Public License, version {}", "distributed under the GNU General Public License, version {}"
+    rows = [(1, f"{exact.format(3)} {prose(1, 90)} {near.format(2)}"), (2, f"{near.format(3)} {prose(2, 40)} {exact.format(2)} {prose(3, 9)}"),
+            (3, exact.format(3)), (4, f"{exact.format(3)} {prose(4, 50)} {exact.format(3)}"), (None, f"{exact.format(3)} {prose(5, 70)} {near.format(2)}")]
+    rows += [(100 + n, f"{prose(6, n)} {exact.format(3)} {prose(7, n)} {near.format(2)}") for n in range(1, 25)]
+    df = spark.createDataFrame([(i, t, "", "", 1) for i, t in rows], SCHEMA)
+    got = scanned(df)
+    both = [i for i, _ in rows if i not in (3, 4)]
+    assert set(got) == {(i, n) for i in both for n in ("GPL-2.0", "GPL-3.0")} | {(3, "GPL-3.0"), (4, "GPL-3.0")}
+    assert got[1, "GPL-2.0"] == 0.8 and got[1, "GPL-3.0"] == 1.0 and got[2, "GPL-3.0"] == 0.8
+
+
 def test_telling_words_hit_every_shingle():
     telling = set(license_scan.telling_words(license_scan.TEMPLATES))
     for _, text in license_scan.TEMPLATES:

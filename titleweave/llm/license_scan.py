@@ -112,6 +112,51 @@ def _bands(shingles: Column) -> Column:
     )
 
 
+def _places() -> tuple[Column, Column]:
+    """Positions of a template's shingles in a window (to be held as ``at``), and the places it has there: stretches as long as it, from one of its shingles to the last, with enough of it.
+
+    If none has enough, as with words put in between, the whole stretch from its first shingle to its last.
+    """
+    width = F.size("own")
+    at = F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.array_contains("own", F.get("window", i)))
+
+    def stretch(first: Column) -> Column:
+        held = F.filter("at", lambda i: (i >= first) & (i < first + width))
+        kinds = F.size(F.array_distinct(F.transform(held, lambda i: F.get("window", i))))
+        return F.struct((kinds / width).alias("strength"), (F.col("start") + first).alias("low"),
+                        (F.col("start") + F.array_max(held)).alias("high"))
+
+    whole = F.struct(F.col("containment").alias("strength"), (F.col("start") + F.array_min("at")).alias("low"),
+                     (F.col("start") + F.array_max("at")).alias("high"))
+    dense = F.filter(F.transform("at", stretch), lambda p: p["strength"] >= LEAST)
+    return at, F.when(F.size(dense) > 0, dense).otherwise(F.array(whole))
+
+
+def _each_license(verified: DataFrame) -> DataFrame:
+    """doc_id, family, license, b (best containment and template), stands: whether some place has no better sibling.
+
+    Places of a family that overlap, directly or not, form one group; in it the strongest are taken
+    first, and one that overlaps a stronger one taken before is left out.
+    """
+    at, places = _places()
+    found = _held(verified.withColumn("at", at), "at").withColumn("p", F.explode(places))
+    best = F.max(F.struct("containment", (-F.col("template")).alias("n")))
+    placed = found.select("*", "p.*").groupBy("doc_id", "family", "license", "strength", "low", "high").agg(best.alias("b"))
+    in_order = Window.partitionBy("doc_id", "family").orderBy("low", "high", "license", "strength")
+    reached = F.max("high").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("low") <= reached, 0).otherwise(1)
+    grouped = placed.withColumn("opens", opens).withColumn("island", F.sum("opens").over(in_order))
+    members = F.sort_array(F.collect_list(F.struct("strength", "low", "high", "license", "b")), asc=False)
+    met = grouped.groupBy("doc_id", "family", "island").agg(members.alias("met"))
+    taken = F.aggregate("met", F.slice("met", 1, 0), lambda done, p: F.when(
+        F.exists(done, lambda q: (q["strength"] > p["strength"]) & (q["low"] <= p["high"]) & (p["low"] <= q["high"])), done
+    ).otherwise(F.concat(done, F.array(p))))
+    judged = _held(met.withColumn("taken", taken), "taken").select("doc_id", "family", "taken", F.explode("met").alias("p"))
+    return judged.groupBy("doc_id", "family", F.col("p.license").alias("license")).agg(
+        F.max("p.b").alias("b"), F.bool_or(F.array_contains("taken", F.col("p"))).alias("stands")
+    )
+
+
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """template, license, family, own (shingles), class_size: one row a template of five words or more."""
     rows = [(n, name, text, f) for n, ((name, text), f) in enumerate(zip(templates, families(templates)))]
@@ -127,7 +172,7 @@ def scan_licenses(df: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLA
 
     Containment is the share of a template's shingles in one window, at least ``LEAST``. Null,
     blank and very short texts have none; of one family of
-    notices a document keeps the best only (all of them if tied); rows with equal ids are one document; an empty table
+    notices each place of a document keeps the best only (all of them if tied); rows with equal ids are one document; an empty table
     gives no rows.
     """
     spark = df.sparkSession
@@ -162,10 +207,9 @@ def scan_licenses(df: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLA
     ).select("doc_id", "start", "window", "template", "license", "family", "own").distinct()
     share = F.size(F.array_intersect("window", "own")) / F.size("own")
     verified = met.withColumn("containment", share).where(F.col("containment") >= LEAST)
-    best = F.max(F.struct("containment", (-F.col("template")).alias("n")))
-    each = verified.groupBy("doc_id", "family", "license").agg(best.alias("b"))
-    # Notices that differ in a word or two, such as versions, all match one place: the best stays.
+    # Notices that differ in a word or two, such as versions, all match one place: the best of a place stays.
     nearest = F.max("b.containment").over(Window.partitionBy("doc_id", "family"))
-    return each.withColumn("nearest", nearest).where(F.col("b.containment") == F.col("nearest")).select(
+    each = _each_license(verified).withColumn("nearest", nearest)
+    return each.where(F.col("stands") | (F.col("b.containment") == F.col("nearest"))).select(
         "doc_id", "license", F.col("b.containment").alias("containment"), (-F.col("b.n")).alias("template")
     )
