@@ -14,7 +14,7 @@ import pytest
 from llm_rows import SMALL, documents, empty, odd, odd_rows  # noqa: F401
 
 import corpus_pipeline
-from titleweave.llm import decontamination, html_text, mixing, pitman_yor, queries, quality_rules, sharding, simhash
+from titleweave.llm import decontamination, html_text, mixing, pitman_yor, queries, quality_rules, seating, sharding, simhash
 from titleweave.llm.common import stage
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -138,6 +138,42 @@ def test_seating_follows_the_restaurant():
     assert (tables >= 1).all() and (tables <= [1, 7, 500_000]).all() and total.tolist() == [1, 7, 500_000]
 
 
+def tables_by_enumeration(counts, parent, discount, strength):
+    """Mean tables of two dishes, summed over all seatings by generalised Stirling numbers."""
+    kinds = []
+    for c in counts:
+        row = np.full(c + 1, -np.inf)
+        row[1] = 0
+        for k in range(1, c):
+            t = np.arange(c + 1)
+            joins = row + np.log(np.maximum(k - discount * t, 1e-300))
+            row = np.logaddexp(np.append(-np.inf, row[:-1]), joins)
+        kinds.append(row)
+    a, b = np.arange(counts[0] + 1)[:, None], np.arange(counts[1] + 1)[None]
+    rise = np.append(0, np.cumsum(np.log(strength + discount * np.arange(sum(counts)))))
+    law = kinds[0][:, None] + kinds[1][None] + a * math.log(parent[0]) + b * math.log(parent[1]) + rise[a + b]
+    law = np.exp(law - law.max())
+    return (law * a).sum() / law.sum(), (law * b).sum() / law.sum()
+
+
+def test_sweeps_reach_the_law_of_seatings():
+    for counts, parent, discount, strength in (((300, 40), (0.05, 0.3), 0.5, 5.0), ((6, 5), (0.3, 0.2), 0.7, 1.0)):
+        found = [pitman_yor.seat(np.array(counts), np.array(parent), discount, strength, s, 16)[0] for s in range(400)]
+        want = tables_by_enumeration(counts, parent, discount, strength)
+        assert np.allclose(np.mean(found, axis=0), want, rtol=0.08)
+
+
+def test_chains_go_on_when_customers_come_and_go():
+    draw, group, parent = np.random.default_rng(3), np.zeros(3, np.int64), np.array([0.2, 0.3, 0.1])
+    old_counts, counts = np.array([900, 40, 7]), np.array([500, 90, 7])
+    old = seating.extend(None, old_counts, group, parent, 0.5, 5.0, draw)
+    now = seating.extend(old, counts, group, parent, 0.5, 5.0, draw, old_counts)
+    for d in range(3):
+        before, after = old.when[old.dish == d], now.when[now.dish == d]
+        shared = min(old_counts[d], counts[d])
+        assert after[after <= shared].tolist() == before[before <= shared].tolist() and after.max() <= counts[d]
+
+
 def test_pipeline_takes_effect_stage_by_stage(spark, documents):
     docs, sizes = documents, {}
     for name, build in corpus_pipeline.STAGES:
