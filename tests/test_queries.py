@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry_points  # noqa: E402
 from checks.registry import QUERIES  # noqa: E402
+from titleweave.plans import crosswalk  # noqa: E402
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -80,3 +81,17 @@ def test_similar_turns_by_dynamic_programming(spark):
                 row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
         total = len(a) + len(b)
         assert score == pytest.approx(200 * row[-1] / total if total else 100, abs=1e-4)
+
+
+def test_no_links_are_found_among_rows_that_are_compared(spark, monkeypatch):
+    """The query hands the matcher rows of both sides that meet; a lower threshold would link them."""
+    met = []
+
+    def watched(titles, feed, **options):
+        met.append((titles.count(), feed.count(), build(titles, feed, min_score=20.0).count()))
+        return build(titles, feed, **options)
+
+    build = crosswalk.newswire_crosswalk
+    monkeypatch.setattr(crosswalk, "newswire_crosswalk", watched)
+    assert [tuple(r) for r in QUERIES["no_links_still_combine"](spark, FOLDER).collect()] == [(0, 10)]
+    assert len(met) == 1 and all(n > 0 for n in met[0])
