@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.llm import (
-    decontamination, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
+    decontamination, fill_middle, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
 )
 from titleweave.llm.common import stage
 
@@ -161,3 +161,36 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor.score_texts(_table(spark, folder, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut in three and put in another order, by digest, and restored from it."""
+    cut = fill_middle.fill_in_middle(_table(spark, folder, "documents").select("doc_id", "text"))
+    back = fill_middle.restore(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+         sha256('7:' || doc_id::varchar) as h from documents),
+drawn as (
+  select *, len(lines) as n, [('0x' || h[8 * i + 1:8 * i + 8])::bigint for i in range(4)] as d from texts),
+placed as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as low, greatest(d[1] % (n + 1), d[2] % (n + 1)) as high,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or d[3] % 100 >= 100 then 'plain'
+              when d[4] % 100 < 50 then 'spm' else 'psm' end as form from drawn),
+parts as (
+  select *, coalesce(array_to_string(lines[1:low], ''), '') as p, coalesce(array_to_string(lines[low + 1:high], ''), '') as m,
+         coalesce(array_to_string(lines[high + 1:], ''), '') as s from placed)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then len(p) end as prefix_chars,
+       case when form <> 'plain' then len(m) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts
+"""
