@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from titleweave.llm import (
     decontamination, fill_middle, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
+    token_alignment,
 )
 from titleweave.llm.common import stage
 
@@ -194,3 +195,12 @@ select doc_id, n::bigint as n, form, case when form <> 'plain' then len(p) end a
        sha256(t) as restored_sha256
 from parts
 """
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers in every document, by corpus-wide pair counts."""
+    found = token_alignment.align(_table(spark, folder, "documents").select("doc_id", "text"), digest=True)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
