@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.llm import (
-    decontamination, fill_middle, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
+    decontamination, fill_middle, fingerprints, html_text, license_scan, mixing, pitman_yor, quality_net, quality_rules, sharding, simhash, substring_dedup,
     token_alignment,
 )
 from titleweave.llm.common import stage
@@ -197,6 +197,77 @@ from parts
 """
 
 
+@query
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of an edited version, and how alike they and the next one's are."""
+    rows = fingerprints.with_next(_table(spark, folder, "documents"))
+    n = F.char_length("text")
+    cut = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
+    rows = rows.withColumn("n_chars", n.cast("bigint")).withColumn("edited", edited)
+    rows = rows.withColumn("edited_digests", fingerprints.digests(F.col("edited")))
+    rows = rows.withColumn("edited_sketch", fingerprints.sketch(F.col("edited_digests")))
+    pair = ("left", "digests"), ("right", "{}_digests"), ("left_sketch", "sketch"), ("right_sketch", "{}_sketch")
+    others = F.array(*[F.struct(*[F.col(c.format(o)).alias(a) for a, c in pair]) for o in ("edited", "next")])
+
+    def near(p: Column) -> Column:
+        apart = fingerprints.difference(p["left"], p["right"], p["left_sketch"], p["right_sketch"])
+        return fingerprints.likeness(p["left"], p["right"], apart)
+
+    rows = rows.withColumn("near", F.transform(others, near))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("text"), F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited"), F.col("edited_sketch")).alias("edited_fingerprint"),
+        F.get("near", F.lit(0)).alias("near_edited"), F.get("near", F.lit(1)).alias("near_next"),
+    )
+
+
+ORACLES["op12_fingerprints"] = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as t, len(coalesce(text, '')) as n,
+         lead(coalesce(text, '')) over (order by doc_id desc) as after,
+         first_value(coalesce(text, '')) over (order by doc_id desc) as first from documents),
+versions as (
+  select doc_id, n, t, coalesce(after, first) as other, t[:n - n // 2] || left(coalesce(after, first), n // 2) as edited from texts),
+sets as (
+  select *, {keys_t} as kt, {keys_e} as ke, {keys_o} as ko from versions),
+cells as (
+  select doc_id, {cells_t} as ct, {cells_e} as ce from sets)
+select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
+       left(md5(t), 16) || '-' || ct as fingerprint, left(md5(edited), 16) || '-' || ce as edited_fingerprint,
+       {near_e} as near_edited, {near_o} as near_next
+from sets join cells using (doc_id)
+"""
+
+
+def _fingerprint_sql(sql: str) -> str:
+    """Sets of digests and their exact shares; cells as counts and exclusive ors of listed digests."""
+    keys = (
+        r"list_distinct(list_transform(list_filter(list_transform(regexp_extract_all({}, '{}'), "
+        r"lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda p: p <> ''), "
+        r"lambda p: ('0x' || left(md5(p), 15))::bigint))"
+    )
+    cell = (
+        "list_transform(range(0, 12), lambda c: list_filter({}, lambda k: ((k >> (20 * (c // 4))) & 3) = c % 4))"
+    )
+    shown = (
+        "array_to_string(list_transform({}, lambda own: printf('%x:%x', len(own), "
+        "list_reduce(list_prepend(0::bigint, own), lambda x, y: xor(x, y)))), ',')"
+    )
+    near = (
+        "case when len(kt) + len({0}) = 0 then 1.0::double else len(list_intersect(kt, {0}))::double "
+        "/ (len(kt) + len({0}) - len(list_intersect(kt, {0}))) end"
+    )
+    parts = {f"keys_{k}": keys.format(c, fingerprints.PARAGRAPH) for k, c in (("t", "t"), ("e", "edited"), ("o", "other"))}
+    parts |= {f"cells_{k}": shown.format(cell.format("k" + k)) for k in "te"}
+    parts |= {f"near_{k}": near.format("k" + k) for k in "eo"}
+    return sql.format(**parts)
+
+
+ORACLES["op12_fingerprints"] = _fingerprint_sql(ORACLES["op12_fingerprints"])
+
+
 @query
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links of two tokenizers in every document, by corpus-wide pair counts."""
