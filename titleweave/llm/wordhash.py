@@ -25,18 +25,23 @@ def scatter(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _power_table(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     inverse = pow(base, -1, 1 << 64)
     up, down = np.full(n, base, U), np.full(n, inverse, U)
     up[0] = down[0] = 1
-    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
+    return np.cumprod(up, dtype=U, out=up), np.cumprod(down, dtype=U, out=down)
+
+
+@lru_cache(maxsize=4)
+def _powers_of_a_run(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """32 MB a base: enough for a run of ordinary texts, kept as long as the worker lives."""
+    return _power_table(base, RUN_BYTES + 1)
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    room = 1 << max(n, 1024).bit_length()
-    up, down = _powers(base, room)
+    """The first ``n`` powers; a table for a text longer than a run is not kept."""
+    up, down = _powers_of_a_run(base) if n <= RUN_BYTES + 1 else _power_table(base, n)
     return up[:n], down[:n]
 
 
