@@ -6,6 +6,7 @@ import pytest
 
 from conftest import rows
 from test_similarity import lcs_by_table
+from titleweave.operators import matching
 from titleweave.operators.matching import fuzzy_best_match
 from titleweave.plans import crosswalk, reports
 
@@ -134,3 +135,32 @@ def test_no_cartesian_product_in_the_plan(spark, titles):
     )
     plan = matched._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_tiles_of_far_lengths_or_letters_never_meet(spark):
+    """Zone maps drop tiles before keys are copied, and no pair that reaches the score is lost."""
+    rng = random.Random(8)
+    letters = ["aeiou", "nrst", "bcdfg", "kqxz"]
+    keys = ["".join(rng.choices(letters[i % 4], k=10 + 3 * (i % 12))) for i in range(480)]
+    left = [(i, "one", k) for i, k in enumerate(keys[:240])]
+    right = [(i, "one", k) for i, k in enumerate(keys[240:])]
+    a = spark.createDataFrame(left, "i int, block string, title string")
+    b = spark.createDataFrame(right, "j int, block string, other string")
+    folded = matching.fold_keys(
+        a, b, block="block", left_text="title", right_text="other", right_order=["j"], min_score=80.0
+    )
+    found = matching.pair_survey(folded, "block", 80.0, tile_rows=8).first()
+    assert found.scored_pairs <= found.met_pairs < found.all_pairs / 3
+    assert run(spark, left, right, tile_rows=8) == brute_force(left, right, 80.0)
+
+
+def test_rows_of_equal_order_columns_keep_the_first_payload(spark):
+    a = spark.createDataFrame([(1, "d", "alpha beta gamma"), (2, "d", "delta")], "i int, block string, title string")
+    b = spark.createDataFrame(
+        [(7, "d", "gamma beta alpha", "second"), (7, "d", "alpha beta gamma", "first"), (7, "d", "delta", "x"), (None, "d", "delta!", "y")],
+        "j int, block string, other string, payload string",
+    )
+    matched = fuzzy_best_match(a, b, block="block", left_text="title", right_text="other", right_order=["j"])
+    assert rows(matched, "i", "j", "other", "payload") == [
+        (1, 7, "alpha beta gamma", "first"), (2, None, "delta!", "y"),
+    ]

@@ -36,6 +36,33 @@ def letter_profile(key: str) -> list[Column]:
     return [F.expr(" | ".join(slots[w : w + _SLOT])) for w in range(0, len(slots), _SLOT)]
 
 
+# Groups of letters whose sums bound a tile of keys; everything else is the last group.
+LETTER_GROUPS = ("aeiou", "nrst", "bcdfg", "hlmpy")
+
+
+def letter_sums(key: str) -> list[Column]:
+    """Characters of each group in a key, and of none of them; together its length."""
+    own = [F.expr(f"length({key}) - length(translate({key}, '{g}', ''))") for g in LETTER_GROUPS]
+    return [*own, F.expr(f"length(translate({key}, '{''.join(LETTER_GROUPS)}', ''))")]
+
+
+def zones_may_reach(min_score: float, sums: list[str], left: str = "l", right: str = "r") -> str:
+    """SQL condition on ``_len`` and ``sums`` with ``_min`` and ``_max``: can any pair within the bounds
+    of two tiles reach ``min_score``?
+
+    An insertion or deletion changes one sum by one, so two keys are at least as far apart as the
+    gaps between the tiles' sums together.
+    """
+    t = min_score - _SLACK
+    gaps = (
+        f"greatest(0, {left}{s}_min - {right}{s}_max, {right}{s}_min - {left}{s}_max)" for s in sums
+    )
+    return (
+        f"least({left}_len_max, {right}_len_max) * {200 - t}D >= greatest({left}_len_min, {right}_len_min) * {t}D"
+        f" and ({' + '.join(gaps)}) * 100D <= ({left}_len_max + {right}_len_max) * {100 - t}D"
+    )
+
+
 def may_reach(min_score: float, left: str, right: str) -> str:
     """SQL condition on ``{side}len`` and ``{side}p0..p4``: can the pair reach ``min_score``?"""
     t = min_score - _SLACK
@@ -46,7 +73,7 @@ def may_reach(min_score: float, left: str, right: str) -> str:
     )
 
 
-def length_reach(min_score: float, length: int) -> tuple[float, float]:
+def length_reach(min_score: float, length: int | Column) -> tuple[float | Column, float | Column]:
     """Shortest and longest partner length that can reach ``min_score``."""
     t = max(min_score - _SLACK, _SLACK)
     return length * t / (200 - t), length * (200 - t) / t

@@ -3,27 +3,42 @@
 The result equals scoring all pairs of a block and keeping the best one, but pairs are never
 materialised:
 
-1. Titles become sorted-token keys once per row, and equal keys of a block are folded
-   together first, so a title copied a million times is scored once.
+1. Titles become sorted-token keys once per row. Right keys whose length no left key of the block
+   can reach are dropped before anything is shuffled; equal keys of a block are folded together,
+   so a title copied a million times is scored once. Only the columns that order right rows travel
+   with the keys; the rest is joined to the matches at the end.
 2. Equal keys score 100 and cannot be beaten: the same grouping that folds the keys settles
    those rows.
-3. The rest meet in bounded tiles. A block with many keys is cut into
-   ``ceil(n_left / tile_rows) x ceil(n_right / tile_rows)`` tiles, so the work of one task
-   does not grow with the size of a hot block. Length and letter-count bounds are residual
-   join conditions, evaluated in generated code before a row exists.
-4. Only pairs that pass both bounds go to the Arrow scorer, and ``min`` of a struct keeps the
-   best per key with map-side combining.
+3. The rest is laid out in tiles of about ``tile_rows`` keys, consecutive by length and number of
+   vowels within a block and side. A zone map holds each tile's least and largest length and
+   letter sums, and two tiles meet only if some pair in these bounds could reach the score. The work
+   of one task does not grow with the size of a hot block.
+4. Within two tiles, length and letter-count bounds are residual join conditions, evaluated in
+   generated code before a row exists. Only pairs that pass both go to the Arrow scorer, and
+   ``min`` of a struct keeps the best per key with map-side combining.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from titleweave.functions import similarity, text
-from titleweave.session import broadcast_if_small, freeze
+from titleweave.session import broadcast_if_small, stage
 
 EXACT_SCORE = 100.0
+SUMS = [f"_s{i}" for i in range(len(similarity.LETTER_GROUPS) + 1)]
+
+
+def _within_reach(rows: DataFrame, other: DataFrame, block: str, min_score: float) -> DataFrame:
+    """Rows whose key length can reach the score with some length of ``other`` in the same block."""
+    ranges = other.groupBy(block).agg(F.min(F.length("_key")).alias("_low"), F.max(F.length("_key")).alias("_high"))
+    low, high = (similarity.length_reach(min_score, F.col(c)) for c in ("_low", "_high"))
+    met = rows.join(broadcast_if_small(ranges), block).where(F.length("_key").between(low[0], high[1]))
+    return met.select(*rows.columns)
 
 
 def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]) -> DataFrame:
@@ -33,58 +48,67 @@ def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]
     offered = right.select(block, "_key", F.lit(False).alias("_wanted"), F.struct(*first).alias("_match"))
     return (
         wanted.unionByName(offered)
-        .filter(f"{block} is not null and _key is not null")
         .groupBy(block, "_key")
         .agg(F.max("_wanted").alias("_wanted"), F.min("_match").alias("_match"))
     )
 
 
-def _with_tiles(keys: DataFrame, tiles: DataFrame | None, block: str) -> DataFrame:
-    """Number of tiles of the row's block on either side; one each when no block needs more."""
-    if tiles is None:
-        return keys.withColumns({"_left_tiles": F.lit(1), "_right_tiles": F.lit(1)})
-    return keys.join(tiles, block)
+def with_tiles(keys: DataFrame, block: str, tile_rows: int) -> DataFrame:
+    """Keys of one side with their measures and ``_tile``, consecutive by length and vowels in a block.
 
-
-def _tile_side(keys: DataFrame, block: str, own: str, other: str, side: str) -> DataFrame:
-    """One side of the tile join: own tile number from the key, one copy per opposite tile."""
-    profile = similarity.letter_profile("_key")
-    measured = {f"{side}len": F.length("_key")}
-    measured |= {f"{side}p{i}": word for i, word in enumerate(profile)}
-    measured[f"_{own}"] = F.pmod(F.xxhash64("_key"), F.col(f"_{own}_tiles"))
-    return (
-        keys.withColumns(measured)
-        .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), F.col(f"_{other}_tiles") - 1)))
-        .withColumnRenamed("_key", f"{side}key")
-        .drop("_left_tiles", "_right_tiles")
+    Keys of equal length and vowels are one cell; cells are counted, and a key's place within its
+    cell is drawn by its hash, so that no block is ever sorted.
+    """
+    cell = [block, "_len", SUMS[0]]
+    measured = keys.withColumns({"_len": F.length("_key"), **dict(zip(SUMS, similarity.letter_sums("_key")))})
+    before = Window.partitionBy(block).orderBy(*cell[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    cells = measured.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    drawn = F.pmod(F.xxhash64("_key", F.lit(1)), F.col("_n"))
+    placed = measured.join(broadcast_if_small(cells), cell)
+    tile = F.floor((F.col("_before") + drawn) / tile_rows).cast("int")
+    return placed.withColumn("_tile", tile).drop("_n", "_before")
+
+
+def zone_map(keys: DataFrame, block: str) -> DataFrame:
+    """Number of keys, least and largest length and letter sums of every tile."""
+    bounds = [f(c).alias(f"{c}_{x}") for c in ("_len", *SUMS) for x, f in (("min", F.min), ("max", F.max))]
+    return keys.groupBy(block, "_tile").agg(F.count(F.lit(1)).alias("_keys"), *bounds)
+
+
+def tile_pairs(left: DataFrame, right: DataFrame, block: str, min_score: float) -> DataFrame:
+    """Pairs of tiles (block, _left, _right) of which some pair of keys may reach the score,
+    and the number of pairs of keys (``_pairs``) that meet there."""
+    sides = []
+    for zones, side in ((left, "l"), (right, "r")):
+        sides.append(zones.select(block, *[F.col(c).alias(f"{side}{c}") for c in zones.columns if c != block]))
+    met = sides[0].join(sides[1], block).where(F.expr(similarity.zones_may_reach(min_score, SUMS)))
+    return met.select(
+        block, F.col("l_tile").alias("_left"), F.col("r_tile").alias("_right"),
+        (F.col("l_keys") * F.col("r_keys")).alias("_pairs"),
     )
 
 
-def _survey(keys: DataFrame, block: str, tile_rows: int) -> tuple[DataFrame | None, Row]:
-    """Tiles per block that has keys on both sides (None when one tile is enough everywhere),
-    and the overall range of key lengths on each side."""
-    sides = {"left": "_wanted and not _offered", "right": "_offered"}
-    measures = []
-    for side, which in sides.items():
-        here = F.expr(which)
-        measures.append(F.ceil(F.count_if(here) / F.lit(tile_rows)).cast("int").alias(f"_{side}_tiles"))
-        measures.append(F.min(F.when(here, F.length("_key"))).alias(f"{side}_min"))
-        measures.append(F.max(F.when(here, F.length("_key"))).alias(f"{side}_max"))
-    sizes = broadcast_if_small(
-        keys.groupBy(block).agg(*measures).filter("_left_tiles > 0 and _right_tiles > 0")
+def _tile_side(keys: DataFrame, pairs: DataFrame, block: str, own: str, other: str, side: str) -> DataFrame:
+    """One side of the tile join: one copy of a key per tile that its own tile meets."""
+    partners = pairs.groupBy(block, F.col(own).alias("_tile")).agg(F.collect_list(other).alias("_partners"))
+    profile = {f"{side}p{i}": word for i, word in enumerate(similarity.letter_profile("_key"))}
+    return (
+        keys.join(broadcast_if_small(partners), [block, "_tile"])
+        .withColumns({f"{side}len": F.length("_key"), **profile})
+        .withColumn(other, F.explode("_partners"))
+        .withColumnsRenamed({"_key": f"{side}key", "_tile": own})
+        .drop("_partners", "_len", *SUMS)
     )
-    ranges = [f(c).alias(c) for side in sides for f, c in ((F.min, f"{side}_min"), (F.max, f"{side}_max"))]
-    summary = sizes.agg(F.max(F.greatest("_left_tiles", "_right_tiles")).alias("most"), *ranges).first()
-    tiles = sizes.select(block, "_left_tiles", "_right_tiles")
-    return (None if summary.most in (None, 1) else tiles), summary
 
 
-def _length_in_reach(min_score: float, shortest: int | None, longest: int | None) -> Column:
-    """Keys whose length can pair with some length in [shortest, longest]."""
-    if shortest is None:
-        return F.lit(False)
-    low, high = similarity.length_reach(min_score, shortest)[0], similarity.length_reach(min_score, longest)[1]
-    return F.length("_key").between(low, high)
+def met_tiles(keys: DataFrame, block: str, min_score: float, tile_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Left and right keys in tiles, and the pairs of tiles that meet, as staged tables."""
+    left = keys.filter("_wanted and not _offered").drop("_wanted", "_offered")
+    right = keys.filter("_offered").drop("_wanted", "_offered")
+    left, right = (stage(with_tiles(side, block, tile_rows), "tiles") for side in (left, right))
+    pairs = tile_pairs(zone_map(left, block), zone_map(right, block), block, min_score)
+    return left, right, stage(pairs, "tile-pairs")
 
 
 def candidate_pairs(
@@ -101,17 +125,14 @@ def candidate_pairs(
     Lossless: a pair is left out only if a proven upper bound of its score is too low. Left
     keys that are also offered are settled and take no part.
     """
-    n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles, lengths = _survey(keys, block, tile_rows)
-    left = keys.filter("_wanted and not _offered").select(block, "_key")
-    left = left.filter(_length_in_reach(min_score, lengths.right_min, lengths.right_max))
-    right = keys.filter("_offered").select(block, "_key", *carry)
-    right = right.filter(_length_in_reach(min_score, lengths.left_min, lengths.left_max))
-    left = _tile_side(_with_tiles(left, tiles, block), block, "left", "right", "l_")
-    right = _tile_side(_with_tiles(right, tiles, block), block, "right", "left", "r_")
-    tile = [block, "_left", "_right"]
+    left, right, pairs = met_tiles(keys, block, min_score, tile_rows)
     # A fixed partition number: adaptive coalescing looks at bytes, but the cost of this join
-    # is the number of pairs, and few bytes can mean many pairs.
+    # is the number of pairs of keys, and few bytes can mean many pairs.
+    work = pairs.agg(F.sum("_pairs")).first()[0] or 0
+    n = partitions or max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-work // PAIRS_PER_TASK))
+    left = _tile_side(left.select(block, "_key", "_tile"), pairs, block, "_left", "_right", "l_")
+    right = _tile_side(right.select(block, "_key", "_tile", *carry), pairs, block, "_right", "_left", "r_")
+    tile = [block, "_left", "_right"]
     left, right = (side.repartition(n, *tile) for side in (left, right))
     right = right.select(*[F.col(c).alias(f"_r{c}") if c in tile else F.col(c) for c in right.columns])
     same_tile = " and ".join(f"{c} = _r{c}" for c in tile)
@@ -119,6 +140,51 @@ def candidate_pairs(
     return left.join(right, F.expr(f"{same_tile} and {bound}")).select(block, "l_key", "r_key", *carry)
 
 
+# Pairs of keys that one task of the tile join goes through, some tens of seconds of work.
+PAIRS_PER_TASK = 100_000_000
+
+
+def _payload_of(matches: DataFrame, right: DataFrame, block: str, right_text: str, order: list[str]) -> DataFrame:
+    """Whole right rows of matches, found by the columns that order them and by their key."""
+    payload = [c for c in right.columns if c != block]
+    first = [*order, *[c for c in payload if c not in order]]
+    named = [F.col(f"_match.{c}").alias(f"_m{i}") for i, c in enumerate(order)]
+    wanted = matches.select(F.col(block).alias("_b"), F.col("_found"), *named).distinct()
+    same = [F.col(block) == F.col("_b"), *[F.col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(order)]]
+    rows = right.join(broadcast_if_small(wanted), reduce(lambda x, y: x & y, same))
+    rows = rows.where(_title_key(right_text) == F.col("_found"))
+    whole = rows.groupBy(block, "_found", *[f"_m{i}" for i in range(len(order))]).agg(F.min(F.struct(*first)).alias("_row"))
+    keep = whole.select(block, "_found", F.col("_row"), F.struct(*[F.col(f"_m{i}").alias(c) for i, c in enumerate(order)]).alias("_match"))
+    return matches.join(keep, [block, "_found", "_match"])
+
+
+def pair_survey(folded: DataFrame, block: str, min_score: float, tile_rows: int = 1024) -> DataFrame:
+    """One row for keys of ``fold_keys``: pairs within blocks, pairs in tiles that meet, and pairs
+    within both bounds, which are the ones scored."""
+    flagged = folded.select(block, "_key", "_wanted", F.col("_match").isNotNull().alias("_offered"))
+    sides = F.count_if(F.expr("_wanted and not _offered")), F.count_if("_offered")
+    total = flagged.groupBy(block).agg((sides[0] * sides[1]).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all_pairs"))
+    met = met_tiles(flagged, block, min_score, tile_rows)[2].agg(F.coalesce(F.sum("_pairs"), F.lit(0)).alias("met_pairs"))
+    scored = candidate_pairs(flagged, block, min_score, [], tile_rows).agg(F.count(F.lit(1)).alias("scored_pairs"))
+    return total.join(met).join(scored)  # one row each
+
+
+def _title_key(column: str) -> Column:
+    return text.token_sort_key(text.normalize_title(F.col(column)))
+
+
+def fold_keys(
+    left: DataFrame, right: DataFrame, *, block: str, left_text: str, right_text: str, right_order: list[str],
+    min_score: float,
+) -> DataFrame:
+    """Staged distinct keys of each block: ``_wanted`` on the left, first ``_match`` on the right."""
+    usable = f"{block} is not null and _key is not null"
+    wanted = left.select(block, _title_key(left_text).alias("_key")).filter(usable).distinct()
+    offered = right.select(block, _title_key(right_text).alias("_key"), *right_order).filter(usable)
+    offered = _within_reach(offered, wanted, block, min_score)
+    return stage(_fold_titles(wanted, offered, block, right_order), "folded-titles")
+
+
 def fuzzy_best_match(
     left: DataFrame,
     right: DataFrame,
@@ -137,38 +203,31 @@ def fuzzy_best_match(
     ``block`` the two sides must not share column names. Result: the left columns, the right
     columns and ``fuzzy_score``; a left row appears at most once.
 
-    The folded keys feed several later stages and are checkpointed, which runs a job while
-    the plan is built.
+    Keys, tiles and matches feed several later stages and are written to the shared folder, which
+    runs jobs while the plan is built.
     """
     payload = [c for c in right.columns if c != block]
-    first = [*right_order, *[c for c in payload if c not in right_order]]
-
-    def key(column: str) -> Column:
-        return text.token_sort_key(text.normalize_title(F.col(column)))
-
-    keyed = left.withColumn("_key", key(left_text))
-    folded = freeze(_fold_titles(keyed, right.withColumn("_key", key(right_text)), block, first))
+    folded = fold_keys(
+        left, right, block=block, left_text=left_text, right_text=right_text, right_order=right_order, min_score=min_score
+    )
     exact = folded.filter("_wanted and _match is not null").select(
-        block, "_key", "_match", F.lit(EXACT_SCORE).alias("fuzzy_score")
+        block, "_key", F.col("_key").alias("_found"), "_match", F.lit(EXACT_SCORE).alias("fuzzy_score")
     )
-
     order = {f"_o{i}": F.col(f"_match.{c}") for i, c in enumerate(right_order)}
     flagged = folded.withColumns({"_offered": F.col("_match").isNotNull(), **order}).drop("_match")
     pairs = candidate_pairs(flagged, block, min_score, list(order), tile_rows, partitions)
     ranking = F.struct((-F.col("_score")).alias("loss"), *order, F.col("r_key").alias("other"))
-    best = (
+    match = F.struct(*[F.col(f"_rank.{o}").alias(c) for o, c in zip(order, right_order)])
+    fuzzy = (
         pairs.withColumn("_score", similarity.token_sort_ratio(F.col("l_key"), F.col("r_key")))
         .filter(F.col("_score") >= min_score)
-        .groupBy(block, F.col("l_key").alias("_own"))
+        .groupBy(block, F.col("l_key").alias("_key"))
         .agg(F.min(ranking).alias("_rank"))
-        .select(block, "_own", F.col("_rank.other").alias("_key"), (-F.col("_rank.loss")).alias("fuzzy_score"))
-    )
-    offered = folded.filter("_match is not null").select(block, "_key", "_match")
-    fuzzy = best.join(offered, [block, "_key"]).select(
-        block, F.col("_own").alias("_key"), "_match", "fuzzy_score"
+        .select(block, "_key", F.col("_rank.other").alias("_found"), match.alias("_match"), (-F.col("_rank.loss")).alias("fuzzy_score"))
     )
-    matches = exact.unionByName(fuzzy)
+    matches = _payload_of(stage(exact.unionByName(fuzzy), "matches"), right, block, right_text, right_order)
     # A hot title makes this join skewed on the left; adaptive execution splits it there.
-    return keyed.join(matches, [block, "_key"]).select(
-        *left.columns, *[F.col(f"_match.{c}").alias(c) for c in payload], "fuzzy_score"
+    keyed = left.withColumn("_key", _title_key(left_text))
+    return keyed.join(matches.select(block, "_key", "_row", "fuzzy_score"), [block, "_key"]).select(
+        *left.columns, *[F.col(f"_row.{c}").alias(c) for c in payload], "fuzzy_score"
     )

@@ -57,6 +57,16 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Cuts lineage as ``freeze`` does, with column pruning and statistics kept.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop file system of ``path`` and a function turning text into its path objects."""
     to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
