@@ -27,18 +27,20 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from titleweave.functions import similarity, text
-from titleweave.session import broadcast_if_small, stage
+from titleweave.session import hint_if_small, stage
 
 EXACT_SCORE = 100.0
 SUMS = [f"_s{i}" for i in range(len(similarity.LETTER_GROUPS) + 1)]
 
 
-def _within_reach(rows: DataFrame, other: DataFrame, block: str, min_score: float) -> DataFrame:
-    """Rows whose key length can reach the score with some length of ``other`` in the same block."""
-    ranges = other.groupBy(block).agg(F.min(F.length("_key")).alias("_low"), F.max(F.length("_key")).alias("_high"))
-    low, high = (similarity.length_reach(min_score, F.col(c)) for c in ("_low", "_high"))
-    met = rows.join(broadcast_if_small(ranges), block).where(F.length("_key").between(low[0], high[1]))
-    return met.select(*rows.columns)
+def _within_reach(rows: DataFrame, other: DataFrame, min_score: float) -> DataFrame:
+    """Rows whose key length can reach the score with some length of ``other``."""
+    length = F.length("_key")
+    found = other.agg(F.min(length).alias("low"), F.max(length).alias("high")).first()
+    if found.low is None:
+        return rows.limit(0)
+    low, high = similarity.length_reach(min_score, found.low)[0], similarity.length_reach(min_score, found.high)[1]
+    return rows.where(length.between(low, high))
 
 
 def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]) -> DataFrame:
@@ -54,34 +56,35 @@ def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]
 
 
 def with_tiles(keys: DataFrame, block: str, tile_rows: int) -> DataFrame:
-    """Keys of one side with their measures and ``_tile``, consecutive by length and vowels in a block.
+    """Keys with their side, measures and ``_tile``, consecutive by length and vowels in a block and side.
 
     Keys of equal length and vowels are one cell; cells are counted, and a key's place within its
     cell is drawn by its hash, so that no block is ever sorted.
     """
-    cell = [block, "_len", SUMS[0]]
+    cell = [block, "_offered", "_len", SUMS[0]]
     measured = keys.withColumns({"_len": F.length("_key"), **dict(zip(SUMS, similarity.letter_sums("_key")))})
-    before = Window.partitionBy(block).orderBy(*cell[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*cell[:2]).orderBy(*cell[2:]).rowsBetween(Window.unboundedPreceding, -1)
     cells = measured.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
     cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     drawn = F.pmod(F.xxhash64("_key", F.lit(1)), F.col("_n"))
-    placed = measured.join(broadcast_if_small(cells), cell)
     tile = F.floor((F.col("_before") + drawn) / tile_rows).cast("int")
+    placed = measured.join(hint_if_small(stage(cells, "cells")), cell)
     return placed.withColumn("_tile", tile).drop("_n", "_before")
 
 
 def zone_map(keys: DataFrame, block: str) -> DataFrame:
     """Number of keys, least and largest length and letter sums of every tile."""
     bounds = [f(c).alias(f"{c}_{x}") for c in ("_len", *SUMS) for x, f in (("min", F.min), ("max", F.max))]
-    return keys.groupBy(block, "_tile").agg(F.count(F.lit(1)).alias("_keys"), *bounds)
+    return keys.groupBy(block, "_offered", "_tile").agg(F.count(F.lit(1)).alias("_keys"), *bounds)
 
 
-def tile_pairs(left: DataFrame, right: DataFrame, block: str, min_score: float) -> DataFrame:
+def tile_pairs(zones: DataFrame, block: str, min_score: float) -> DataFrame:
     """Pairs of tiles (block, _left, _right) of which some pair of keys may reach the score,
     and the number of pairs of keys (``_pairs``) that meet there."""
     sides = []
-    for zones, side in ((left, "l"), (right, "r")):
-        sides.append(zones.select(block, *[F.col(c).alias(f"{side}{c}") for c in zones.columns if c != block]))
+    for which, side in (("not _offered", "l"), ("_offered", "r")):
+        named = [F.col(c).alias(f"{side}{c}") for c in zones.columns if c not in (block, "_offered")]
+        sides.append(zones.where(which).select(block, *named))
     met = sides[0].join(sides[1], block).where(F.expr(similarity.zones_may_reach(min_score, SUMS)))
     return met.select(
         block, F.col("l_tile").alias("_left"), F.col("r_tile").alias("_right"),
@@ -89,26 +92,21 @@ def tile_pairs(left: DataFrame, right: DataFrame, block: str, min_score: float)
     )
 
 
-def _tile_side(keys: DataFrame, pairs: DataFrame, block: str, own: str, other: str, side: str) -> DataFrame:
+def _tile_side(keys: DataFrame, pairs: DataFrame, block: str, own: str, side: str, carry: list[str]) -> DataFrame:
     """One side of the tile join: one copy of a key per tile that its own tile meets."""
-    partners = pairs.groupBy(block, F.col(own).alias("_tile")).agg(F.collect_list(other).alias("_partners"))
     profile = {f"{side}p{i}": word for i, word in enumerate(similarity.letter_profile("_key"))}
     return (
-        keys.join(broadcast_if_small(partners), [block, "_tile"])
+        keys.select(block, "_key", F.col("_tile").alias(own), *carry)
         .withColumns({f"{side}len": F.length("_key"), **profile})
-        .withColumn(other, F.explode("_partners"))
-        .withColumnsRenamed({"_key": f"{side}key", "_tile": own})
-        .drop("_partners", "_len", *SUMS)
+        .join(pairs.drop("_pairs"), [block, own])
+        .withColumnRenamed("_key", f"{side}key")
     )
 
 
-def met_tiles(keys: DataFrame, block: str, min_score: float, tile_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Left and right keys in tiles, and the pairs of tiles that meet, as staged tables."""
-    left = keys.filter("_wanted and not _offered").drop("_wanted", "_offered")
-    right = keys.filter("_offered").drop("_wanted", "_offered")
-    left, right = (stage(with_tiles(side, block, tile_rows), "tiles") for side in (left, right))
-    pairs = tile_pairs(zone_map(left, block), zone_map(right, block), block, min_score)
-    return left, right, stage(pairs, "tile-pairs")
+def met_tiles(keys: DataFrame, block: str, min_score: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Keys in tiles, and the staged pairs of tiles that meet."""
+    tiled = with_tiles(keys.filter("_offered or _wanted"), block, tile_rows)
+    return tiled, stage(tile_pairs(zone_map(tiled, block), block, min_score), "tile-pairs")
 
 
 def candidate_pairs(
@@ -125,13 +123,14 @@ def candidate_pairs(
     Lossless: a pair is left out only if a proven upper bound of its score is too low. Left
     keys that are also offered are settled and take no part.
     """
-    left, right, pairs = met_tiles(keys, block, min_score, tile_rows)
+    tiled, pairs = met_tiles(keys, block, min_score, tile_rows)
     # A fixed partition number: adaptive coalescing looks at bytes, but the cost of this join
     # is the number of pairs of keys, and few bytes can mean many pairs.
     work = pairs.agg(F.sum("_pairs")).first()[0] or 0
     n = partitions or max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-work // PAIRS_PER_TASK))
-    left = _tile_side(left.select(block, "_key", "_tile"), pairs, block, "_left", "_right", "l_")
-    right = _tile_side(right.select(block, "_key", "_tile", *carry), pairs, block, "_right", "_left", "r_")
+    pairs = hint_if_small(pairs)
+    left = _tile_side(tiled.where("not _offered"), pairs, block, "_left", "l_", [])
+    right = _tile_side(tiled.where("_offered"), pairs, block, "_right", "r_", carry)
     tile = [block, "_left", "_right"]
     left, right = (side.repartition(n, *tile) for side in (left, right))
     right = right.select(*[F.col(c).alias(f"_r{c}") if c in tile else F.col(c) for c in right.columns])
@@ -149,10 +148,11 @@ def _payload_of(matches: DataFrame, right: DataFrame, block: str, right_text: st
     payload = [c for c in right.columns if c != block]
     first = [*order, *[c for c in payload if c not in order]]
     named = [F.col(f"_match.{c}").alias(f"_m{i}") for i, c in enumerate(order)]
-    wanted = matches.select(F.col(block).alias("_b"), F.col("_found"), *named).distinct()
+    wanted = matches.select(F.col(block).alias("_b"), F.col("_found"), *named)
     same = [F.col(block) == F.col("_b"), *[F.col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(order)]]
-    rows = right.join(broadcast_if_small(wanted), reduce(lambda x, y: x & y, same))
-    rows = rows.where(_title_key(right_text) == F.col("_found"))
+    # Not an equality that the join could take for a key: that would normalise every right row again.
+    same.append(F.coalesce(_title_key(right_text) == F.col("_found"), F.lit(False)))
+    rows = right.join(hint_if_small(wanted), reduce(lambda x, y: x & y, same))
     whole = rows.groupBy(block, "_found", *[f"_m{i}" for i in range(len(order))]).agg(F.min(F.struct(*first)).alias("_row"))
     keep = whole.select(block, "_found", F.col("_row"), F.struct(*[F.col(f"_m{i}").alias(c) for i, c in enumerate(order)]).alias("_match"))
     return matches.join(keep, [block, "_found", "_match"])
@@ -164,7 +164,7 @@ def pair_survey(folded: DataFrame, block: str, min_score: float, tile_rows: int
     flagged = folded.select(block, "_key", "_wanted", F.col("_match").isNotNull().alias("_offered"))
     sides = F.count_if(F.expr("_wanted and not _offered")), F.count_if("_offered")
     total = flagged.groupBy(block).agg((sides[0] * sides[1]).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all_pairs"))
-    met = met_tiles(flagged, block, min_score, tile_rows)[2].agg(F.coalesce(F.sum("_pairs"), F.lit(0)).alias("met_pairs"))
+    met = met_tiles(flagged, block, min_score, tile_rows)[1].agg(F.coalesce(F.sum("_pairs"), F.lit(0)).alias("met_pairs"))
     scored = candidate_pairs(flagged, block, min_score, [], tile_rows).agg(F.count(F.lit(1)).alias("scored_pairs"))
     return total.join(met).join(scored)  # one row each
 
@@ -179,9 +179,9 @@ def fold_keys(
 ) -> DataFrame:
     """Staged distinct keys of each block: ``_wanted`` on the left, first ``_match`` on the right."""
     usable = f"{block} is not null and _key is not null"
-    wanted = left.select(block, _title_key(left_text).alias("_key")).filter(usable).distinct()
+    wanted = left.select(block, _title_key(left_text).alias("_key")).filter(usable)
     offered = right.select(block, _title_key(right_text).alias("_key"), *right_order).filter(usable)
-    offered = _within_reach(offered, wanted, block, min_score)
+    offered = _within_reach(offered, wanted, min_score)
     return stage(_fold_titles(wanted, offered, block, right_order), "folded-titles")
 
 

@@ -103,17 +103,23 @@ def _width(value: Column, kind: DataType) -> Column | None:
     return None if isinstance(kind, MapType) else F.lit(16)
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Checkpoint a table, measure it, and hint a broadcast only if it is within the bound.
+def hint_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Measure a staged or checkpointed table and hint a broadcast only if it is within the bound.
 
-    Worth it where the other side is much larger: adaptive execution alone would first
-    shuffle that side and only then see that it need not have. Above the bound the join
-    stays a shuffle join.
+    Above the bound the join stays a shuffle join.
     """
-    frozen = freeze(df)
     widths = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     if any(w is None for w in widths):
-        return frozen  # what cannot be measured is not broadcast
+        return df  # what cannot be measured is not broadcast
     size = sum(widths, F.lit(32)).cast("bigint")
-    total = frozen.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(frozen) if total <= max_bytes else frozen
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Checkpoint a table and hint a broadcast if it is small.
+
+    Worth it where the other side is much larger: adaptive execution alone would first
+    shuffle that side and only then see that it need not have.
+    """
+    return hint_if_small(freeze(df), max_bytes)
