@@ -11,6 +11,8 @@ from checks.registry import check
 from titleweave.functions import dates, identifiers
 from titleweave.operators import panel, rows
 from titleweave.session import new_folder
+from titleweave.sources import web_extract
+from titleweave.streaming import days, earliest
 from titleweave.streaming import titles as streams
 
 
@@ -395,3 +397,79 @@ def _(spark, folder):
     counts = streams.daily_counts(stream, "ts", "0 seconds", ["event_type"])
     streams.run_available(counts, out, checkpoint)
     return streams.with_open_days(spark.read.parquet(out), events, "ts", ["event_type"])
+
+
+@check(
+    "stream_earliest_titles",
+    """select strftime(gkg_date, '%Y-%m-%d %H:%M:%S') as gkg_date, source_url, source_name, headline from web_titles""",
+)
+def _(spark, folder):
+    """Each title lands a second time earlier, a month before the next, its own month's last days first."""
+    titles = web_titles(spark, folder).select("gkg_date", "source_url", "source_name", "headline")
+    later = titles.withColumn("gkg_date", F.least(F.expr("gkg_date + interval 1 hour"), F.expr("cast(last_day(gkg_date) as timestamp) + interval '23:59:59' hour to second")))
+    later = later.withColumn("source_url", F.concat(F.lit("z"), "source_url"))
+    landing = new_folder(spark, "landing")
+    months = [r[0] for r in titles.select(F.trunc("gkg_date", "month").alias("m")).distinct().orderBy("m").collect()]
+    for month in months:
+        for rows in (later, titles):
+            own = rows.where(F.trunc("gkg_date", "month") == F.lit(month)).orderBy(F.desc("gkg_date"))
+            own.coalesce(1).write.mode("append").parquet(landing)
+    for name, value in earliest.STATE.items():
+        spark.conf.set(name, value)
+    out, checkpoint = new_folder(spark, "earliest"), new_folder(spark, "progress")
+    stream = streams.stream_parquet(spark, landing, titles.schema, files_per_trigger=1)
+    found = earliest.earliest_titles(stream, order=["source_url", "source_name"])
+    streams.run_available(found, out, checkpoint)
+    closed = spark.read.schema(found.schema).parquet(out)
+    rows = spark.read.schema(titles.schema).parquet(landing)
+    whole = earliest.with_open_months(closed, rows, web_extract.dedup_earliest)
+    return whole.withColumn("gkg_date", F.date_format("gkg_date", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _counted_events(spark: SparkSession, folder: str) -> str:
+    """Events landed as three files, each over all days, and counted one file a batch; the path of the result."""
+    events = tables.table(spark, folder, "events")
+    landing, out, checkpoint = (new_folder(spark, x) for x in ("landing", "days", "progress"))
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landing)
+    for _run in range(2):
+        stream = streams.stream_parquet(spark, landing, events.schema, files_per_trigger=1)
+        days.count_days(stream, out, checkpoint, "ts", ["event_type"], "2 days").awaitTermination()
+    return out
+
+
+_LANDED = """
+with parts as (select *, event_id % 3 as part from events),
+latest as (select part, max(max(ts)) over (order by part rows between unbounded preceding and 1 preceding) as seen from parts group by part),
+flagged as (select p.*, coalesce(ts::date < (seen - interval 2 day)::date, false) as late from parts p join latest using (part))
+"""
+
+
+@check(
+    "stream_late_rows",
+    _LANDED + "select part::bigint as batch, event_id, event_type, value from flagged where late",
+)
+def _(spark, folder):
+    """Rows that came after their day was closed are kept, with the batch they came in."""
+    return days.late_rows(spark, _counted_events(spark, folder)).select(
+        F.col("batch").cast("bigint").alias("batch"), "event_id", "event_type", "value"
+    )
+
+
+@check(
+    "stream_counts_and_late_rows",
+    _LANDED + """select ts::date::varchar as date, event_type, count(*) filter (not late) as n_counted,
+        count(*) filter (late) as n_late, ts::date < (select (max(ts) - interval 2 day)::date from events) as closed
+        from flagged group by all""",
+)
+def _(spark, folder):
+    """Counted rows and late rows of a day together are all its rows."""
+    out = _counted_events(spark, folder)
+    late = days.late_rows(spark, out).groupBy(F.to_date("ts").alias("date"), "event_type").agg(F.count("*").alias("n_late"))
+    both = days.day_counts(spark, out, ["event_type"], "2 days").join(late, ["date", "event_type"], "full")
+    last = days.ledger(spark, out).agg(F.max("latest")).scalar()
+    return both.select(
+        F.col("date").cast("string").alias("date"), "event_type", F.coalesce("n", F.lit(0)).alias("n_counted"),
+        F.coalesce("n_late", F.lit(0)).alias("n_late"),
+        (F.col("date") < F.to_date(last - F.expr("interval 2 days"))).alias("closed"),
+    )
