@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,27 @@ def test_company_names_in_titles(spark):
     ]
 
 
+def test_names_of_common_beginnings_in_parts_and_slices(spark):
+    rng = random.Random(6)
+    words = ["the twenty first ", "the twenty first century ", "north ", "😀x", "ab", "a", "the "]
+    text = lambda n: "".join(rng.choice(words) for _ in range(n)).strip()
+    names = sorted({text(rng.randint(1, 4)) for _ in range(80)})
+    titles = [(i, "say " + text(rng.randint(0, 6))) for i in range(150)] + [(900, None), (901, "")]
+    known = [(k, n, n, "T") for k, n in enumerate(names)]
+    lookup = spark.createDataFrame(known, "permno int, comnam string, comnam_norm string, ticker string")
+    table = spark.createDataFrame(titles, "i int, headline string")
+    want = []
+    for i, title in titles:
+        norm = " ".join((title or "").split())
+        hits = [(norm.find(n), -len(n), n) for n in names if len(n) >= 2 and n in norm]
+        if hits:
+            want.append((i, min(hits)[2]))
+    for options in ({}, {"part_bytes": 200, "slice_bytes": 500}):
+        found = companies.title_company_match(table, lookup, min_length=2, **options)
+        assert rows(found, "i", "matched_company") == sorted(want, key=repr)
+    assert companies.title_company_match(table, lookup.limit(0), min_length=2).count() == 0
+
+
 def test_months_before_first_coverage_are_skipped(spark):
     months = spark.createDataFrame(
         [("newswireca", "2010-12"), ("newswireca", "2011-01"), ("globenewswire", "2023-03"), ("prnewswire", "2009-01")],
