@@ -168,9 +168,9 @@ def _(spark, folder):
        from events""",
 )
 def _(spark, folder):
-    """Five ids hold all rows: the sliced plan, as chosen when an id outgrows a task."""
+    """Five ids hold all rows: slices of a hundred rows, far fewer than an id has."""
     events = tables.table(spark, folder, "events")
-    lagged = panel.lag_by_id(events, ["event_type"], ["ts", "event_id"], ["value"], max_group_rows=100)
+    lagged = panel.lag_by_id(events, ["event_type"], ["ts", "event_id"], ["value"], slice_rows=100)
     shown = F.coalesce(F.round("L1_value", 6).cast("string"), F.lit("-"))
     return lagged.select("event_id", shown.alias("lagged"))
 
@@ -181,7 +181,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return panel.weighted_quantiles(
-        items(spark, folder), "l_extendedprice", "l_quantity", _Q, ["l_linestatus"], max_group_rows=1000
+        items(spark, folder), "l_extendedprice", "l_quantity", _Q, ["l_linestatus"], slice_rows=1000
     )
 
 

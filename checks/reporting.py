@@ -251,7 +251,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     daily = tables.event_days(spark, folder).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
-    full = rolling_mean(daily, "day", {"ma": "n"}, 30)
+    full = rolling_mean(daily, "day", {"ma": "n"}, 30, slice_rows=20)
     return rolling_mean(full, "day", {"ma_partial": "n"}, 30, min_periods=1)
 
 

@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from titleweave.operators.rows import (
-    MAX_GROUP_ROWS,
-    attach,
-    attach_group_facts,
-    largest_group,
-    number_rows,
-    running_totals,
-)
-from titleweave.session import freeze
+from titleweave.operators.rows import SLICE_ROWS, attach_group_facts, over_slices, running_totals
+from titleweave.session import stage
 
 
 def weighted_average(df: DataFrame, value: str, weight: str, name: str = "weighted_average") -> DataFrame:
@@ -69,7 +62,7 @@ def weighted_quantiles(
     quantiles: dict[str, float],
     by: list[str] | None = None,
     old_style: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Interpolated weighted quantiles, one column per entry of ``quantiles``.
 
@@ -81,11 +74,12 @@ def weighted_quantiles(
     keys = by or ["_all"]
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.withColumn("_all", F.lit(0)) if not by else df
-    points = freeze(
+    points = stage(
         rows.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
         .dropna()
         .groupBy(*keys, "_v")
-        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last"))
+        .agg(F.sum("_w").alias("_sum"), F.min("_w").alias("_first"), F.max("_w").alias("_last")),
+        "points",
     )
     summary = points.groupBy(*keys).agg(
         F.sum("_sum").alias("_total"),
@@ -93,7 +87,7 @@ def weighted_quantiles(
         F.max(F.struct("_v", "_last"))["_last"].alias("_tail"),
     )
     upto = {"_upto": F.col("_sum")}
-    running = running_totals(points, keys, [F.col("_v")], upto, max_group_rows)
+    running = running_totals(points, keys, [F.col("_v")], upto, slice_rows)
     low = F.col("_upto") - F.col("_sum") + F.col("_first") / 2
     high = F.col("_upto") - F.col("_last") / 2
     if old_style:
@@ -130,19 +124,23 @@ def weighted_quantiles(
 
 
 def rolling_mean(
-    df: DataFrame, order: str, columns: dict[str, str], window: int, min_periods: int | None = None
-) -> DataFrame:
-    """Mean of the last ``window`` rows; null until ``min_periods`` (default: all) are there.
+    df: DataFrame, order: str, columns: dict[str, str], window: int, min_periods: int | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Mean of the last ``window`` rows along ``order``; null until ``min_periods`` (default: all) are there.
 
-    Meant for one row per day: the window has no partition key, so aggregate first.
+    Rows are cut into slices along ``order``; a slice gets copies of the ``window - 1`` rows before it.
     """
-    frame = Window.orderBy(order).rowsBetween(-(window - 1), 0)
     needed = min_periods or window
-    means = {
-        name: F.when(F.count(c).over(frame) >= needed, F.avg(c).over(frame))
-        for name, c in columns.items()
-    }
-    return df.withColumns(means)
+
+    def means(rows: WindowSpec) -> dict[str, Column]:
+        frame = rows.rowsBetween(-(window - 1), 0)
+        return {
+            name: F.when(F.count(c).over(frame) >= needed, F.avg(c).over(frame))
+            for name, c in columns.items()
+        }
+
+    return over_slices(df, [F.col(order)], window - 1, means, slice_rows)
 
 
 def weighted_quantile_series(
@@ -165,24 +163,21 @@ def weighted_quantile_series(
 
 def lag_by_id(
     df: DataFrame, ids: list[str], order: list[str], columns: list[str], lags: int = 1,
-    prefix: str = "L", max_group_rows: int = MAX_GROUP_ROWS,
+    prefix: str = "L", slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Value ``lags`` rows earlier within the id, in row order; null where an id is null.
 
-    One window while every id fits a task. Otherwise rows are numbered per id and meet their
-    predecessor in an equi-join on (id, number), which spreads a hot id over the cluster.
+    Rows are cut into slices along id and order, each with copies of the ``lags`` rows before it,
+    so an id with very many rows is spread over tasks. The row that many places back counts if it
+    has the same id: rows of one id are neighbours.
     """
-    lagged = {f"{prefix}{lags}_{c}": c for c in columns}
-    place = [F.col(c) for c in order]
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids])
-    if largest_group(df, ids) <= max_group_rows:
-        window = Window.partitionBy(*ids).orderBy(*place)
-        return df.withColumns({name: F.when(known, F.lag(c, lags).over(window)) for name, c in lagged.items()})
-    numbered = number_rows(df, ids, place, "_n", max_group_rows)
-    earlier = numbered.select(
-        *ids, (F.col("_n") + lags).alias("_n"), *[F.col(c).alias(name) for name, c in lagged.items()]
-    )
-    return attach(numbered, earlier.where(known), [*ids, "_n"]).drop("_n")
+
+    def lagged(rows: WindowSpec) -> dict[str, Column]:
+        same = reduce(lambda a, b: a & b, [F.col(c) == F.lag(c, lags).over(rows) for c in ids])
+        return {f"{prefix}{lags}_{c}": F.when(same, F.lag(c, lags).over(rows)) for c in columns}
+
+    places = [F.col(c) for c in [*ids, *order]]
+    return over_slices(df, places, lags, lagged, slice_rows)
 
 
 # Calendar frequencies by name. Unit of one period, whether it is labelled by its last
@@ -245,12 +240,13 @@ def _period_moved(start: Column, unit: str, periods: int) -> Column:
 
 def lag_on_calendar(
     df: DataFrame, column: str, id_column: str, date: str = "date", lags: int = 1,
-    freq: str = "MS", prefix: str = "L",
+    freq: str = "MS", prefix: str = "L", order: list[str] | None = None,
 ) -> DataFrame:
     """Value of the period ``lags`` periods earlier, where gaps in the calendar stay gaps.
 
     Every id is seen on the calendar from the first to the last period of the whole panel; a
-    period holds its last non-null value. A period appears in the result when its own date
+    period holds its last non-null value; rows of one instant go by the ``order`` columns, nulls
+    first, then by the value, the greatest last, so it never depends on how rows are stored. A period appears in the result when its own date
     was observed or its lagged value exists. That is a full outer join of the observed rows
     with the period values moved forward, so the id x period grid is never built.
     """
@@ -271,7 +267,7 @@ def lag_on_calendar(
     held = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(id_column).alias("_id"), start.alias("_start"))
-        .agg(F.max_by(column, date).alias(name))
+        .agg(F.max_by(column, F.struct(date, *(order or []), column)).alias(name))
         .withColumn("_start", _period_moved(F.col("_start"), unit, lags))
         .filter(F.col("_start") <= last_period)
         .select("_id", label(F.col("_start")).alias("_label"), name)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from titleweave.session import broadcast_if_small, freeze
+from titleweave.session import broadcast_if_small, stage
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -32,31 +33,39 @@ def attach_group_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: st
     return attach(df, broadcast_if_small(facts), keys, how)
 
 
-# Rows of one key that a single task may still sort; measured before choosing a plan.
-MAX_GROUP_ROWS = 5_000_000
+# Rows of a slice, about: what one task sorts and walks through.
+SLICE_ROWS = 1_000_000
+# Slices of one table at most. Larger tables get larger slices; a slice is sorted with spill.
+MAX_SLICES = 1 << 16
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key: one column-pruned, map-side combined count."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def _slices(df: DataFrame, order: list[Column], slice_rows: int, label: str) -> tuple[DataFrame, int]:
+    """``df`` cut into slices consecutive along ``order``, with ``_slice`` and ``_place`` (from 0 in a slice).
+
+    Staged, as the cut points must not move between the passes over it or under a retry. The number
+    of slices follows the rows, one plan for all sizes.
+    """
+    n = min(max(-(-df.count() // slice_rows), 1), MAX_SLICES)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # The upper 31 bits of this number are the partition, the lower 33 the row's place in it.
+    number = ranged.withColumn("_place", F.monotonically_increasing_id())
+    cut = number.withColumns({
+        "_slice": F.shiftright("_place", 33).cast("int"), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)
+    })
+    return stage(cut, label), n
 
 
-def _running_in_slices(
-    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]
+def running_totals(
+    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Running sums for keys too large for one task.
+    """Inclusive running sums within ``keys`` along ``order``, which must be total.
 
-    Rows are range-partitioned into slices that are consecutive along keys and order, and
-    checkpointed: the cut points must not move between the passes or under a retry. Sums run
-    inside each slice; the slices' own totals, at most one row per slice and key, supply the
-    offsets.
+    Sums run inside slices consecutive along keys and order, so a hot key is never confined to one
+    task; the slices' own totals, at most one row per slice and key, supply the offsets.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-    sliced = freeze(ranged.withColumn("_slice", F.spark_partition_id()))
+    sliced, _ = _slices(df, [*[F.col(k) for k in keys], *order], slice_rows, "running")
     group = [*keys, "_slice"]
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*group)
@@ -68,27 +77,44 @@ def _running_in_slices(
     return attach(within, offsets, group, "inner").withColumns(result).select(*df.columns, *totals)
 
 
-def running_totals(
-    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Inclusive running sums within ``keys`` along ``order``, which must be total.
-
-    A plain window while every key fits a task; slices when one does not.
-    """
-    if largest_group(df, keys) > max_group_rows:
-        return _running_in_slices(df, keys, order, totals)
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
-
-
 def number_rows(
-    df: DataFrame, keys: list[str], order: list[Column], name: str = "row",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "row", slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """1-based position of each row within ``keys`` along ``order``, as one column more."""
     one = F.lit(1).cast("bigint")
-    return running_totals(df, keys, order, {name: one}, max_group_rows)
+    return running_totals(df, keys, order, {name: one}, slice_rows)
+
+
+def over_slices(
+    df: DataFrame, order: list[Column], halo: int, columns: Callable[[WindowSpec], dict[str, Column]],
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Window columns that look at most ``halo`` rows back along ``order``, without a window over all rows.
+
+    Each slice gets a copy of the ``halo`` rows before its first, from as many earlier slices as
+    hold them. ``columns`` makes the columns from a window; frames may start ``halo`` rows back.
+    """
+    sliced, n = _slices(df, order, slice_rows, "slices")
+    rows_in = {r[0]: r[1] for r in sliced.groupBy("_slice").agg(F.count(F.lit(1))).collect()}  # a row per slice
+    first = [0]
+    for at in range(n):
+        first.append(first[-1] + rows_in.get(at, 0))
+    start = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")
+
+    def first_of(place: Column) -> Column:
+        return F.element_at(start, place + 1)
+
+    row, home = F.col("_row"), F.col("_slice")
+    # Few rows have a later slice within reach; an empty slice takes copies that nobody reads.
+    later = F.when(
+        (home < n - 1) & (first_of(home + 1) - row <= halo),
+        F.filter(F.sequence(home + 1, F.lit(n - 1)), lambda t: first_of(t) - row <= halo),
+    )
+    targets = F.concat(F.array(home), F.coalesce(later, F.array().cast("array<int>")))
+    copies = sliced.withColumn("_row", F.col("_place") + first_of(home)).withColumn("_target", F.explode(targets))
+    window = Window.partitionBy("_target").orderBy("_row")
+    found = columns(window)
+    return copies.withColumns(found).where("_target = _slice").select(*df.columns, *found)
 
 
 def rows_not_in(left: DataFrame, right: DataFrame, ignore: list[str] | None = None) -> DataFrame:
