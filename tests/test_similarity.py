@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 from hypothesis import given, settings
@@ -85,3 +87,27 @@ def test_long_keys_equal_dynamic_programming_and_are_quick():
     start = time.process_time()
     lcs_length_long(a, b)
     assert time.process_time() - start < 0.05
+
+
+def test_a_very_long_right_key_does_not_widen_the_others():
+    rng = np.random.default_rng(4)
+    short = ["".join(rng.choice(list("abcdefgh "), 11)) for _ in range(10_000)]
+    right = [*short[1:], "ab" * 100_000]
+    tracemalloc.start()
+    scores = similarity.score_pairs(pd.Series(short), pd.Series(right))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * 2**20
+    some = rng.choice(9_999, 50)
+    assert np.allclose(scores[some], [200 * lcs_by_table(short[i], right[i]) / 22 for i in some])
+    common = lcs_by_table(short[-1], "ab" * 50)  # eleven characters need no more than these
+    assert np.isclose(scores[-1], 200 * common / 200_011)
+
+
+def test_scores_across_the_widths_of_keys():
+    rng = np.random.default_rng(6)
+    sizes = [0, 1, 63, 64, 127, 128, 191, 192, 1023, 1024, 1100]
+    pairs = [("".join(rng.choice(list("abc"), a)), "".join(rng.choice(list("abc"), b))) for a in sizes for b in sizes]
+    left, right = zip(*pairs)
+    got = similarity.score_pairs(pd.Series(left), pd.Series(right))
+    assert np.allclose(got, [200 * lcs_by_table(a, b) / (len(a) + len(b)) if a or b else 100 for a, b in pairs])

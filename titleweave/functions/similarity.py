@@ -135,6 +135,8 @@ def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
 
 # From this many machine words on, whole-number arithmetic of any length beats word-wise carries.
 _LONG = 3
+# From this many on, the other key's characters go one by one instead of into a matrix.
+_WIDE = 16
 
 
 def lcs_length_long(left: str, right: str) -> int:
@@ -156,13 +158,15 @@ def score_pairs(left: pd.Series, right: pd.Series) -> np.ndarray:
     sizes = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.float64).reshape(-1, 2)
     total = sizes.sum(axis=1)
     lcs = np.zeros(len(a), dtype=np.int64)
-    # Keys needing equally many words go together, so one long key does not widen the rest.
-    words = sizes[:, 0] // 64
-    for width in np.unique(words):
-        part = np.flatnonzero(words == width)
-        if width >= _LONG:
-            lcs[part] = [lcs_length_long(a[i], b[i]) for i in part]
-            continue
+    # Keys needing equally many words go together, and right keys of about one length, so one long
+    # key does not widen the rest: a matrix holds at most twice the characters it is made of.
+    words, wide = sizes[:, 0] // 64, np.ceil(np.log2(sizes[:, 1] // 64 + 1))
+    alone = (words >= _LONG) | (sizes[:, 1] >= 64 * _WIDE)
+    for i in np.flatnonzero(alone):
+        lcs[i] = lcs_length_long(*sorted((a[i], b[i]), key=len))
+    groups = words * 64 + wide
+    for group in np.unique(groups[~alone]):
+        part = np.flatnonzero(~alone & (groups == group))
         lcs[part] = lcs_lengths([a[i] for i in part], [b[i] for i in part])
     distance = total - 2 * lcs
     ratio = np.divide(distance, total, out=np.zeros_like(total), where=total > 0)
