@@ -12,7 +12,7 @@ from titleweave.functions import dates, text
 from titleweave.operators import companies, coverage, inventory
 from titleweave.plans import crosswalk, reports
 from titleweave.session import file_system, new_folder
-from titleweave.sources import cdx, html_pages, lakes, sitemaps, web_extract, writers
+from titleweave.sources import cdx, html_pages, lakes, sitemaps, versions, web_extract, writers
 
 
 @check(
@@ -409,12 +409,12 @@ def _(spark, folder):
 
 @check("write_merged", "select rp_story_id, headline_source from merged")
 def _(spark, folder):
-    """Written twice: the second write replaces the first as a whole."""
+    """Written twice: readers find the second version."""
     path = new_folder(spark, "merged")
     result = merged(spark, folder).select("rp_story_id", "headline_source")
     writers.write_merged(result.filter("headline_source is null"), path)
     writers.write_merged(result, path)
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 @check(

@@ -356,11 +356,3 @@ def test_refresh_clears_a_month_that_lost_its_matches(spark, tmp_path):
     assert [str(r[0]) for r in rows(redone)] == ["2024-01-01"]
     assert stored() == [("u2", 100.0)]
     assert crosswalk.refresh_crosswalk(titles("Orchard sold at auction"), rp, inputs("v2"), path, book).count() == 0
-
-
-def test_merged_table_is_replaced_as_a_whole(spark, tmp_path):
-    path = str(tmp_path / "merged")
-    for n in (3, 2):
-        writers.write_merged(spark.range(n), path)
-        assert spark.read.parquet(path).count() == n
-    assert [p.name for p in tmp_path.iterdir()] == ["merged"]

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.operators.ledger import ledger_entries
 from titleweave.schemas import NEWSWIRE_CROSSWALK, WEB_CROSSWALK
-from titleweave.session import file_system, freeze, read_or_empty
+from titleweave.session import read_or_empty
+from titleweave.sources import versions
 
 TITLE_PARTITIONS = ["source", "year", "month", "day"]
 
@@ -60,46 +59,35 @@ def write_inventory(
 
 
 def write_crosswalk(crosswalk: DataFrame, path: str) -> None:
-    """Crosswalk by month (``ym``), replacing only the months present."""
+    """Crosswalk by month (``ym``), replacing only the months present; as a new version where the
+    table is published."""
+    spark = crosswalk.sparkSession
+    if versions.current(spark, path)[0]:
+        none = spark.createDataFrame([], "month date")
+        replace_crosswalk_months(crosswalk, none, path)
+        return
     _overwrite_partitions(crosswalk.withColumn("ym", F.date_format("date", "yyyy-MM")), path, ["ym"])
 
 
 def replace_crosswalk_months(crosswalk: DataFrame, months: DataFrame, path: str) -> None:
-    """Write rebuilt months (``month``, first of month); one that no longer has any match
-    loses its old partition, which a dynamic overwrite alone would keep."""
-    spark = crosswalk.sparkSession
-    rows = freeze(crosswalk)
-    write_crosswalk(rows, path)
-    rebuilt = months.select(F.date_format("month", "yyyy-MM").alias("ym"))
-    written = rows.select(F.date_format("date", "yyyy-MM").alias("ym"))
-    files, to_path = file_system(spark, path)
-    for row in rebuilt.subtract(written).collect():  # a list of months
-        files.delete(to_path(f"{path}/ym={row.ym}"), True)
+    """Publish rebuilt months (``month``, first of month) in one step; one that no longer has any
+    match is gone in the new version. Readers see the months of before until then."""
+    month = F.date_format("date", "yyyy-MM")
+    versions.publish_parts(crosswalk, path, month, months.select(F.date_format("month", "yyyy-MM")))
 
 
 def combine_crosswalk(spark: SparkSession, path: str, url: str = "nw_source_url") -> DataFrame:
-    """All months together, ordered by date and URL; no rows if no month has a match."""
+    """All months together, ordered by date and URL; no rows if no month has a match. The published
+    version if there is one, else the months as ``write_crosswalk`` left them."""
     schema = NEWSWIRE_CROSSWALK if url == "nw_source_url" else WEB_CROSSWALK
+    if versions.current(spark, path)[0]:
+        return versions.read(spark, path, schema).orderBy("date", url)
     return read_or_empty(spark, path, f"{schema}, ym string").drop("ym").orderBy("date", url)
 
 
 def write_merged(merged: DataFrame, path: str) -> None:
-    """Replace the enriched feed: written in full beside the old one, then renamed into place,
-    so a failed or running write never shows."""
-    spark = merged.sparkSession
-    fresh, old = (f"{path}.{label}-{uuid.uuid4().hex}" for label in ("new", "old"))
-    merged.write.parquet(fresh)
-    files, to_path = file_system(spark, path)
-    target, new, previous = to_path(path), to_path(fresh), to_path(old)
-    existed = files.exists(target)
-    if existed and not files.rename(target, previous):
-        raise OSError(f"could not set {path} aside")
-    if not files.rename(new, target):
-        if existed:
-            files.rename(previous, target)
-        raise OSError(f"could not move the new table to {path}")
-    if existed:
-        files.delete(previous, True)
+    """Publish the enriched feed as a new version; ``versions.read`` finds it."""
+    versions.publish(merged, path)
 
 
 def relayout_flat_to_hive(spark: SparkSession, flat: str, target: str) -> DataFrame:
