@@ -13,41 +13,56 @@ The bounds are true upper bounds, so nothing above the threshold is lost. A hit
 words around it: five-word shingles of the question, and words of the answer (an item's last line,
 or last sentence if it has one line).
 
-The index is sent to the tasks in parts of at most ``PART_WORDS`` words each; a larger benchmark
-takes more passes over the documents.
+Document frequencies, the number of segments and their mean length are counted once over the whole
+benchmark. Tasks then build the index in parts of about ``PART_WORDS`` words, by the hash of the item, into
+a staged table; as all parts share the statistics, scores do not depend on the cut. An index within the
+bound of a broadcast goes to every task, which holds all parts against a batch of documents in one pass.
+A larger one meets the documents, in chunks of distinct texts, in a shuffle.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from titleweave.llm.common import free_name
+from titleweave.llm.common import free_name, stage
 from titleweave.llm.wordhash import PUNCTUATION, U, Run, runs
+from titleweave.session import MAX_BROADCAST_BYTES
 
 SEGMENT = 64
 STRIDE = 32
 PASSAGE = SEGMENT + STRIDE
 BLOCK = 8
 THRESHOLD = 0.6
-PASSAGES = 4096
+# Bounds that are held at a time: passages of a batch times blocks of a part.
+BOUNDS = 4_000_000
 SHINGLE = 5
 LEAST_OVERLAP = 0.8
 PART_WORDS = 200_000
+# Text that meets one part of a large index in one task, about.
+CHUNK_BYTES = 64 * 2**20
 K1, B = 1.2, 0.75
 
 HIT = StructType([
     StructField("item_id", LongType()), StructField("score", DoubleType()),
     StructField("question_overlap", DoubleType()), StructField("answer_overlap", DoubleType()),
 ])
+HITS = pa.list_(pa.struct([
+    ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()),
+]))
 
 
 def _token_hashes(texts: list[str]) -> list[np.ndarray]:
@@ -83,26 +98,38 @@ def question_and_answer(text: str) -> tuple[str, str]:
 class Item:
     item_id: int
     length: int
-    question: set
-    question_words: int
+    question_hashes: np.ndarray
     answer: set
 
+    @property
+    def question_words(self) -> int:
+        return min(SHINGLE, len(self.question_hashes))
+
+    @cached_property
+    def question(self) -> set:
+        return _shingles(self.question_hashes)
+
 
 class Index:
-    """Impacts of one part of the benchmark, by term and by block of segments."""
+    """Impacts of one part of the benchmark, by term and by block of segments.
+
+    ``terms`` and ``found_in`` are the words of the part and the number of segments of the whole
+    benchmark with them; ``total`` and ``mean`` are the number of all segments and their mean length.
+    """
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], terms: np.ndarray, found_in: np.ndarray, total: int, mean: float):
         pairs = [question_and_answer(text) for _, text in rows]
         whole = _token_hashes([text for _, text in rows])
         questions = _token_hashes([q for q, _ in pairs])
         answers = _token_hashes([a for _, a in pairs])
         self.items = [
-            Item(i, len(w), _shingles(q), min(SHINGLE, len(q)), set(a.tolist()))
+            Item(i, len(w), q, set(a.tolist()))
             for (i, _), w, q, a in zip(rows, whole, questions, answers)
         ]
         segments = [(n, w[a : a + SEGMENT]) for n, w in enumerate(whole) for a in range(0, len(w), SEGMENT)]
         self.item_of = np.array([n for n, _ in segments], np.int64)
-        self.terms = np.unique(np.concatenate([s for _, s in segments]))
+        order = np.argsort(terms)
+        self.terms, found_in = terms[order], found_in[order]
         term, segment, count = [], [], []
         for n, (_, words) in enumerate(segments):
             t, c = np.unique(np.searchsorted(self.terms, words), return_counts=True)
@@ -111,9 +138,8 @@ class Index:
             count.append(c)
         term, segment, count = map(np.concatenate, (term, segment, count))
         lengths = np.bincount(segment, count)
-        found_in = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(segments) - found_in + 0.5) / (found_in + 0.5))
-        norm = K1 * (1 - B + B * lengths / lengths.mean())
+        idf = np.log(1 + (total - found_in + 0.5) / (found_in + 0.5))
+        norm = K1 * (1 - B + B * lengths / mean)
         impact = idf[term] * count * (K1 + 1) / (count + norm[segment])
         impact /= np.bincount(segment, impact)[segment]
         order = np.argsort(term, kind="stable")
@@ -129,6 +155,18 @@ class Index:
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.terms >> U(48)).astype(np.int64)] = True
 
+    def packed(self) -> bytes:
+        """Plain values only: code reaches the tasks by value, where classes have no common name."""
+        items = [(x.item_id, x.length, x.question_hashes, x.answer) for x in self.items]
+        return pickle.dumps({**self.__dict__, "items": items})
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Index:
+        index = cls.__new__(cls)
+        index.__dict__.update(pickle.loads(data))
+        index.items = [Item(*x) for x in index.items]
+        return index
+
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers of words, -1 for words outside the index."""
         out = np.full(len(hashes), -1, np.int64)
@@ -184,8 +222,9 @@ class Index:
         start = _ranges(run.word_bounds[:-1], steps, STRIDE)
         stop = np.minimum(start + PASSAGE, run.word_bounds[document + 1])
         first, last = np.searchsorted(known, start), np.searchsorted(known, stop)
-        for a in range(0, len(start), PASSAGES):
-            part = slice(a, a + PASSAGES)
+        step = max(BOUNDS // self.blocks, 1)
+        for a in range(0, len(start), step):
+            part = slice(a, a + step)
             size = last[part] - first[part]
             at = _ranges(first[part], size)
             passage = np.repeat(np.arange(len(size)), size)
@@ -201,65 +240,129 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", part_words: int = PART_WORDS) -> list[Index]:
-    """The index, in parts of bounded size. Items without words or id are left out; repeats are folded."""
-    rows = (
+@F.arrow_udf(ArrayType(LongType()))
+def _hashes(texts: pa.Array) -> pa.Array:
+    found = _token_hashes(texts.fill_null("").to_pylist())
+    return pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
+
+
+def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", part_words: int = PART_WORDS) -> DataFrame:
+    """part, index: the packed parts of the index as a staged table.
+
+    Items without words or id are left out; repeats are folded. No rows for an empty benchmark.
+    """
+    items = stage(
         benchmark.where(F.col(item_id).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).distinct().orderBy("i", "t")
+        .select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).distinct()
+        .withColumn("words", _hashes("t")).where(F.size("words") > 0),
+        "test-items",
     )
-    parts, now, size = [], [], 0
-    for r in rows.toLocalIterator():
-        n = len(_token_hashes([r.t])[0])
-        if not n:
-            continue
-        if now and size + n > part_words:
-            parts.append(Index(now))
-            now, size = [], 0
-        now.append((r.i, r.t))
-        size += n
-    return [*parts, Index(now)] if now else parts
-
-
-def leaks(text: Column, index: Index) -> Column:
-    """array<struct<item_id, score, question_overlap, answer_overlap>>: test items in a text."""
+    n_segments = F.ceil(F.size("words") / SEGMENT)
+    words, total = items.agg(F.sum(F.size("words")), F.sum(n_segments)).first()
+    mean, parts = (words / total, math.ceil(words / part_words)) if words else (0.0, 1)
+    starts = F.sequence(F.lit(0), (n_segments - 1).cast("int"))
+    segments = F.transform(starts, lambda k: F.array_distinct(F.slice("words", k * SEGMENT + 1, SEGMENT)))
+    found_in = items.select(F.explode(F.flatten(segments)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("found_in"))
+    cut = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("int"))
+    own = cut.select(F.col("part").alias("home"), F.explode(F.array_distinct("words")).alias("term")).distinct()
+    terms = own.join(found_in, "term").select("home", "term", "found_in")
+
+    def build(rows: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["i", "t"])
+        hashes = terms.term.to_numpy(np.int64).view(np.uint64)
+        index = Index(list(zip(rows.i.tolist(), rows.t)), hashes, terms.found_in.to_numpy(), total, mean)
+        return pd.DataFrame({"part": [int(rows.part.iloc[0])], "index": [index.packed()]})
+
+    built = cut.select("part", "i", "t").groupBy("part").cogroup(terms.groupBy("home")).applyInPandas(build, "part int, index binary")
+    return stage(built, "test-index")
+
+
+def _find(texts: pa.Array, parts: list[Index]) -> pa.Array:
+    """Test items in texts, by item. An item that several parts hold under other texts counts by its best."""
+    rows: list[list[dict]] = []
+    for run in runs(pc.utf8_lower(texts.cast(pa.large_string())), between=PUNCTUATION):
+        found: list[dict] = [{} for _ in range(len(run))]
+        for index in parts:
+            for own, new in zip(found, index.hits(run)):
+                for item, hit in new.items():
+                    own[item] = max(hit, own.get(item, hit))
+        rows += [
+            [{"item_id": i, "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(own.items())]
+            for own in found
+        ]
+    return pa.array(rows, HITS)
+
+
+def _in_every_task(text: Column, sent: Broadcast) -> Column:
+    loaded: list[Index] = []
 
     @F.arrow_udf(ArrayType(HIT))
     def find(texts: pa.Array) -> pa.Array:
-        rows: list[list[dict]] = []
-        for run in runs(pc.utf8_lower(texts.cast(pa.large_string())), between=PUNCTUATION):
-            for found in index.hits(run):
-                rows.append([
-                    {"item_id": i, "score": s, "question_overlap": q, "answer_overlap": a}
-                    for i, (s, q, a) in sorted(found.items())
-                ])
-        kind = pa.list_(pa.struct([
-            ("item_id", pa.int64()), ("score", pa.float64()),
-            ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()),
-        ]))
-        return pa.array(rows, kind)
+        if not loaded:
+            loaded.extend(Index.unpacked(part) for part in sent.value)
+        return _find(texts, loaded)
 
     return find(text)
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _by_meeting(df: DataFrame, parts: DataFrame, out: str, text: str) -> DataFrame:
+    """Chunks of distinct texts meet the parts one by one; rows get their text's hits back by its digest."""
+    digest, chunk = (free_name(df, n) for n in ("text_digest", "text_chunk"))
+    keyed = df.withColumn(digest, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    numbers = [r[0] for r in parts.select("part").collect()]  # a few bytes for each part of the index
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = size // CHUNK_BYTES + 1
+    texts = (
+        keyed.select(F.col(digest).alias("digest"), F.col(text).alias("text")).dropna().dropDuplicates(["digest"])
+        .withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks)))
+        .withColumn("part", F.explode(F.lit(numbers)))
+    )
+    spread = parts.withColumnRenamed("part", "number").withColumn("place", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+
+    def find(texts: pa.Table, part: pa.Table) -> pa.Table:
+        indexes = [Index.unpacked(p) for p in part["index"].to_pylist()]
+        hits = _find(texts["text"].combine_chunks(), indexes) if len(texts) and indexes else pa.array([[]] * len(texts), HITS)
+        return pa.table({"digest": texts["digest"], "hits": hits})
+
+    both = texts.groupBy("chunk", "part").cogroup(spread.groupBy("place", "number"))
+    found = both.applyInArrow(find, StructType().add("digest", "string").add("hits", ArrayType(HIT))).where(F.size("hits") > 0)
+    # The best hit of each item over all parts, as in one task that sees them all.
+    best = (
+        found.select("digest", F.explode("hits").alias("hit")).groupBy("digest", "hit.item_id")
+        .agg(F.max(F.struct("hit.score", "hit.question_overlap", "hit.answer_overlap")).alias("best"))
+        .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("item_id", "best.*"))).alias("hits"))
+    )
+    joined = keyed.join(best.select(F.col("digest").alias(chunk), F.col("hits").alias(out)), F.col(digest) == F.col(chunk), "left")
+    return joined.drop(digest, chunk).withColumn(out, F.coalesce(F.col(out), F.array().cast(ArrayType(HIT))))
+
+
+def with_leaks(
+    df: DataFrame, benchmark: DataFrame, out: str, text: str = "text", part_words: int = PART_WORDS,
+    max_broadcast: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``df`` with ``out``: array<struct<item_id, score, question_overlap, answer_overlap>>, sorted by item.
+
+    Both ways to bring texts and index together give the same rows; the size of the index decides.
+    """
+    parts = indexes(benchmark, part_words=part_words)
+    size = parts.agg(F.sum(F.octet_length("index"))).first()[0] or 0
+    if size > max_broadcast:
+        return _by_meeting(df, parts, out, text)
+    sent = df.sparkSession.sparkContext.broadcast([bytes(r["index"]) for r in parts.orderBy("part").collect()])
+    return df.withColumn(out, _in_every_task(F.col(text), sent))
+
+
+def find_leaks(df: DataFrame, benchmark: DataFrame, row_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per document row and test item in it.
 
     Null and blank texts leak nothing; repeated rows give repeated hits; an empty benchmark or
-    table gives no rows.
+    table gives no rows. ``options`` as of ``with_leaks``.
     """
-    out = None
-    for index in indexes(benchmark):
-        hits = df.select(F.col(row_id).alias("doc_id"), F.explode(leaks(F.col(text), index)).alias("hit")).select("doc_id", "hit.*")
-        out = hits if out is None else out.unionByName(hits)
-    if out is None:
-        return df.select(F.col(row_id).alias("doc_id"), F.explode(F.array().cast(ArrayType(HIT))).alias("hit")).select("doc_id", "hit.*")
-    return out
+    rows = df.select(F.col(row_id).alias("doc_id"), F.col(text).alias("text"))
+    return with_leaks(rows, benchmark, "hits", **options).select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
-def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that hold no test item. Same columns."""
-    names = df.columns
-    for index in indexes(benchmark):
-        found = free_name(df, "leaked_items")
-        df = df.withColumn(found, leaks(F.col(text), index)).where(F.size(found) == 0).select(*names)
-    return df
+def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", **options: int) -> DataFrame:
+    """The rows of ``df`` that hold no test item. Same columns. ``options`` as of ``with_leaks``."""
+    found = free_name(df, "leaked_items")
+    return with_leaks(df, benchmark, found, text, **options).where(F.size(found) == 0).select(*df.columns)
