@@ -3,6 +3,7 @@
 import html
 import math
 import re
+import time
 import subprocess
 import sys
 import zlib
@@ -71,6 +72,29 @@ def test_articles_in_parts_and_around(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<body><h1>Head</h1><div><p>{LONG}</p><p>{LONG} two</p></div></body>", f"Head\n{LONG}\n{LONG} two"),
+    (f"<body><h1>Head</h1><h2>Sub</h2><div><div><p>{LONG}</p><p>{LONG} two</p></div></div>", f"Head\nSub\n{LONG}\n{LONG} two"),
+    (f"<body><h1>Head</h1><p>By A</p><article><p>{LONG}</p><p>{LONG} two</p></article>", f"Head\n{LONG}\n{LONG} two"),
+    (f"<body><h1>Site</h1><p>motto</p><article><h1>Head</h1><p>{LONG}</p><p>{LONG} two</p></article>", f"Head\n{LONG}\n{LONG} two"),
+    (f"<body><h1><a href=a>Site</a></h1><div><p>{LONG}</p><p>{LONG} two</p></div><h2>More</h2>", f"{LONG}\n{LONG} two"),
+    (f"<article><p>{LONG}</p><div class='social-history'><p>{LONG} b</p></div><div class='related-posts'>no</div>"
+     f"<section id=related-work>{LONG} c</section><div class='share-buttons top'>no</div></article>", f"{LONG}\n{LONG} b\n{LONG} c"),
+])
+def test_headings_beside_the_text_and_names_inside_it(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "deep", "<b>" * 50_000 + "<p>deep" * 50_000, "<article>" * 50_000 + "deep", "<ul><li>" * 50_000 + "deep",
+    "<table><tr><td>" * 30_000 + "deep", "<div>" * 50_000 + "</b>" * 50_000 + "deep",
+])
+def test_deeply_nested_pages_take_linear_time(page):
+    start = time.process_time()
+    assert "deep" in html_text.main_text(page)
+    assert time.process_time() - start < 4  # a second or so; minutes if every tag searched the stack
+
+
 def test_pages_keep_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "<p>a</p>", "old"), (1, "<p>a</p>", "old"), (None, None, None)], "page_id int, html string, text string")
     found = html_text.extract_text(df)

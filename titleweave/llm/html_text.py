@@ -8,7 +8,8 @@ text. Elements that declare themselves menus, adverts, forms, notices, comments
 are taken out of the tree first; forms and those known by class or id only stay in if they hold
 an ``article`` or ``main`` element, or if nothing else has text. If the peak lies in an ``article`` or ``main`` element, the
 outermost such element around it is taken whole, and with it all other such elements, and the headings beside
-it or beside what it stands in, at or above the page's threshold.
+it or beside what it stands in, at or above the page's threshold. Headings right in front of the text, and its h1 if it has none inside, come
+with it from outside however short they are.
 """
 
 from __future__ import annotations
@@ -48,6 +49,12 @@ PART_NAMES = re.compile(
     r"|navbar|navigation|masthead|topbar|toolbar|footer|copyright|disclaimer|skip-?link)(?:$|[\s_-]|\d)",
     re.I,
 )
+# Words that a part's name is joined to; inside an article a name made of anything else is content.
+LAYOUT_WORDS = {
+    "area", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "entry",
+    "form", "group", "icons", "inline", "inner", "items", "left", "link", "links", "list", "outer", "panel", "post", "posts",
+    "right", "row", "section", "slot", "stories", "text", "thread", "tools", "top", "unit", "wrap", "wrapper",
+}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|head)(?:$|[\s_-])", re.I)
 COMMENT_NAMES = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|related|ad|advert|sponsored|promo)(?:$|[\s_-]|\d)", re.I)
@@ -72,6 +79,19 @@ class Node:
 SURE, LIKELY = 1, 2
 
 
+def _names_part(names: str, inside_article: bool) -> bool:
+    """Whether a class or id says so. In an article a name counts as a whole: ``related-posts``, not ``related-work``."""
+    if not inside_article:
+        return PART_NAMES.search(names) is not None
+    return any(
+        PART_NAMES.search(name) and all(
+            x.isdigit() or x.lower() in LAYOUT_WORDS or PART_NAMES.search(x) or x.lower() in ("side", "skip")
+            for x in re.split("[-_]+", name) if x
+        )
+        for name in names.split()
+    )
+
+
 def _part(tag: str, attributes: str, inside_article: bool) -> int:
     """Whether an element declares itself to be something beside the article: 0, LIKELY or SURE."""
     if tag in PAGE_PARTS or tag == "header" and not inside_article:
@@ -88,7 +108,7 @@ def _part(tag: str, attributes: str, inside_article: bool) -> int:
         or found.get("aria-hidden", "").lower() == "true"
         or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", bare)
         or re.search(r"display\s*:\s*none", found.get("style", ""))
-        or PART_NAMES.search(names)
+        or _names_part(names, inside_article)
         or not inside_article and HEADER_NAMES.search(names)
     )
 
@@ -98,12 +118,21 @@ def parse(page: str) -> Node:
     root = Node("html", None)
     stack = [root]
     at, size, articles = 0, len(page), 0
+    # Where elements of each name stand open, so that no tag searches the stack; and how many
+    # elements at its bottom are known to hold an article.
+    places: dict[str, list[int]] = {}
+    holding = 0
 
     def close(n: int) -> None:
-        nonlocal articles
+        nonlocal articles, holding
         for node in stack[n:]:
             articles -= node.tag in ("article", "main")
+            places[node.tag].pop()
         del stack[n:]
+        holding = min(holding, n)
+
+    def innermost(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     while at < size:
         sign = page.find("<", at)
@@ -123,11 +152,8 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            if tag not in ("html", "body"):
-                for n in range(len(stack) - 1, 0, -1):
-                    if stack[n].tag == tag:
-                        close(n)
-                        break
+            if tag not in ("html", "body") and places.get(tag):
+                close(places[tag][-1])
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -135,28 +161,22 @@ def parse(page: str) -> Node:
             continue
         if tag == "html":
             continue
-        if tag in BLOCK and tag != "body":
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag == "p":
-                    close(n)
-                    break
-                if stack[n].tag in KEEPS_P:
-                    break
+        if tag in BLOCK and tag != "body" and places.get("p") and places["p"][-1] > innermost(KEEPS_P):
+            close(places["p"][-1])
         if tag in ENDS:
             ended, limits = ENDS[tag]
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag in limits:
+            while innermost(ended) > innermost(limits):
+                close(innermost(ended))
+                if tag != "tr":
                     break
-                if stack[n].tag in ended:
-                    close(n)
-                    if tag != "tr":
-                        break
         node = Node(tag, stack[-1], _part(tag, m[3], articles > 0))
         if tag in ("article", "main") and not node.part:
-            for above in stack:
+            for above in stack[holding:]:
                 above.part = SURE if above.part == SURE else 0
+            holding = len(stack)
         stack[-1].parts.append(node)
         if tag not in VOID and not m[3].endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
             articles += tag in ("article", "main")
     return root
@@ -236,6 +256,42 @@ def _with_siblings(home: Node, peak: Node, nodes: list[Node]) -> list[Node]:
     return found
 
 
+def _with_headings(chosen: list[Node], nodes: list[Node]) -> list[Node]:
+    """``chosen`` with the headings that introduce it from outside, however short.
+
+    They stand beside the first chosen element or beside what that stands in, before it. Headings
+    right in front of it count, with only headings between; if there is no h1 in it, so do all h1.
+    Headings that are mostly links do not.
+    """
+    first = chosen[0]
+    inside, waiting = set(), list(chosen)
+    while waiting:
+        node = waiting.pop()
+        if id(node) not in inside:
+            inside.add(id(node))
+            waiting += [p for p in node.parts if isinstance(p, Node)]
+    titled = any(n.tag == "h1" and n.chars and id(n) in inside for n in nodes)
+    found, node, touching = [], first, True
+    while node.parent is not None:
+        before = []
+        for p in node.parent.parts:
+            if p is node:
+                break
+            before.append(p)
+        for p in reversed(before):
+            if isinstance(p, str):
+                touching &= not p.strip()
+            elif p.part or p.tag == "head" or not p.chars:
+                continue
+            elif p.tag in HEADINGS and 2 * p.link_chars < p.chars:
+                if touching or p.tag == "h1" and not titled:
+                    found.append(p)
+            else:
+                touching = False
+        node = node.parent
+    return [*chosen, *found]
+
+
 def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
     peak = root.peak
     if not peak.total:
@@ -250,7 +306,7 @@ def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
         if 2 * (best.chars - best.link_chars) >= root.chars - root.link_chars:
             node = best
     if node is not None:
-        return _with_siblings(node, peak, nodes)
+        return _with_headings(_with_siblings(node, peak, nodes), nodes)
     threshold = _threshold(peak)
     found, waiting = [], [root]
     while waiting:
@@ -261,8 +317,9 @@ def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
                 found.append(best)
             elif best.density >= threshold:
                 found.append(best)
-            waiting += [p for p in node.parts if isinstance(p, Node) and not p.part and p.tag != "head"]
-    return found
+            # The first in page order is looked at first.
+            waiting += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.part and p.tag != "head"]
+    return _with_headings(found, nodes) if found else found
 
 
 def _blocks(root: Node, chosen: list[Node]) -> list[str]:
