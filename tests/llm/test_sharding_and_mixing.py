@@ -50,6 +50,22 @@ def test_hot_text_is_spread_and_others_stay_together(spark):
     assert len(hot) > 1 and all(len(h) == 1 for h in homes.values())
 
 
+def test_large_texts_do_not_part_the_copies_of_small_ones(spark):
+    rows = [(i, prose(i % 1000, 30), "en", "a", 1) for i in range(3000)]
+    rows += [(5000 + i, prose(2000 + i, 20_000), "en", "a", 1) for i in range(12)]
+    found = sharding.shard_by_bytes(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    check_slots(found)
+    homes, totals = defaultdict(set), Counter()
+    for r in found:
+        homes[r.text].add(r.shard)
+        totals[r.shard] += r.size
+    assert all(len(h) == 1 for h in homes.values())
+    mean = sum(totals.values()) / 16
+    largest = max(r.size for r in found)
+    assert all(abs(t - mean) <= 0.05 * mean for t in totals.values()) or largest > mean
+
+
 def test_shards_of_odd_rows(odd, empty):
     found = sharding.shard_by_bytes(odd, shards=4).collect()
     assert len(found) == odd.count()

@@ -2,17 +2,21 @@
 
 The range key is the hash of the text, so equal texts are neighbours. Keys are drawn with a
 chance in proportion to their size; quantiles of the draws cut the key space into cells; bytes
-and rows of each cell are then counted exactly. A cell far above its share (one text that many
-rows have) is subdivided by a second key, the hash of the row's id. Whole cells are dealt to
-shards in key order by their exact cumulative bytes.
+and rows of each cell are then counted exactly. A cell far above its share is subdivided: a text whose
+rows alone are more than a cell gets cells of its own, by the hash of the row's id, and the rest
+of the range is cut by a second hash of the text. Whole cells are dealt to shards by their exact
+bytes, the largest first, each to the shard with most room.
 
-Only splitters and cell totals reach the driver; their number is ``shards * cells_per_shard``
-times a small constant, whatever the input.
+Only splitters, texts heavier than a cell and cell totals reach the driver; their number is
+``shards * cells_per_shard`` times a small constant, whatever the input.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import bisect_right
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,8 +65,8 @@ def shard_by_bytes(
     """All rows with ``size``, ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in a shard).
 
     Size is the UTF-8 bytes of the text plus 1. Shards differ by about one cell, a
-    ``1 / cells_per_shard`` part of a shard, or by one document if that is larger. Equal texts
-    share a shard unless together they overfill a cell.
+    ``1 / cells_per_shard`` part of a shard; more only if single rows are larger than a shard.
+    Equal texts share a shard unless together they are more than a cell.
 
     Null text counts as empty; null ids are one id; fully equal rows cannot be told apart and
     stay in one cell; an empty table gives no rows. Input columns called size, shard or slot are
@@ -83,26 +87,34 @@ def shard_by_bytes(
     placed = _place(keyed, key, cell, splitters)
 
     goal = max(total / cells, 1.0)
-    filled = {r[0]: r[1] for r in placed.groupBy(cell).agg(F.sum("size")).collect()}
-    parts = [
-        math.ceil(filled[c] / goal) if filled.get(c, 0) > 2 * goal else 1 for c in range(len(splitters) + 1)
-    ]
+    light = Counter({r[0]: r[1] for r in placed.groupBy(cell).agg(F.sum("size")).collect()})
+    # Fewer texts than ``cells``, as each is more than one cell's share.
+    sums = keyed.groupBy(key).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    heavy = sorted(tuple(r) for r in sums.where(F.col("size") > goal).collect())
+    for k, size, _ in heavy:
+        light[min(bisect_right(splitters, k), len(splitters))] -= size
+    parts = [math.ceil(light[c] / goal) if light[c] > 2 * goal else 1 for c in range(len(splitters) + 1)]
+    parts += [min(n, math.ceil(size / goal)) for _, size, n in heavy]
     first = [0]
     for n in parts:
         first.append(first[-1] + n)
-    at = (F.col(cell) + 1).cast("int")
-    inner = F.floor(F.col(chance) * F.element_at(_ints(parts), at))
+    keys = [k for k, *_ in heavy]
+    placed = _place(placed, key, part, keys)
+    below = F.col(part)
+    own = (below > 0) & (F.element_at(_ints(keys or [0], "bigint"), F.greatest(below, F.lit(1))) == F.col(key))
+    at = F.when(own, below + len(splitters) + 1).otherwise(F.col(cell) + 1).cast("int")
+    spread = F.when(own, F.col(chance)).otherwise(unit(F.col(key), F.lit(1)))
+    inner = F.floor(spread * F.element_at(_ints(parts), at))
     placed = placed.withColumn(part, (F.element_at(_ints(first[:-1]), at) + inner).cast("int"))
 
     facts = {r[0]: (r[1], r[2]) for r in placed.groupBy(part).agg(F.sum("size"), F.count("*")).collect()}
-    shard_of, offset_of, seen, rows_in = [], [], 0, [0] * shards
-    for p in range(first[-1]):
-        size, n = facts.get(p, (0, 0))
-        shard = min(shards - 1, int((seen + size / 2) * shards / max(total, 1)))
-        shard_of.append(shard)
-        offset_of.append(rows_in[shard])
-        seen += size
-        rows_in[shard] += n
+    shard_of, offset_of, rows_in = [0] * first[-1], [0] * first[-1], [0] * shards
+    room = [(0, shard) for shard in range(shards)]
+    for p in sorted(facts, key=lambda p: (-facts[p][0], p)):
+        filled, shard = heapq.heappop(room)
+        shard_of[p], offset_of[p] = shard, rows_in[shard]
+        rows_in[shard] += facts[p][1]
+        heapq.heappush(room, (filled + facts[p][0], shard))
     order = Window.partitionBy(part).orderBy(key, chance, F.col(row_id).asc_nulls_last())
     spot = (F.col(part) + 1).cast("int")
     return placed.select(
