@@ -47,7 +47,8 @@ STRIDE = 32
 PASSAGE = SEGMENT + STRIDE
 BLOCK = 8
 THRESHOLD = 0.6
-# Bounds that are held at a time: passages of a batch times blocks of a part.
+# Passages of a batch at most, and bounds that are held at a time: passages times blocks of a part.
+PASSAGES = 4096
 BOUNDS = 4_000_000
 SHINGLE = 5
 LEAST_OVERLAP = 0.8
@@ -222,7 +223,7 @@ class Index:
         start = _ranges(run.word_bounds[:-1], steps, STRIDE)
         stop = np.minimum(start + PASSAGE, run.word_bounds[document + 1])
         first, last = np.searchsorted(known, start), np.searchsorted(known, stop)
-        step = max(BOUNDS // self.blocks, 1)
+        step = max(min(PASSAGES, BOUNDS // self.blocks), 1)
         for a in range(0, len(start), step):
             part = slice(a, a + step)
             size = last[part] - first[part]
