@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sql, tables
 from checks.matching import merged, newswire, web_titles
 from checks.registry import check
+from titleweave import schemas
 from titleweave.functions import dates, text
-from titleweave.operators import companies, coverage, inventory
+from titleweave.operators import companies, coverage, inventory, ledger
 from titleweave.plans import crosswalk, reports
 from titleweave.session import file_system, new_folder
-from titleweave.sources import cdx, html_pages, lakes, sitemaps, versions, web_extract, writers
+from titleweave.sources import cdx, contents, html_pages, lakes, sitemaps, versions, web_extract, writers
 
 
 @check(
@@ -110,13 +113,13 @@ def _(spark, folder):
 
 def _landed_inventory(spark: SparkSession, folder: str) -> tuple[str, str]:
     """Inventory lake with its ledger; days before February lack the slug column."""
-    path, ledger = new_folder(spark, "inventory"), new_folder(spark, "ledger")
+    path, book = new_folder(spark, "inventory"), new_folder(spark, "ledger")
     found = articles(spark, folder)
     days = found.select(F.to_date("date").alias("day")).distinct()
     recent = F.to_date("date") >= "2024-02-01"
-    writers.write_inventory(found.filter(~recent).drop("headline_from_slug"), days, path, ledger, "wire")
-    writers.write_inventory(found.filter(recent), days.filter("false"), path, ledger, "wire")
-    return path, ledger
+    writers.write_inventory(found.filter(~recent).drop("headline_from_slug"), days, path, book, "wire")
+    writers.write_inventory(found.filter(recent), days.filter("false"), path, book, "wire")
+    return path, book
 
 
 @check(
@@ -180,22 +183,44 @@ def _(spark, folder):
     return html_pages.read_html_titles(pages, "prnewswire")
 
 
+@check(
+    "read_dated_html_titles",
+    """select trim(regexp_replace(replace(h1, '&quot;', '"'), '&amp;?', '&', 'g')) as headline, page_id,
+              strftime(date, '%Y-%m-%d') as date,
+              case when page_id % 4 = 3 then 'businesswire' when page_id % 4 = 0 then 'prnewswire'
+                   else 'globenewswire' end as source
+       from pages_h1 where trim(h1) <> ''""",
+)
+def _(spark, folder):
+    """Each source's own heading class and place of the date; other headings and dates stand beside them."""
+    pages = tables.dated_pages(spark, folder)
+    kinds = {"prnewswire": "page_id % 4 = 0", "globenewswire": "page_id % 4 in (1, 2)", "businesswire": "page_id % 4 = 3"}
+    number = pages.select(F.col("url").alias("source_url"), "page_id")
+    parts = [
+        html_pages.read_html_titles(some, source).withColumn("source", F.lit(source))
+        .join(number.where(rule), "source_url").where(rule)
+        for source, rule in kinds.items() for some in [pages.where(rule).drop("page_id").distinct()]
+    ]
+    return reduce(DataFrame.unionByName, parts).select("headline", "page_id", "date", "source").distinct()
+
+
 @check(
     "date_from_urls",
-    """select page_id,
-              strftime(date, '%Y-%m-%d') as path_date, strftime(date, '%Y-%m-%d') as home_date,
-              day(date) as day, -1 as no_day
+    """select page_id, url, case when page_id % 4 = 2 then strftime(date, '%Y-%m-%d') end as path_date,
+              case when page_id % 4 = 3 then strftime(date, '%Y-%m-%d') end as home_date,
+              case when page_id % 4 = 2 then day(date) else -1 end as day, -1 as no_day
        from pages_h1""",
 )
 def _(spark, folder):
-    rows = tables.cdx_responses(spark, folder)
-    release = F.concat(F.lit("https://x/news-release/"), F.date_format("day", "yyyy/MM/dd"), F.lit("/7/0/en/a.html"))
-    home = F.concat(F.lit("https://x/news/home/"), F.date_format("day", "yyyyMMdd"), F.lit("000123/en"))
-    return rows.select(
+    """Addresses of pages with a dated path, of either kind, between those that have none."""
+    url = F.col("url")
+    plain = tables.table(spark, folder, "pages").select("page_id", url.alias("plain_url"))
+    return tables.dated_pages(spark, folder).join(plain, "page_id").select(
         "page_id",
-        text.date_from_release_path(release).alias("path_date"),
-        text.date_from_home_path(home).alias("home_date"),
-        text.day_from_date_text(text.date_from_release_path(release)).alias("day"),
+        F.col("plain_url").alias("url"),
+        text.date_from_release_path(url).alias("path_date"),
+        text.date_from_home_path(url).alias("home_date"),
+        text.day_from_date_text(text.date_from_release_path(url)).alias("day"),
         text.day_from_date_text(F.lit("2024-01")).alias("no_day"),
     )
 
@@ -292,6 +317,36 @@ def _(spark, folder):
     return reports.archive_titles(tables.archives(spark, folder), "newswireca", "2024-02")
 
 
+@check("archive_titles_with_marks", f"select headline, source_url, date from ({_SLUG_ROWS})")
+def _(spark, folder):
+    """Byte order marks and NULs in archives change nothing."""
+    return sitemaps.slug_entries(sitemaps.archive_urls(tables.marked_archives(spark, folder)))
+
+
+@check(
+    "archive_titles_not_yet_done",
+    f"""select headline, source_url, date, 'newswireca' as source from ({_SLUG_ROWS})
+        where page_id % 5 <> 0 and date like '2024-02%' and day(date::date) % 2 = 1""",
+)
+def _(spark, folder):
+    """Even days of the month are in the ledger: only the others are read out of the archives."""
+    wanted = ledger.calendar(spark, "2024-02-01", "2024-03-01").where("day(day) % 2 = 0")
+    done = wanted.withColumn("source", F.lit("newswireca"))
+    return reports.archive_titles(tables.archives(spark, folder), "newswireca", "2024-02", done)
+
+
+@check(
+    "release_urls",
+    """select 'https://www.example.com/News-Releases/' || slug || '-8' || lpad(page_id::varchar, 8, '0') || '.html' as loc
+       from pages_h1""",
+)
+def _(spark, folder):
+    """The marker in another case; pages about the company go."""
+    entries = sitemaps.url_entries(tables.sitemaps(spark, folder))
+    cased = entries.withColumn("loc", F.replace("loc", F.lit("/news-releases/"), F.lit("/News-Releases/")))
+    return sitemaps.sitemap_urls(cased, text.is_release_url(F.col("loc"))).select("loc")
+
+
 @check(
     "pick_valid_snapshot",
     """select month, max(timestamp) as timestamp from (
@@ -400,11 +455,11 @@ def _(spark, folder):
     """select 'wire' as source, date as day, count(*) as row_count, 2 as schema_version from articles group by date""",
 )
 def _(spark, folder):
-    path, ledger = new_folder(spark, "inventory"), new_folder(spark, "ledger")
+    path, book = new_folder(spark, "inventory"), new_folder(spark, "ledger")
     found = articles(spark, folder)
     days = found.select(F.to_date("date").alias("day")).distinct()
-    writers.write_inventory(found, days, path, ledger, "wire")
-    return spark.read.parquet(ledger).drop("input_version", "done_at")
+    writers.write_inventory(found, days, path, book, "wire")
+    return spark.read.parquet(book).drop("input_version", "done_at")
 
 
 @check("write_merged", "select rp_story_id, headline_source from merged")
@@ -501,16 +556,87 @@ def _(spark, folder):
 @check(
     "lake_inventory",
     """select source, count(distinct (year, month, day)) as day_partitions, count(distinct (year, month)) as months,
-              count(*) as n_rows
+              count(*) as n_rows, 1 as same_files, 1 as same_bytes
        from (select source, year(date::date) as year, month(date::date) as month, day(date::date) as day
              from newswire_titles) group by source""",
 )
 def _(spark, folder):
+    """File count and size depend on the cluster: held against those that a scan of all rows sees."""
     path = new_folder(spark, "titles")
     writers.write_daily(tables.newswire_titles(spark, folder), path)
-    found = inventory.lake_inventory(lakes.read_titles(spark, path), ["source"], ["year", "month", "day"])
-    # File count and size depend on the cluster, not on the data.
-    return found.drop("files", "bytes")
+    found = inventory.lake_inventory(spark, path, ["source"], ["year", "month", "day"])
+    seen = lakes.read_titles(spark, path).select("source", "_metadata.file_path", "_metadata.file_size").distinct()
+    sizes = seen.groupBy("source").agg(F.count(F.lit(1)).alias("_files"), F.sum("file_size").alias("_bytes"))
+    return found.join(sizes, "source").select(
+        "source", "day_partitions", "months", "n_rows",
+        (F.col("files") == F.col("_files")).alias("same_files"), (F.col("bytes") == F.col("_bytes")).alias("same_bytes"),
+    )
+
+
+@check(
+    "write_months_with_empty_ones",
+    """with m as (select unnest(generate_series(date '2023-11-01', date '2024-06-01', interval 1 month))::date as month),
+            n as (select year, month, count(*) as n from web_titles group by all)
+       select 'web' as source, m.month::varchar as month, coalesce(n, 0) as row_count,
+              (m.month >= date '2024-06-01')::int as pending
+       from m left join n on n.year = year(m.month) and n.month = month(m.month)""",
+)
+def _(spark, folder):
+    """Months without titles are in the ledger as well; the last one was not fetched and is still to do."""
+    path, book = new_folder(spark, "web-titles"), new_folder(spark, "months-done")
+    wanted = ledger.calendar(spark, "2023-11-01", "2024-06-02").where("day(day) = 1")
+    months = wanted.select(F.lit("web").alias("source"), F.col("day").alias("month"))
+    fetched = months.where("month < '2024-06-01'").select("month")
+    writers.write_monthly(web_titles(spark, folder).drop("year", "month"), path, processed=fetched, ledger_path=book)
+    done = spark.read.parquet(book)
+    left = ledger.pending_months(months, done).select("source", "month", F.lit(True).alias("pending"))
+    counts = months.join(done.select("source", "month", "row_count"), ["source", "month"], "left")
+    return counts.join(left, ["source", "month"], "left").fillna({"row_count": 0, "pending": False})
+
+
+@check(
+    "months_changed_in_lake",
+    """select distinct source, strftime(date_trunc('month', date::date), '%Y-%m-%d') as month from newswire_titles
+       where (source = 'net' and date like '2024-01%') or (source = 'com' and date like '2024-03%')
+          or (source = 'org' and date like '2024-02%')""",
+)
+def _(spark, folder):
+    """The lake again in other files: titles of one month changed, another month's went, and one
+    title more was filed under a third. All other months hold equal rows and are not due."""
+    old, new, book = (new_folder(spark, name) for name in ("titles", "titles", "fingerprints"))
+    titles = tables.newswire_titles(spark, folder)
+    writers.write_daily(titles, old)
+    month = F.substring("date", 1, 7)
+    touched = F.when((F.col("source") == "net") & (month == "2024-01"), F.concat("headline", F.lit("!"))).otherwise(F.col("headline"))
+    kept = titles.withColumn("headline", touched).where(~((F.col("source") == "com") & (month == "2024-03")))
+    again = titles.where((F.col("source") == "org") & (month == "2024-02"))
+    writers.write_daily(kept.unionByName(again).repartition(3, "source_url"), new)
+    keys = {"source": F.col("source"), "month": F.make_date(F.col("year"), F.col("month"), F.lit(1))}
+    before, now = (contents.lake_versions(spark, path, schemas.TITLES, keys, book) for path in (old, new))
+    return ledger.months_to_rebuild(now, before)
+
+
+@check(
+    "refresh_crosswalk_from_lake",
+    """select date::varchar as date, nw_source_url, rp_story_id, round(fuzzy_score, 6) as fuzzy_score,
+              (date >= date '2024-02-01')::int as rebuilt
+       from nw_cw where nw_source <> 'net' or date >= date '2024-02-01'""",
+)
+def _(spark, folder):
+    """The lake first lacks one source, then gets its titles of February and later: versions of what the
+    files hold say that January is not due."""
+    lake, path, done, book = (new_folder(spark, name) for name in ("titles", "crosswalk", "done", "fingerprints"))
+    titles, rp = tables.newswire_titles(spark, folder), tables.feed(spark, folder)
+    titles = titles.where("year(date) = year and month(date) = month")
+    writers.write_daily(titles.where("source <> 'net'"), lake)
+    crosswalk.refresh_from_lake(lake, rp, path, done, book)
+    writers.write_daily(titles.where("source = 'net' and date >= '2024-02-01'"), lake)
+    months = crosswalk.refresh_from_lake(lake, rp, path, done, book)
+    links = writers.combine_crosswalk(spark, path).withColumn("month", F.trunc("date", "month"))
+    again = links.join(months.withColumn("_due", F.lit(True)), "month", "left")
+    return again.select(
+        "date", "nw_source_url", "rp_story_id", "fuzzy_score", F.col("_due").isNotNull().alias("rebuilt")
+    )
 
 
 @check(

@@ -177,6 +177,45 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
     return sitemaps(spark, folder).select("path", content.alias("content"))
 
 
+def marked_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The sitemaps, a byte order mark before each and NULs inside its elements, as two-member gzip bytes."""
+    marked = F.concat(F.lit("\ufeff"), F.regexp_replace("xml", "<loc>", "<loc>\x00"), F.lit("\x00"))
+    content = _gzip(marked, F.lit(False))
+    again = _gzip(F.lit("<!-- end of the file -->"), F.lit(False))
+    return sitemaps(spark, folder).select("path", F.concat(content, again).alias("content"))
+
+
+def dated_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages as landed from three sources: a plain heading of the site before the article's, dates in
+    the meta tags (in either attribute order) or in the address."""
+    day = _day("page_id")
+    dash, slash, bare = (F.date_format(day, form) for form in ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd"))
+    kind = F.col("page_id") % 4
+    meta = (
+        F.when(kind == 0, F.concat(F.lit('<meta name="date" content="'), dash, F.lit('T08:00:00Z"/>')))
+        .when(kind == 1, F.concat(F.lit("<META content='"), dash, F.lit("' property='article:published_time'>")))
+        .otherwise(F.lit('<meta name="date" content="1999-09-09">'))
+    )
+    heading = (
+        F.when(kind == 0, F.lit('<h1>Site</h1><h1 id="t" class="wide release-header__title">'))
+        .when(kind < 3, F.lit("<h1>Site</h1><H1 class='main-title'>"))
+        .otherwise(F.lit("<h1>"))
+    )
+    before, behind = F.split_part("html", F.lit("<h1>"), F.lit(1)), F.split_part("html", F.lit("<h1>"), F.lit(2))
+    head, rest = F.split_part(before, F.lit("<head>"), F.lit(1)), F.split_part(before, F.lit("<head>"), F.lit(2))
+    host = F.regexp_extract("url", "^https?://[^/?#]+", 0)
+    tail = F.substring(F.col("url"), F.length(host) + 1, F.length("url"))
+    inside = (
+        F.when(kind == 2, F.concat(F.lit("/news-release/"), slash, F.lit("/7")))
+        .when(kind == 3, F.concat(F.lit("/news/home/"), bare, F.lit("004711")))
+        .otherwise("")
+    )
+    return table(spark, folder, "pages").select(
+        "page_id", F.concat(host, inside, tail).alias("url"),
+        F.concat(head, F.lit("<head>"), meta, rest, heading, behind).alias("html"),
+    )
+
+
 def spells(spark: SparkSession, folder: str) -> DataFrame:
     """Membership spells: first to last order day of each customer."""
     day = F.to_date("o_orderdate")

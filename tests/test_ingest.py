@@ -1,15 +1,20 @@
 import gzip
 import json
+import os
+import re
+import tracemalloc
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from titleweave.operators import inventory
+from titleweave import schemas
+from titleweave.operators import inventory, ledger
 from titleweave.plans import crosswalk, reports
-from titleweave.sources import cdx, html_pages, lakes, sitemaps, web_extract, writers
+from titleweave.sources import cdx, contents, html_pages, lakes, sitemaps, web_extract, writers
 
 def _url(loc, changed, pad=""):
     return f"<url><loc>{pad}{loc}{pad}</loc><lastmod>{changed}</lastmod></url>"
@@ -97,6 +102,65 @@ def test_archives_are_rejected_whole_and_cleaned(spark, tmp_path):
     assert sitemaps.scan_archives(spark, str(tmp_path)).count() == 2
 
 
+def _split_at_will(data, sizes):
+    """A stream that hands out ``data`` in pieces of these sizes, then the rest a byte at a time."""
+    at, parts = 0, []
+    for size in sizes:
+        parts.append(data[at : at + size])
+        at += size
+    parts = [p for p in parts if p] + [bytes([b]) for b in data[at:]]
+
+    class Stream:
+        def read(self, _size):
+            return parts.pop(0) if parts else b""
+
+    return Stream()
+
+
+@pytest.mark.parametrize("sizes", [(), (7, 1, 30), (100,), (10**6,)])
+def test_elements_do_not_depend_on_where_chunks_end(sizes):
+    """Prefixed, nested and unclosed elements, a tag with an open bracket in it, tags of like names."""
+    xml = (
+        "<urls>a > b <url>one</url><n:url a='<' b>two <url> deep</n:url\n> <urlx>no</urlx> </url> <url/>"
+        "<url>th\x00r\u00e9e</ur></url ><u <url\t>four</url><url>never closed <"
+    )
+    element = r"<(?:\w+:)?url(?:\s[^>]*)?>.*?</(?:\w+:)?url\s*>"
+    want = re.findall(element, xml.replace("\x00", ""), re.S)
+    assert len(want) == 4
+    assert list(sitemaps.elements_of(_split_at_will(xml.encode(), sizes), "url")) == want
+
+
+def test_a_long_archive_is_read_in_little_memory(tmp_path):
+    """120 MB of elements; peak of what Python allocates stays at a few chunks."""
+    path = tmp_path / "long.xml.gz"
+    one = b"<url><loc>https://x/news-releases/a-%09d.html</loc></url>" + b" " * 1000
+    with gzip.open(path, "wb", compresslevel=1) as out:
+        for block in range(110):
+            out.write(b"".join(one % (block * 1000 + i) for i in range(1000)))
+    tracemalloc.start()
+    with open(path, "rb") as packed:
+        assert sitemaps.is_intact(packed)
+        packed.seek(0)
+        with gzip.open(packed) as unpacked:
+            assert sum(1 for _ in sitemaps.elements_of(unpacked, "url")) == 110_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * 2**20
+
+
+def test_archives_by_path_or_content(spark, tmp_path):
+    """Files opened where they lie give what their content gives; empty, null and damaged ones give nothing."""
+    good = gzip.compress(SITEMAP.encode()) + gzip.compress(b"<url><loc>second member</loc></url>")
+    (tmp_path / "good file.xml.gz").write_bytes(good)
+    (tmp_path / "empty.xml.gz").write_bytes(b"")
+    (tmp_path / "cut.xml.gz").write_bytes(good[:-3])
+    urls = sitemaps.scan_archive_urls(spark, str(tmp_path))
+    held = spark.createDataFrame([("p", bytearray(good)), ("q", None)], "path string, content binary")
+    by_path, by_content = (rows(u, "position", "loc") for u in (urls, sitemaps.archive_urls(held)))
+    assert by_path == by_content and by_path[-1] == (5, "second member") and len(by_path) == 6
+    assert sitemaps.archive_urls(held.where("false")).count() == 0
+
+
 def test_xml_source_reads_the_same_entries(spark, tmp_path):
     (tmp_path / "a.xml").write_text(SITEMAP.strip())
     (tmp_path / "b.xml.gz").write_bytes(gzip.compress(NEWS.encode()))
@@ -190,6 +254,90 @@ def test_inventory_lake_with_legacy_days(spark, tmp_path):
     assert status["slug_coverage_pct"] == pytest.approx(50.0)
 
 
+def test_footers_are_all_that_is_read(spark, tmp_path):
+    """Data pages are overwritten by zeros; a file without rows counts, one that is no Parquet is named."""
+    for day, n in ((1, 3), (2, 0)):
+        folder = tmp_path / "lake" / "source=a b" / "year=2020" / "month=5" / f"day={day}"
+        folder.mkdir(parents=True)
+        file = folder / "part.parquet"
+        pq.write_table(pa.table({"source_url": [f"{i}" * 9 for i in range(n)]}, pa.schema([("source_url", pa.string())])), file)
+        content = bytearray(file.read_bytes())
+        start = len(content) - 8 - int.from_bytes(content[-8:-4], "little")
+        content[4:start] = bytes(start - 4)
+        file.write_bytes(content)
+    path = str(tmp_path / "lake")
+    size = sum(f.stat().st_size for f in (tmp_path / "lake").rglob("*.parquet"))
+    found = inventory.lake_inventory(spark, path, ["source"], ["year", "month", "day"])
+    assert rows(found) == [("a b", 2, 1, 2, size, 3)]
+    listed = inventory.inventory_files(spark, path)
+    assert rows(listed.selectExpr("cast(date as string)", "n_rows", "has_slug_column")) == [
+        ("2020-05-01", 3, False), ("2020-05-02", 0, False)
+    ]
+    file.write_bytes(b"PAR1 not really")
+    with pytest.raises(PythonException, match="no Parquet footer"):
+        inventory.lake_inventory(spark, path, ["source"], ["year", "month", "day"]).collect()
+
+
+TITLE_KEYS = {"source": F.col, "month": lambda _: F.make_date(F.col("year"), F.col("month"), F.lit(1))}
+
+
+def test_versions_follow_what_a_lake_holds(spark, tmp_path):
+    lake, book = str(tmp_path / "lake"), str(tmp_path / "book")
+    data = [("A title", "u1", "2021-03-01", "s"), (None, "u2", "2021-03-01", "s"), ("B", "u3", "2021-04-02", "s"),
+            ("B", "u3", "2021-04-02", "s"), ("C", None, "2021-04-09", "t")]
+
+    def write(some):
+        writers.write_daily(spark.createDataFrame(some, "headline string, source_url string, date string, source string"), lake)
+
+    def now():
+        keys = {name: make(name) for name, make in TITLE_KEYS.items()}
+        found = contents.lake_versions(spark, lake, schemas.TITLES, keys, book)
+        return {(r.source, r.month.month): r.input_version for r in found.collect()}
+
+    write(data)
+    first = now()
+    assert set(first) == {("s", 3), ("s", 4), ("t", 4)} and now() == first
+    write(data[::-1])  # equal rows, other files
+    assert now() == first
+    write([data[0], ("", "u2", "2021-03-01", "s")])  # a null became an empty text
+    assert {k for k, v in now().items() if v != first[k]} == {("s", 3)}
+    write(data[2:3])  # one of two equal rows
+    assert {k for k, v in now().items() if v != first[k]} == {("s", 3), ("s", 4)}
+    file = next((tmp_path / "lake" / "source=t").rglob("*.parquet"))
+    kept, stat = file.read_bytes(), file.stat()
+    file.write_bytes(bytes(len(kept)))
+    os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert now()["t", 4] == first["t", 4]  # known by name, size and time: not opened again
+    file.unlink()
+    assert set(now()) == {("s", 3), ("s", 4)}
+
+
+def test_versions_of_rows(spark):
+    def version(*data):
+        found = contents.content_versions(spark.createDataFrame(data, "k int, a string, b string"), ["k"])
+        return {r.k: r.input_version for r in found.collect()}
+
+    base = version((1, "x", None), (1, "y", "z"))
+    assert base == version((1, "y", "z"), (1, "x", None))
+    for other in [((1, None, "x"), (1, "y", "z")), ((1, "x", ""), (1, "y", "z")), ((1, "x", None),),
+                  ((1, "x", None), (1, "y", "z"), (1, "y", "z")), ((1, "y", None), (1, "x", "z"))]:
+        assert version(*other) != base
+
+
+def test_an_empty_month_is_done_and_cleared(spark, tmp_path):
+    path, book = str(tmp_path / "web"), str(tmp_path / "months")
+    titles = spark.createDataFrame(
+        [("2022-01-05", "u1"), ("2022-02-05", "u2")], "d string, source_url string"
+    ).selectExpr("cast(d as timestamp) as gkg_date", "source_url", "'n' as source_name", "'h' as headline")
+    months = spark.sql("select 'web' as source, explode(array(date '2022-01-01', date '2022-02-01', date '2022-03-01')) as month")
+    writers.write_monthly(titles, path, processed=months.where("month < '2022-03-01'"), ledger_path=book)
+    assert rows(ledger.pending_months(months, spark.read.parquet(book)).selectExpr("cast(month as string)")) == [("2022-03-01",)]
+    # January is fetched again and holds nothing now; March never did.
+    writers.write_monthly(titles.where("false"), path, processed=months.where("month(month) <> 2"), ledger_path=book)
+    assert rows(lakes.read_web_titles(spark, path), "source_url") == [("u2",)]
+    assert ledger.pending_months(months, spark.read.parquet(book)).count() == 0
+
+
 def test_month_map(spark):
     """One year asked for: a gap, a month too many on either side, a stamp of 13 digits, and one of letters."""
     stamps = {f"1999-{m:02d}": f"2005{m:02d}01120000" for m in range(1, 13)}

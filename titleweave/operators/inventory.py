@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import io
 from functools import reduce
 
-import pandas as pd
-import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from titleweave.functions.dates import months_between
 from titleweave.functions.text import has_text, is_asset_slug, title_from_release_slug
 from titleweave.operators.rows import first_per_key
+from titleweave.sources.files import list_files, with_footers
 
 # Fixed value: shape of an English article URL; group 1 is the article id, group 2 the slug.
 ARTICLE_URL = r"/news/home/(\d{14,})/en(?:/(.+))?\z"
@@ -91,22 +88,17 @@ def slug_samples(inventory: DataFrame, with_slug: bool, n: int = 5) -> DataFrame
     )
 
 
-@F.pandas_udf(BooleanType())
-def _has_slug_column(content: pd.Series) -> pd.Series:
-    return content.map(lambda b: "headline_from_slug" in pq.read_schema(io.BytesIO(b)).names)
-
-
 def inventory_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per inventory file: path, day and whether it has the slug column at all.
+    """One row per inventory file: path, day, bytes, rows and whether it has the slug column at all.
 
-    After a schema merge a missing column and a null look alike, so each (small) daily file
-    is opened once to see its own schema.
+    After a schema merge a missing column and a null look alike, so each daily file's own schema
+    counts; it stands in the footer, which is all that is read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     day = F.make_date(F.col("year"), F.col("month"), F.col("day"))
-    return files.select(
-        F.col("path"), day.alias("date"), _has_slug_column("content").alias("has_slug_column")
-    )
+    return with_footers(list_files(spark, path)).select(
+        "path", day.alias("date"), "bytes", "n_rows",
+        F.array_contains("columns", "headline_from_slug").alias("has_slug_column"),
+    )
 
 
 def inventory_status(spark: SparkSession, path: str, inventory: DataFrame) -> DataFrame:
@@ -204,21 +196,16 @@ def validate_month_map(
     return reduce(DataFrame.unionByName, parts)
 
 
-def lake_inventory(table: DataFrame, by: list[str], day_columns: list[str]) -> DataFrame:
-    """Per ``by``: day partitions, distinct months, files, bytes and rows of a lake.
+def lake_inventory(spark: SparkSession, path: str, by: list[str], day_columns: list[str]) -> DataFrame:
+    """Per ``by``: day partitions, distinct months, files, bytes and rows of the lake at ``path``.
 
-    ``table`` is a plain scan of the lake; sizes come from the file metadata columns.
+    ``by`` and ``day_columns`` are partition columns, year and month first; sizes come from the
+    listing and rows from the footers, so the work follows the files, not their rows.
     """
-    file = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_bytes")
-    files = (
-        table.select(*by, *day_columns, *file)
-        .groupBy(*by, *day_columns, "_file", "_bytes")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    return files.groupBy(*by).agg(
+    return with_footers(list_files(spark, path)).groupBy(*by).agg(
         F.countDistinct(*day_columns).alias("day_partitions"),
         F.countDistinct(*day_columns[:2]).alias("months"),
         F.count(F.lit(1)).alias("files"),
-        F.sum("_bytes").alias("bytes"),
-        F.sum("_rows").alias("n_rows"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("n_rows").alias("n_rows"),
     )

@@ -41,6 +41,11 @@ def pending_days(days: DataFrame, ledger: DataFrame) -> DataFrame:
     return days.join(ledger.select("source", "day").distinct(), ["source", "day"], "left_anti")
 
 
+def pending_months(months: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(source, month) to do; a month recorded with no rows is done."""
+    return months.join(ledger.select("source", "month").distinct(), ["source", "month"], "left_anti")
+
+
 def first_incomplete_day(days: DataFrame, ledger: DataFrame) -> DataFrame:
     """Earliest pending day per source."""
     return pending_days(days, ledger).groupBy("source").agg(F.min("day").alias("day"))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from titleweave.functions.text import has_text
 from titleweave.operators.ledger import months_to_rebuild
 from titleweave.operators.matching import fuzzy_best_match
-from titleweave.session import freeze, read_or_empty
+from titleweave.schemas import TITLES
+from titleweave.session import freeze, read_or_empty, stage
+from titleweave.sources.contents import content_versions, lake_versions
+from titleweave.sources.lakes import read_titles
 from titleweave.sources.writers import replace_crosswalk_months
 
 DEFAULT_MIN_SCORE = 80.0
@@ -118,3 +121,22 @@ def refresh_crosswalk(
     done = now.unionByName(gone).withColumn("done_at", F.current_timestamp())
     done.write.mode("append").parquet(ledger_path)
     return months
+
+
+def refresh_from_lake(
+    titles_path: str, feed: DataFrame, path: str, ledger_path: str, book: str, **options
+) -> DataFrame:
+    """``refresh_crosswalk`` with versions taken from the inputs themselves; returns the months rebuilt.
+
+    A month's version is that of its titles, read only from files not seen before (``book``), and of
+    its feed rows. A changed or missing row rebuilds the month, equal rows in other files do not.
+    """
+    spark = feed.sparkSession
+    month = F.make_date(F.col("year"), F.col("month"), F.lit(1))
+    of_titles = lake_versions(spark, titles_path, TITLES, {"source": F.col("source"), "month": month}, book)
+    dated = feed_titles(feed).withColumn("month", F.trunc("date", "month"))
+    of_feed = content_versions(dated, ["month"]).withColumnRenamed("input_version", "_feed")
+    both = of_titles.join(of_feed, "month", "left")  # months: bounded by the calendar
+    version = F.concat_ws("/", "input_version", F.coalesce("_feed", F.lit("")))
+    inputs = stage(both.select("source", "month", version.alias("input_version")), "inputs")
+    return refresh_crosswalk(read_titles(spark, titles_path), feed, inputs, path, ledger_path, **options)

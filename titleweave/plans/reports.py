@@ -9,7 +9,7 @@ from titleweave.operators import coverage
 from titleweave.operators.enrichment import enrich_feed, unify_crosswalk
 from titleweave.operators.ledger import in_month_prefix
 from titleweave.operators.panel import rolling_mean
-from titleweave.sources.sitemaps import ENTRY_PARSERS, decode_archives, url_entries
+from titleweave.sources.sitemaps import ENTRY_PARSERS, archive_urls
 
 
 def merged_titles(feed: DataFrame, newswire: DataFrame | None, web: DataFrame | None) -> DataFrame:
@@ -42,7 +42,7 @@ def archive_titles(files: DataFrame, source: str, month: str, ledger: DataFrame
 
     Days that ``ledger`` (source, day) lists as done are left out.
     """
-    entries = ENTRY_PARSERS[source](url_entries(decode_archives(files)))
+    entries = ENTRY_PARSERS[source](archive_urls(files))
     titles = in_month_prefix(entries, month).withColumn("source", F.lit(source))
     if ledger is None:
         return titles

@@ -7,13 +7,18 @@ XML source split large intact files by element. Both feed the same projections.
 from __future__ import annotations
 
 import gzip
+import io
+import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleweave.functions.text import has_text, is_release_url, strip, title_from_release_url
+from titleweave.sources.files import list_files, open_file
 
 _URL_ELEMENT = (
     "loc string, lastmod string, news struct<title: string, publication_date: string>"
@@ -52,6 +57,102 @@ def scan_archives(spark: SparkSession, path: str) -> DataFrame:
     return decode_archives(files)
 
 
+CHUNK = 1 << 20  # bytes unpacked at a time
+
+
+def is_intact(packed: io.IOBase) -> bool:
+    """Whether a gzip stream unpacks to its end with length and checksum right; nothing is kept."""
+    try:
+        with gzip.open(packed) as unpacked:
+            while unpacked.read(CHUNK):
+                pass
+    except (gzip.BadGzipFile, EOFError, zlib.error):
+        return False
+    return True
+
+
+def elements_of(stream: io.IOBase, tag: str) -> Iterator[str]:
+    """Text of every ``<tag>`` element of an XML stream, in order, NUL bytes removed.
+
+    Holds one chunk and the element that is open at its end.
+    """
+    opening = re.compile(rb"<(?:\w+:)?%b(?:\s[^>]*)?>" % tag.encode())
+    closing = re.compile(rb"</(?:\w+:)?%b\s*>" % tag.encode())
+    held, inside, sought = bytearray(), False, 0
+    while chunk := stream.read(CHUNK):
+        held += chunk.replace(b"\x00", b"")
+        while found := (closing if inside else opening).search(held, sought):
+            if inside:
+                yield held[: found.end()].decode("utf-8", "replace")
+                del held[: found.end()]
+                sought = 0
+            else:
+                del held[: found.start()]
+                sought = found.end() - found.start()
+            inside = not inside
+        # A tag cut by the chunk's end holds no ">", so it starts behind the last one.
+        sought = max(sought, held.rfind(b">") + 1)
+        if not inside:
+            cut = held.find(b"<", sought)
+            del held[: cut if cut >= 0 else len(held)]
+            sought = 0
+
+
+def archive_elements(files: DataFrame, tag: str) -> DataFrame:
+    """(path, position, piece) of every ``<tag>`` in gzip archives, in memory that does not grow with them.
+
+    ``files`` has ``path`` and may have ``content``; without it each file is opened at its path.
+    An archive is unpacked twice, a chunk at a time: once to see that its checksum holds, then for
+    its elements; a partly readable one gives none, nor does a null content.
+    """
+    inline = "content" in files.columns
+    schema = pa.schema([("path", pa.string()), ("position", pa.int32()), ("piece", pa.string())])
+
+    def batch_of(path: str, pieces: list[str], end: int) -> pa.RecordBatch:
+        places = range(end - len(pieces), end)
+        columns = [pa.array([path] * len(pieces)), pa.array(places, pa.int32()), pa.array(pieces)]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def of_archive(path: str, packed) -> Iterator[pa.RecordBatch]:
+        if not is_intact(packed):
+            return
+        packed.seek(0)
+        pieces, size, end = [], 0, 0
+        with gzip.open(packed) as unpacked:
+            for piece in elements_of(unpacked, tag):
+                pieces.append(piece)
+                size, end = size + len(piece), end + 1
+                if size >= CHUNK:
+                    yield batch_of(path, pieces, end)
+                    pieces, size = [], 0
+        if pieces:
+            yield batch_of(path, pieces, end)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path = batch.column("path")[i].as_py()
+                content = batch.column("content")[i] if inline else None
+                if inline and not content.is_valid:
+                    continue
+                with pa.BufferReader(content.as_buffer()) if inline else open_file(path) as packed:
+                    yield from of_archive(path, packed)
+
+    wanted = files.select("path", *(["content"] if inline else []))
+    return wanted.mapInArrow(read, "path string, position int, piece string")
+
+
+def archive_urls(files: DataFrame) -> DataFrame:
+    """Same as ``url_entries`` of the decoded archives, without holding any of them whole."""
+    parsed = archive_elements(files, "url").withColumn("_e", F.from_xml("piece", _URL_ELEMENT, _OPTIONS))
+    return parsed.select("path", "position", "_e.*")
+
+
+def scan_archive_urls(spark: SparkSession, path: str) -> DataFrame:
+    """``archive_urls`` of the ``.gz`` files below ``path``, each opened by the task that reads it."""
+    return archive_urls(list_files(spark, path, "*.gz"))
+
+
 def _elements(documents: DataFrame, tag: str, schema: str, column: str) -> DataFrame:
     """One row per element, parsed on its own: damage elsewhere in a document costs nothing."""
     element = rf"(?s)<(?:\w+:)?{tag}(?:\s[^>]*)?>.*?</(?:\w+:)?{tag}\s*>"
@@ -128,7 +229,7 @@ ENTRY_PARSERS = {
 
 def validate_archives(files: DataFrame) -> DataFrame:
     """Per file: does it decompress and hold at least one press-release URL, and how many."""
-    urls = url_entries(decode_archives(files))
+    urls = archive_urls(files)
     found = (
         sitemap_urls(urls, is_release_url(F.col("loc")))
         .groupBy("path")

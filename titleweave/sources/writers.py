@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from titleweave.operators.ledger import ledger_entries
 from titleweave.schemas import NEWSWIRE_CROSSWALK, WEB_CROSSWALK
-from titleweave.session import read_or_empty
+from titleweave.session import file_system, read_or_empty, stage
 from titleweave.sources import versions
 
 TITLE_PARTITIONS = ["source", "year", "month", "day"]
@@ -33,10 +33,31 @@ def write_daily(df: DataFrame, path: str) -> None:
     _overwrite_partitions(rows, path, TITLE_PARTITIONS)
 
 
-def write_monthly(df: DataFrame, path: str, ts: str = "gkg_date") -> None:
-    """Web titles by year/month of their timestamp."""
+def write_monthly(
+    df: DataFrame, path: str, ts: str = "gkg_date", processed: DataFrame | None = None,
+    ledger_path: str | None = None, source: str = "web",
+) -> None:
+    """Web titles by year/month of their timestamp.
+
+    ``processed`` lists the months (``month``, a first of month) that were fetched without error. Each
+    gets a row in the ledger with its count; one without rows loses what an earlier run wrote for it, so a
+    month that turned out empty reads as empty and is not fetched again. Months are few: they reach the driver.
+    """
     rows = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
     _overwrite_partitions(rows, path, ["year", "month"])
+    if processed is None:
+        return
+    written = df.select(F.lit(source).alias("source"), F.trunc(F.to_date(ts), "month").alias("day"))
+    done = processed.select(F.lit(source).alias("source"), F.col("month").alias("day")).distinct()
+    entries = ledger_entries(done, written).select(
+        "source", F.col("day").alias("month"), "row_count", F.current_timestamp().alias("done_at")
+    )
+    entries = stage(entries, "months-done")
+    files, to_path = file_system(df.sparkSession, path)
+    for entry in entries.where("row_count = 0").collect():
+        for month in {f"{entry.month.month}", f"{entry.month.month:02d}"}:
+            files.delete(to_path(f"{path}/year={entry.month.year}/month={month}"), True)
+    entries.write.mode("append").parquet(ledger_path)
 
 
 def write_inventory(
