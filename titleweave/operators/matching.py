@@ -10,23 +10,29 @@ materialised:
 2. Equal keys score 100 and cannot be beaten: the same grouping that folds the keys settles
    those rows.
 3. The rest is laid out in tiles of about ``tile_rows`` keys, consecutive by length and number of
-   vowels within a block and side. A zone map holds each tile's least and largest length and
-   letter sums, and two tiles meet only if some pair in these bounds could reach the score. The work
-   of one task does not grow with the size of a hot block.
-4. Within two tiles, length and letter-count bounds are residual join conditions, evaluated in
-   generated code before a row exists. Only pairs that pass both go to the Arrow scorer, and
-   ``min`` of a struct keeps the best per key with map-side combining.
+   vowels within a block and side, and in larger bins of about ``BIN_BYTES`` along the same order. A zone
+   map holds each bin's least and largest length and letter sums, and two bins meet only if some
+   pair in these bounds could reach the score: keys are copied once per bin, whatever the tiles. The
+   work of one task does not grow with the size of a hot block.
+4. Where two bins meet, one task (``functions.nearest``) leaves out tiles by the same bounds, holds the
+   rest of the pairs against a bound by letter counts and scores what passes. ``min`` of a struct keeps
+   the best per key with map-side combining.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from titleweave.functions import similarity, text
+from titleweave.functions import nearest, similarity, text
 from titleweave.session import hint_if_small, stage
 
 EXACT_SCORE = 100.0
@@ -56,60 +62,110 @@ def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]
 
 
 def with_tiles(keys: DataFrame, block: str, tile_rows: int) -> DataFrame:
-    """Keys with their side, measures and ``_tile``, consecutive by length and vowels in a block and side.
+    """Keys with their side, measures, ``_tile`` and ``_bin``, consecutive by length and vowels in a block and side.
 
     Keys of equal length and vowels are one cell; cells are counted, and a key's place within its
-    cell is drawn by its hash, so that no block is ever sorted.
+    cell is drawn by its hash, so that no block is ever sorted. A tile has about ``tile_rows``
+    keys, a bin about ``BIN_BYTES``.
     """
     cell = [block, "_offered", "_len", SUMS[0]]
     measured = keys.withColumns({"_len": F.length("_key"), **dict(zip(SUMS, similarity.letter_sums("_key")))})
     before = Window.partitionBy(*cell[:2]).orderBy(*cell[2:]).rowsBetween(Window.unboundedPreceding, -1)
+    width = F.col("_len").cast("bigint") + KEY_BYTES
     cells = measured.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    cells = cells.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+        "_bytes": F.coalesce(F.sum(F.col("_n") * width).over(before), F.lit(0)),
+    })
     drawn = F.pmod(F.xxhash64("_key", F.lit(1)), F.col("_n"))
-    tile = F.floor((F.col("_before") + drawn) / tile_rows).cast("int")
     placed = measured.join(hint_if_small(stage(cells, "cells")), cell)
-    return placed.withColumn("_tile", tile).drop("_n", "_before")
+    return placed.withColumns({
+        "_tile": F.floor((F.col("_before") + drawn) / tile_rows).cast("int"),
+        "_bin": F.floor((F.col("_bytes") + drawn * width) / BIN_BYTES).cast("int"),
+    }).drop("_n", "_before", "_bytes")
 
 
 def zone_map(keys: DataFrame, block: str) -> DataFrame:
-    """Number of keys, least and largest length and letter sums of every tile."""
+    """Number and bytes of keys, least and largest length and letter sums of every bin."""
     bounds = [f(c).alias(f"{c}_{x}") for c in ("_len", *SUMS) for x, f in (("min", F.min), ("max", F.max))]
-    return keys.groupBy(block, "_offered", "_tile").agg(F.count(F.lit(1)).alias("_keys"), *bounds)
+    size = F.sum(F.col("_len").cast("bigint") + KEY_BYTES).alias("_bytes")
+    return keys.groupBy(block, "_offered", "_bin").agg(F.count(F.lit(1)).alias("_keys"), size, *bounds)
 
 
-def tile_pairs(zones: DataFrame, block: str, min_score: float) -> DataFrame:
-    """Pairs of tiles (block, _left, _right) of which some pair of keys may reach the score,
-    and the number of pairs of keys (``_pairs``) that meet there."""
+def bin_pairs(zones: DataFrame, block: str, min_score: float) -> DataFrame:
+    """Pairs of bins (block, _left, _right), numbered by ``_pair``, of which some pair of keys may reach
+    the score, the number of pairs of keys (``_pairs``) that meet there and their ``_bytes``."""
     sides = []
     for which, side in (("not _offered", "l"), ("_offered", "r")):
         named = [F.col(c).alias(f"{side}{c}") for c in zones.columns if c not in (block, "_offered")]
         sides.append(zones.where(which).select(block, *named))
     met = sides[0].join(sides[1], block).where(F.expr(similarity.zones_may_reach(min_score, SUMS)))
     return met.select(
-        block, F.col("l_tile").alias("_left"), F.col("r_tile").alias("_right"),
-        (F.col("l_keys") * F.col("r_keys")).alias("_pairs"),
-    )
+        F.monotonically_increasing_id().alias("_pair"), block, F.col("l_bin").alias("_left"), F.col("r_bin").alias("_right"),
+        (F.col("l_keys") * F.col("r_keys")).alias("_pairs"), (F.col("l_bytes") + F.col("r_bytes")).alias("_bytes"),
+    )
 
 
-def _tile_side(keys: DataFrame, pairs: DataFrame, block: str, own: str, side: str, carry: list[str]) -> DataFrame:
-    """One side of the tile join: one copy of a key per tile that its own tile meets."""
-    profile = {f"{side}p{i}": word for i, word in enumerate(similarity.letter_profile("_key"))}
-    return (
-        keys.select(block, "_key", F.col("_tile").alias(own), *carry)
-        .withColumns({f"{side}len": F.length("_key"), **profile})
-        .join(pairs.drop("_pairs"), [block, own])
-        .withColumnRenamed("_key", f"{side}key")
-    )
+# What a key takes beside its characters, and the size of a bin: some 16,000 keys of 60 characters.
+KEY_BYTES = 64
+BIN_BYTES = 2 << 20
+# Pairs of keys that one task goes through, about a second of work, and bytes that it holds.
+PAIRS_PER_TASK = 25_000_000
+BYTES_PER_TASK = 32 << 20
 
 
-def met_tiles(keys: DataFrame, block: str, min_score: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Keys in tiles, and the staged pairs of tiles that meet."""
+def _met_keys(
+    keys: DataFrame, block: str, min_score: float, carry: list[str], tile_rows: int, partitions: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the bins that meet, dealt to tasks by ``_task``: a copy of a key per bin that its own meets."""
     tiled = with_tiles(keys.filter("_offered or _wanted"), block, tile_rows)
-    return tiled, stage(tile_pairs(zone_map(tiled, block), block, min_score), "tile-pairs")
+    pairs = stage(bin_pairs(zone_map(tiled, block), block, min_score), "bin-pairs")
+    # A fixed partition number: adaptive coalescing looks at bytes, but the cost of these
+    # tasks is the number of pairs of keys, and few bytes can mean many pairs.
+    work = pairs.agg(F.sum("_pairs"), F.sum("_bytes")).first()
+    shuffles = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(shuffles, -(-(work[0] or 0) // PAIRS_PER_TASK), -(-(work[1] or 0) // BYTES_PER_TASK))
+    dealt = pairs.withColumn("_task", F.pmod(F.xxhash64("_pair"), F.lit(n)).cast("int")).drop("_pairs", "_bytes")
+    dealt = hint_if_small(dealt)
+    sides = []
+    for which, own, extra in (("not _offered", "_left", [block]), ("_offered", "_right", carry)):
+        side = tiled.where(which).withColumnRenamed("_bin", own).join(dealt, [block, own])
+        # Aliases, as both sides come from one table.
+        columns = [F.col(c).alias(c) for c in ("_task", "_pair", "_tile", "_len", "_key", *extra)]
+        sides.append(side.select(*columns).repartition(n, "_task"))
+    return sides[0], sides[1]
 
 
-def candidate_pairs(
+def _in_bins(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, nearest.Side, nearest.Side]]:
+    """Row numbers and keys of the two sides of each pair of bins in a task."""
+    sides = []
+    for rows in (left, right):
+        pair, tile, length = (rows.column(c).to_numpy() for c in ("_pair", "_tile", "_len"))
+        order = np.lexsort((length, tile, pair))
+        numbers, starts = np.unique(pair[order], return_index=True)
+        sides.append((rows.column("_key"), tile, order, dict(zip(numbers.tolist(), np.split(order, starts[1:])))))
+    for pair, own in sides[0][3].items():
+        other = sides[1][3].get(pair)
+        if other is not None:
+            made = [nearest.Side(side[0].take(pa.array(at)).to_pylist(), side[1][at]) for side, at in zip(sides, (own, other))]
+            yield own, other, *made
+
+
+def _best_of(min_score: float, block: str, carry: list[str]):
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        nothing = np.zeros(0, np.int64)
+        found = [(nothing, nothing, np.zeros(0))]
+        for own, other, a, b in _in_bins(left, right):
+            i, j, score, _, _ = nearest.best_partners(a, b, min_score)
+            found.append((own[i], other[j], score))
+        i, j, score = (np.concatenate(c) for c in zip(*found))
+        mine, theirs = left.select([block, "_key"]).take(pa.array(i)), right.select(["_key", *carry]).take(pa.array(j))
+        return pa.table([*mine.columns, *theirs.columns, pa.array(score)], [block, "l_key", "r_key", *carry, "_score"])
+
+    return best
+
+
+def best_pairs(
     keys: DataFrame,
     block: str,
     min_score: float,
@@ -117,30 +173,18 @@ def candidate_pairs(
     tile_rows: int = 1024,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Pairs (l_key, r_key) that may still reach the score, with ``carry`` columns of the right.
+    """block, l_key, r_key, ``carry`` columns of the right, _score: for each left key, the pairs that tie for
+    the best of any two bins, if that reaches the score.
 
     ``keys`` has ``block``, ``_key`` and the flags ``_wanted`` (left) and ``_offered`` (right).
-    Lossless: a pair is left out only if a proven upper bound of its score is too low. Left
-    keys that are also offered are settled and take no part.
+    Lossless: a pair is left out only if a proven upper bound of its score is too low or another
+    partner scores higher. Left keys that are also offered are settled and take no part.
     """
-    tiled, pairs = met_tiles(keys, block, min_score, tile_rows)
-    # A fixed partition number: adaptive coalescing looks at bytes, but the cost of this join
-    # is the number of pairs of keys, and few bytes can mean many pairs.
-    work = pairs.agg(F.sum("_pairs")).first()[0] or 0
-    n = partitions or max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-work // PAIRS_PER_TASK))
-    pairs = hint_if_small(pairs)
-    left = _tile_side(tiled.where("not _offered"), pairs, block, "_left", "l_", [])
-    right = _tile_side(tiled.where("_offered"), pairs, block, "_right", "r_", carry)
-    tile = [block, "_left", "_right"]
-    left, right = (side.repartition(n, *tile) for side in (left, right))
-    right = right.select(*[F.col(c).alias(f"_r{c}") if c in tile else F.col(c) for c in right.columns])
-    same_tile = " and ".join(f"{c} = _r{c}" for c in tile)
-    bound = similarity.may_reach(min_score, "l_", "r_")
-    return left.join(right, F.expr(f"{same_tile} and {bound}")).select(block, "l_key", "r_key", *carry)
-
-
-# Pairs of keys that one task of the tile join goes through, some tens of seconds of work.
-PAIRS_PER_TASK = 100_000_000
+    left, right = _met_keys(keys, block, min_score, carry, tile_rows, partitions)
+    schema = left.select(block, F.col("_key").alias("l_key")).schema.fields
+    schema += right.select(F.col("_key").alias("r_key"), *carry).schema.fields + [StructField("_score", DoubleType())]
+    best = _best_of(min_score, block, carry)
+    return left.groupBy("_task").cogroup(right.groupBy("_task")).applyInArrow(best, StructType(schema))
 
 
 def _payload_of(matches: DataFrame, right: DataFrame, block: str, right_text: str, order: list[str]) -> DataFrame:
@@ -158,15 +202,26 @@ def _payload_of(matches: DataFrame, right: DataFrame, block: str, right_text: st
     return matches.join(keep, [block, "_found", "_match"])
 
 
+def _count_pairs(min_score: float):
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        counts = [nearest.best_partners(a, b, min_score)[3:] for _, _, a, b in _in_bins(left, right)]
+        met, scored = (pa.array([sum(c)], pa.int64()) for c in zip(*counts, (0, 0)))
+        return pa.table({"met": met, "scored": scored})
+
+    return count
+
+
 def pair_survey(folded: DataFrame, block: str, min_score: float, tile_rows: int = 1024) -> DataFrame:
     """One row for keys of ``fold_keys``: pairs within blocks, pairs in tiles that meet, and pairs
-    within both bounds, which are the ones scored."""
+    within all bounds, which are the ones scored."""
     flagged = folded.select(block, "_key", "_wanted", F.col("_match").isNotNull().alias("_offered"))
     sides = F.count_if(F.expr("_wanted and not _offered")), F.count_if("_offered")
     total = flagged.groupBy(block).agg((sides[0] * sides[1]).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all_pairs"))
-    met = met_tiles(flagged, block, min_score, tile_rows)[1].agg(F.coalesce(F.sum("_pairs"), F.lit(0)).alias("met_pairs"))
-    scored = candidate_pairs(flagged, block, min_score, [], tile_rows).agg(F.count(F.lit(1)).alias("scored_pairs"))
-    return total.join(met).join(scored)  # one row each
+    left, right = _met_keys(flagged, block, min_score, [], tile_rows, None)
+    counted = left.groupBy("_task").cogroup(right.groupBy("_task")).applyInArrow(_count_pairs(min_score), "met bigint, scored bigint")
+    return total.join(counted.agg(
+        F.coalesce(F.sum("met"), F.lit(0)).alias("met_pairs"), F.coalesce(F.sum("scored"), F.lit(0)).alias("scored_pairs")
+    ))  # one row each
 
 
 def _title_key(column: str) -> Column:
@@ -215,13 +270,11 @@ def fuzzy_best_match(
     )
     order = {f"_o{i}": F.col(f"_match.{c}") for i, c in enumerate(right_order)}
     flagged = folded.withColumns({"_offered": F.col("_match").isNotNull(), **order}).drop("_match")
-    pairs = candidate_pairs(flagged, block, min_score, list(order), tile_rows, partitions)
+    pairs = best_pairs(flagged, block, min_score, list(order), tile_rows, partitions)
     ranking = F.struct((-F.col("_score")).alias("loss"), *order, F.col("r_key").alias("other"))
     match = F.struct(*[F.col(f"_rank.{o}").alias(c) for o, c in zip(order, right_order)])
     fuzzy = (
-        pairs.withColumn("_score", similarity.token_sort_ratio(F.col("l_key"), F.col("r_key")))
-        .filter(F.col("_score") >= min_score)
-        .groupBy(block, F.col("l_key").alias("_key"))
+        pairs.groupBy(block, F.col("l_key").alias("_key"))
         .agg(F.min(ranking).alias("_rank"))
         .select(block, "_key", F.col("_rank.other").alias("_found"), match.alias("_match"), (-F.col("_rank.loss")).alias("fuzzy_score"))
     )
