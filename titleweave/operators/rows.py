@@ -35,22 +35,23 @@ def attach_group_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: st
 
 # Rows of a slice, about: what one task sorts and walks through.
 SLICE_ROWS = 1_000_000
-# Slices of one table at most. Larger tables get larger slices; a slice is sorted with spill.
-MAX_SLICES = 1 << 16
+# Parts of one table at most. Larger tables get larger parts; a part is sorted with spill.
+MAX_PARTS = 1 << 16
 
 
-def _slices(df: DataFrame, order: list[Column], slice_rows: int, label: str) -> tuple[DataFrame, int]:
-    """``df`` cut into slices consecutive along ``order``, with ``_slice`` and ``_place`` (from 0 in a slice).
+def _parts(df: DataFrame, order: list[Column], slice_rows: int, label: str) -> tuple[DataFrame, int]:
+    """``df`` cut into parts consecutive along ``order``, with ``_part`` and ``_place`` (from 0 in a part).
 
     Staged, as the cut points must not move between the passes over it or under a retry. The number
-    of slices follows the rows, one plan for all sizes.
+    of parts follows the rows, one plan for all sizes; a part has a million rows or more, however
+    small the slices are that are then cut within it, as each is a task and a file.
     """
-    n = min(max(-(-df.count() // slice_rows), 1), MAX_SLICES)
+    n = min(max(-(-df.count() // max(slice_rows, SLICE_ROWS)), 1), MAX_PARTS)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # The upper 31 bits of this number are the partition, the lower 33 the row's place in it.
     number = ranged.withColumn("_place", F.monotonically_increasing_id())
     cut = number.withColumns({
-        "_slice": F.shiftright("_place", 33).cast("int"), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)
+        "_part": F.shiftright("_place", 33).cast("int"), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)
     })
     return stage(cut, label), n
 
@@ -63,7 +64,9 @@ def running_totals(
     Sums run inside slices consecutive along keys and order, so a hot key is never confined to one
     task; the slices' own totals, at most one row per slice and key, supply the offsets.
     """
-    sliced, _ = _slices(df, [*[F.col(k) for k in keys], *order], slice_rows, "running")
+    parts, _ = _parts(df, [*[F.col(k) for k in keys], *order], slice_rows, "running")
+    within_part = F.expr(f"_place div {slice_rows}")
+    sliced = parts.withColumn("_slice", F.shiftleft(F.col("_part").cast("bigint"), 33) + within_part).drop("_part")
     group = [*keys, "_slice"]
     inside = Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,27 +94,20 @@ def over_slices(
 ) -> DataFrame:
     """Window columns that look at most ``halo`` rows back along ``order``, without a window over all rows.
 
-    Each slice gets a copy of the ``halo`` rows before its first, from as many earlier slices as
-    hold them. ``columns`` makes the columns from a window; frames may start ``halo`` rows back.
+    Slices of ``slice_rows`` rows are cut by row number from the staged parts. Each gets a copy of the
+    ``halo`` rows before its first, from as many earlier slices as hold them. ``columns`` makes the columns from a window; frames may start ``halo`` rows back.
     """
-    sliced, n = _slices(df, order, slice_rows, "slices")
-    rows_in = {r[0]: r[1] for r in sliced.groupBy("_slice").agg(F.count(F.lit(1))).collect()}  # a row per slice
+    parts, n = _parts(df, order, slice_rows, "slices")
+    rows_in = {r[0]: r[1] for r in parts.groupBy("_part").agg(F.count(F.lit(1))).collect()}  # a row per part
     first = [0]
     for at in range(n):
         first.append(first[-1] + rows_in.get(at, 0))
     start = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")
-
-    def first_of(place: Column) -> Column:
-        return F.element_at(start, place + 1)
-
-    row, home = F.col("_row"), F.col("_slice")
-    # Few rows have a later slice within reach; an empty slice takes copies that nobody reads.
-    later = F.when(
-        (home < n - 1) & (first_of(home + 1) - row <= halo),
-        F.filter(F.sequence(home + 1, F.lit(n - 1)), lambda t: first_of(t) - row <= halo),
-    )
-    targets = F.concat(F.array(home), F.coalesce(later, F.array().cast("array<int>")))
-    copies = sliced.withColumn("_row", F.col("_place") + first_of(home)).withColumn("_target", F.explode(targets))
+    numbered = parts.withColumn("_row", F.col("_place") + F.element_at(start, F.col("_part") + 1))
+    # Rows are numbered without gaps, so slices are cut by number; few rows have a later one within reach.
+    home, last = F.expr(f"_row div {slice_rows}"), F.expr(f"(_row + {halo}) div {slice_rows}")
+    within = F.least(last, F.lit((first[-1] - 1) // slice_rows).cast("bigint"))
+    copies = numbered.withColumn("_slice", home).withColumn("_target", F.explode(F.sequence(home, F.greatest(home, within))))
     window = Window.partitionBy("_target").orderBy("_row")
     found = columns(window)
     return copies.withColumns(found).where("_target = _slice").select(*df.columns, *found)
