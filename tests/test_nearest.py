@@ -77,3 +77,15 @@ def test_letters_of_one_side_alone_leave_nothing_to_score():
     left, right = side([t + "ⵣ" * 50 for t in titles], 1024), side([t + u for t, u in zip(titles, titles[1:])], 1024)
     *_, met, scored = nearest.best_partners(left, right, 80.0)
     assert scored == 0
+
+
+def test_long_titles_are_ruled_out_by_their_beginning_without_sorting(spark):
+    """A short key in a long title stays; the filter normalises a title once and sorts no words."""
+    gap = "." * 700
+    titles = ["alpha beta gamma", gap + "Beta  alpha-, " + gap + "gamma" + gap, "alpha " * 80, "a" * 24, "a" * 25, "", None, gap]
+    right = spark.createDataFrame([(i, "one", t) for i, t in enumerate(titles)], "j int, block string, other string")
+    keys = spark.createDataFrame([("alpha beta gamma",)], "_key string")
+    kept = matching._within_reach(right, "other", keys, 80.0)
+    assert [r.j for r in kept.orderBy("j").collect()] == [0, 1, 3]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 4 and "sort(" not in plan

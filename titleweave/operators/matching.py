@@ -21,6 +21,7 @@ materialised:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -37,16 +38,27 @@ from titleweave.session import hint_if_small, stage
 
 EXACT_SCORE = 100.0
 SUMS = [f"_s{i}" for i in range(len(similarity.LETTER_GROUPS) + 1)]
+# Part of a title looked at first, as a multiple of the longest key within reach; any value gives the same rows.
+BEGINNING = 1.5
 
 
-def _within_reach(rows: DataFrame, other: DataFrame, min_score: float) -> DataFrame:
-    """Rows whose key length can reach the score with some length of ``other``."""
+def _within_reach(rows: DataFrame, column: str, other: DataFrame, min_score: float) -> DataFrame:
+    """Rows whose key, made of ``column``, can reach the score with some key length of ``other``.
+
+    Sorting its words keeps a title's length, so only rows within reach are sorted. A normalised title
+    begins with its normalised beginning: a long one is ruled out by that alone.
+    """
     length = F.length("_key")
     found = other.agg(F.min(length).alias("low"), F.max(length).alias("high")).first()
     if found.low is None:
         return rows.limit(0)
-    low, high = similarity.length_reach(min_score, found.low)[0], similarity.length_reach(min_score, found.high)[1]
-    return rows.where(length.between(low, high))
+    low = math.ceil(similarity.length_reach(min_score, found.low)[0])
+    high = math.floor(similarity.length_reach(min_score, found.high)[1])
+    start = F.substring(F.col(column), 1, int(BEGINNING * high) + 1)
+    begins = F.length(text.normalize_title(start)) <= high
+    # One comparison: a filter makes the title anew for each of two.
+    middle = F.length(text.normalize_title(F.col(column))) * 2 - (low + high)
+    return rows.where(begins).where(F.abs(middle) <= high - low)
 
 
 def _fold_titles(left: DataFrame, right: DataFrame, block: str, first: list[str]) -> DataFrame:
@@ -233,10 +245,12 @@ def fold_keys(
     min_score: float,
 ) -> DataFrame:
     """Staged distinct keys of each block: ``_wanted`` on the left, first ``_match`` on the right."""
-    usable = f"{block} is not null and _key is not null"
-    wanted = left.select(block, _title_key(left_text).alias("_key")).filter(usable)
-    offered = right.select(block, _title_key(right_text).alias("_key"), *right_order).filter(usable)
-    offered = _within_reach(offered, wanted, min_score)
+    # A key is null only if its title is.
+    left = left.where(F.col(block).isNotNull() & F.col(left_text).isNotNull())
+    right = right.where(F.col(block).isNotNull() & F.col(right_text).isNotNull())
+    wanted = stage(left.select(block, _title_key(left_text).alias("_key")), "wanted-keys")
+    offered = _within_reach(right, right_text, wanted, min_score)
+    offered = offered.select(block, _title_key(right_text).alias("_key"), *right_order)
     return stage(_fold_titles(wanted, offered, block, right_order), "folded-titles")
 
 
