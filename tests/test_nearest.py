@@ -79,6 +79,23 @@ def test_letters_of_one_side_alone_leave_nothing_to_score():
     assert scored == 0
 
 
+@pytest.mark.parametrize("size", [20, 64, 100])
+def test_matches_that_cost_places_do_not_count_as_won(size):
+    """At any point of the recurrence: never below the outcome, and what a table of all cuts gives."""
+    rng = random.Random(size)
+    for _ in range(30):
+        a, b = ("".join(rng.choices("abcd", k=rng.randint(size // 2, size))) for _ in range(2))
+        words, step = (len(a) - 1) // 64 + 1, rng.randint(1, len(b))
+        state = (1 << 64 * words) - 1
+        for letter in b[:step]:
+            hit = state & sum(1 << i for i, c in enumerate(a) if c == letter)
+            state = ((state + hit) | (state - hit)) & ((1 << 64 * words) - 1)
+        parts = [np.array([state >> 64 * w & (1 << 64) - 1], np.uint64) for w in range(words)]
+        most = nearest._most(parts, np.array([len(a)]), np.array([len(b) - step]))
+        cuts = [lcs_by_table(a[:i], b[:step]) + min(len(a) - i, len(b) - step) for i in range(len(a) + 1)]
+        assert most.tolist() == [max(cuts)] and max(cuts) >= lcs_by_table(a, b)
+
+
 def test_long_titles_are_ruled_out_by_their_beginning_without_sorting(spark):
     """A short key in a long title stays; the filter normalises a title once and sorts no words."""
     gap = "." * 700

@@ -8,7 +8,9 @@ All pairs of two bins of keys are held against proven bounds; what may reach the
   keys differ never exceed the insertions and deletions between them, whichever columns are
   taken, so the bound of all pairs is one matrix product. The columns that tell the sides apart best are taken.
 * Pairs that pass run through the bit-parallel recurrence together and are dropped once the
-  characters left cannot make up for those missed.
+  characters left cannot make up for those missed: with r characters of the right key left, at most
+  r are still to be matched, and what matched before ends r places before the end of the left key
+  or loses as many matches there.
 
 A left key's own best score so far is its threshold, so partners found early spare later ones.
 """
@@ -26,10 +28,13 @@ _COUNTED = 64
 _LEVELS = 64
 COLUMNS = 192
 # Keys, and characters, of the blocks whose pairs are held against the bound at once.
-_LEFT_ROWS, _RIGHT_ROWS = 512, 4096
+_LEFT_ROWS, _RIGHT_ROWS = 1024, 2048
 _BLOCK_CHARACTERS = 1 << 20
-# Pairs scored at once.
+# Pairs scored at once, and the parts of the longer key after which hopeless ones are dropped.
 _SCORED = 1 << 15
+_LOOKS = (0.3, 0.4, 0.5, 0.6, 0.75, 0.9)
+# Masks of the first 0 to 64 bits.
+_BELOW = np.array([(1 << bits) - 1 for bits in range(65)], dtype=np.uint64)
 
 
 def _blocks(length: np.ndarray, rows: int) -> list[tuple[int, int]]:
@@ -118,19 +123,28 @@ def _columns(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best // _LEVELS, best % _LEVELS + 1
 
 
+def _most(state: list[np.ndarray], n: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Longest common subsequence that pairs can still come to, with ``rest`` characters of the right key to go.
+
+    Zero bits below a place are the matches with the left key up to there. Beyond place n - rest, a
+    match won is one place fewer for the rest, so what counts are the matches before it.
+    """
+    place = np.maximum(n - rest, 0)
+    got = sum(np.bitwise_count(~s & _BELOW[np.clip(place - 64 * w, 0, 64)]).astype(np.int64) for w, s in enumerate(state))
+    return got + np.minimum(rest, n)
+
+
 def _score(left: Side, lo: int, masks: list[np.ndarray], width: int, right: Side, rlo: int, codes: np.ndarray,
            i: np.ndarray, j: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (by number) whose common subsequence is at least ``floor`` characters, and its length."""
     n, m = left.length[lo + i], right.length[rlo + j]
     base, state, alive = i * width, [np.full(len(i), ~np.uint64(0)) for _ in masks], np.arange(len(i))
     steps = int(m.max(initial=0))
-    done_at = {int(steps * x) for x in (0.5, 0.62, 0.74, 0.86)}
+    done_at = {int(steps * x) for x in _LOOKS}
     for step in range(steps):
         if step and step in done_at:
-            # Bits beyond a key's end never change, so every zero bit is one matched character.
-            got = sum(np.bitwise_count(~s).astype(np.int64) for s in state)
-            keep = got + np.maximum(m - step, 0) >= floor
-            alive, base, j, m, floor = alive[keep], base[keep], j[keep], m[keep], floor[keep]
+            keep = _most(state, n, np.maximum(m - step, 0)) >= floor
+            alive, base, j, n, m, floor = alive[keep], base[keep], j[keep], n[keep], m[keep], floor[keep]
             state = [s[keep] for s in state]
         at = base + codes[step].take(j)
         carry = None
@@ -157,7 +171,7 @@ def _masks(left: Side, lo: int, hi: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Positions of each symbol in each left key, a list of machine words; the symbols."""
     span = slice(left.first[lo], left.first[hi])
     used, number = np.unique(left.symbol[span], return_inverse=True)
-    width, words = len(used) + 1, int(left.length[lo:hi].max(initial=0)) // 64 + 1
+    width, words = len(used) + 1, max(int(left.length[lo:hi].max(initial=0)) - 1, 0) // 64 + 1
     masks = [np.zeros((hi - lo) * width, dtype=np.uint64) for _ in range(words)]
     at, place = (left.owner[span] - lo) * width + number, left.place[span]
     for w in range(words):
