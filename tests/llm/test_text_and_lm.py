@@ -149,6 +149,62 @@ def test_model_is_a_distribution(documents):
         assert math.isclose((10.0**each).sum(), 1, rel_tol=1e-6)
 
 
+def word_hash(word):
+    run = next(pitman_yor.runs(pitman_yor.pa.array([word])))
+    hashes, ending = pitman_yor._words(run)
+    return int(hashes[0]), int(ending[0])
+
+
+def test_rare_words_know_each_other(spark):
+    """Every pair of words counts, beyond the words that are classes: held against plain counts."""
+    draw = np.random.default_rng(5)
+    common = [f"c{i}" for i in range(pitman_yor.FREQUENT)]
+    rare = [(f"a{i}xy", f"b{i}zy") for i in range(40)]
+    rows = []
+    for i in range(400):
+        # The rare words end alike: by classes alone, any first word goes with any second word.
+        middle = [w for k in draw.permutation(40)[:2] for w in rare[k]]
+        rows.append((i, " ".join([*draw.choice(common, 60), *middle, *draw.choice(common, 40)])))
+    together, apart = [k for k in range(10_000, 11_000) if zlib.crc32(str(k).encode()) % 10 == 0][:2]
+    rows += [(together, "a1xy b1zy a2xy b2zy"), (apart, "a1xy b2zy a2xy b1zy"), (20_000, "new a1xy other"), (20_001, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    training = df.where(~pitman_yor.held_out("doc_id", 10))
+    model = pitman_yor.fit(training, stage(pitman_yor.word_counts(training), "words"))
+
+    texts = {i: ["", *(t or "").split(), ""] for i, t in rows}
+    learnt = [texts[i] for i, _ in rows if zlib.crc32(str(i).encode()) % 10]
+    words = Counter(w for t in learnt for w in t[1:])
+    pairs = Counter(p for t in learnt for p in zip(t, t[1:]))
+    kinds = Counter(u for u, _ in pairs)
+    once, twice = (sum(n == k for n in pairs.values()) for k in (1, 2))
+    rank = dict(zip(model.frequent.tolist(), model.rank.tolist()))
+
+    def klass(word):
+        return pitman_yor.END if word == "" else rank.get(word_hash(word)[0], word_hash(word)[1])
+
+    def chance(u, w):
+        k = klass(w)
+        base = 10.0 ** (float(model.log_class[klass(u), k]) + float(model.log_word(np.array([k]), np.array([words[w]]))[0]))
+        d = pitman_yor._discount(once, twice)
+        new = (pitman_yor.STRENGTH + d * kinds[u]) * base
+        return (max(pairs[u, w] - d, 0) + new) / (pitman_yor.STRENGTH + words[u])
+
+    want = {i: sum(math.log10(chance(u, w)) for u, w in zip(t, t[1:])) for i, t in texts.items()}
+    for size in (1 << 24, 3_000):  # one chunk and part, and many
+        got = {r.doc_id: r.score for r in pitman_yor.score_texts(df, chunk_bytes=size).collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[i], want[i], rel_tol=1e-5) for i in want)
+        assert got[together] > got[apart] + 2
+    # What follows a rare word sums to one, the unseen words of each class counted as one.
+    assert not set(rank) & {word_hash(w)[0] for w in ("a1xy", "b1zy")}
+    unseen = {c: 10.0 ** float(model.log_word(np.array([c]), np.array([0]))[0]) for c in range(pitman_yor.FREQUENT, pitman_yor.END)}
+    d = pitman_yor._discount(once, twice)
+    left = (pitman_yor.STRENGTH + d * kinds["a1xy"]) / (pitman_yor.STRENGTH + words["a1xy"])
+    rest = left * sum(10.0 ** float(model.log_class[klass("a1xy"), c]) * p for c, p in unseen.items())
+    empty_classes = left * sum(10.0 ** float(model.log_class[klass("a1xy"), c]) for c in range(len(model.frequent), pitman_yor.FREQUENT))
+    assert math.isclose(sum(chance("a1xy", w) for w in words) + rest + empty_classes, 1, rel_tol=1e-4)
+
+
 def test_seating_follows_the_restaurant():
     """Mean tables of one dish alone: the expectation of a Pitman-Yor restaurant."""
     n, discount, strength = 200, 0.5, 5.0
