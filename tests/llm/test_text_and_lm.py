@@ -205,6 +205,52 @@ def test_rare_words_know_each_other(spark):
     assert math.isclose(sum(chance("a1xy", w) for w in words) + rest + empty_classes, 1, rel_tol=1e-4)
 
 
+def test_pairs_of_a_chunk_are_numbered_by_words(monkeypatch):
+    """Pairs are told apart by their words, not by a hash, and scored once each, whatever the order of the rows."""
+    texts = [(i, " ".join(f"w{k}" for k in np.random.default_rng(i).integers(0, 30, 200))) for i in range(20)]
+    plain = {p for _, t in texts for p in zip(["", *t.split()], [*t.split(), ""])}
+    hot = np.array([pitman_yor.END_HASH])
+
+    def chunk(rows):
+        ids, own = zip(*rows)
+        return pitman_yor.pa.table({"doc_id": ids, "text": own, "train": [True] * len(ids), "chunk": np.zeros(len(ids), np.int32)})
+
+    asked = pitman_yor._ask(hot, 3)(chunk(texts))
+    assert asked.equals(pitman_yor._ask(hot, 3)(chunk(texts[::-1])))
+    answers = [pitman_yor._answer(hot)(asked.filter(pitman_yor.pc.equal(asked.column("part"), n))) for n in range(3)]
+    sent = pitman_yor.pa.concat_tables(answers)
+    rows, facts = (sent.filter(f(sent.column("chunk"))) for f in (pitman_yor.pc.is_valid, pitman_yor.pc.is_null))
+    whole = np.sum(facts.column("sums").to_pylist(), axis=0)
+    last = {f.name: pitman_yor.pa.nulls(1, f.type) for f in sent.schema} | {"sums": pitman_yor.pa.array([whole.tolist()])}
+    told = pitman_yor.pa.concat_tables([rows, pitman_yor.pa.table(last)])
+    n = pitman_yor.CLASSES
+    model = pitman_yor.Model(np.empty(0, np.int64), np.empty(0, np.int64), np.full((n, n), -3.0, np.float32),
+                             np.full(n, 0.5), np.full(n, 900.0), np.full(n, 30.0), 4020, 31)
+    scored, chance = [], pitman_yor._chance
+    monkeypatch.setattr(pitman_yor, "_chance", lambda seen, *rest: scored.append(len(seen)) or chance(seen, *rest))
+    score = pitman_yor._score(model, hot, np.array([20]), 3)
+    found = [score(chunk(r), told).sort_by("doc_id") for r in (texts, texts[::-1])]
+    assert found[0].equals(found[1]) and scored == [len(plain)] * 2
+    monkeypatch.setattr(pitman_yor, "_pair_keys", lambda before, word: np.zeros(len(word), np.uint64))
+    assert len(pitman_yor._pairs(chunk(texts), hot, 3).key) == len(plain)
+
+
+def test_openings_are_sorted_once_a_block(monkeypatch):
+    """A block is drawn and sorted, then the seating: nothing is sorted to weigh either."""
+    draw, calls, plain = np.random.default_rng(4), [], seating._sorted
+    counts, group, parent = np.array([900, 40, 7]), np.zeros(3, np.int64), np.array([0.2, 0.3, 0.1])
+    now = seating.extend(None, counts, group, parent, 0.5, 5.0, draw)
+    monkeypatch.setattr(seating, "_sorted", lambda *columns: calls.append(1) or plain(*columns))
+    seating.sweep(now, counts, group, parent, 0.5, 5.0, draw)
+    assert len(calls) == 2 * 9  # blocks of a row of 900: halves down to its second customer
+    for most in (1000, 2**62):  # as one number, and as two columns
+        dish, when = draw.integers(0, 50, 300), draw.integers(1, most, 300)
+        found, order = plain(dish, when), np.lexsort((when, dish))
+        assert (found.dish == dish[order]).all() and (found.when == when[order]).all()
+    x = np.array([1e-9, 1e-3, 0.5, 3.0, 70.0, 1e6, 1e12])
+    assert np.allclose(seating.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-9, atol=1e-9)
+
+
 def test_seating_follows_the_restaurant():
     """Mean tables of one dish alone: the expectation of a Pitman-Yor restaurant."""
     n, discount, strength = 200, 0.5, 5.0
