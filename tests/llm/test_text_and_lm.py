@@ -205,6 +205,79 @@ def test_rare_words_know_each_other(spark):
     assert math.isclose(sum(chance("a1xy", w) for w in words) + rest + empty_classes, 1, rel_tol=1e-4)
 
 
+def test_words_are_seated_and_classes_seat_their_tables(spark, monkeypatch):
+    """The registered query's model: scores by the tables of every pair, held against plain counts."""
+    draw = np.random.default_rng(8)
+    words = [f"w{i}{e}" for i in range(900) for e in ("xy", "zy")]
+    chances = 1 / np.arange(1, len(words) + 1) ** 0.9
+    rows = [(i, " ".join(draw.choice(words, 80, p=chances / chances.sum()))) for i in range(300)]
+    rows += [(1000 + i, "w899xy w899zy " * 6) for i in range(20)] + [(2000, "new w899xy other"), (2001, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    training = df.where(~pitman_yor.held_out("doc_id", 10))
+    learnt = [["", *(t or "").split(), ""] for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    seen, pairs = Counter(w for t in learnt for w in t[1:]), Counter(p for t in learnt for p in zip(t, t[1:]))
+    once, twice = (sum(n == k for n in pairs.values()) for k in (1, 2))
+    customers, recount = [], pitman_yor._Classes.recount
+    monkeypatch.setattr(pitman_yor._Classes, "recount", lambda self, counts: (
+        customers.append(counts.agg({"count": "sum"}).first()[0]), recount(self, counts)))
+    size = sum(len(t or "") for _, t in rows)
+    for chunk_bytes in (1 << 24, 20_000):  # one part, and four that share the pairs of frequent words
+        customers.clear()
+        parts = -(-size // (2 * chunk_bytes))
+        model, tables, sums_of, samples = pitman_yor.fit_words(training, stage(pitman_yor.word_counts(training), "words"), parts)
+        assert len(customers) == pitman_yor.ROUNDS - 1 and all(len(pairs) < n < sum(pairs.values()) for n in customers)
+        hot = np.sort(np.append(model.frequent, pitman_yor.END_HASH))
+        whole = pitman_yor.pa.table({"text": [t for i, t in rows if zlib.crc32(str(i).encode()) % 10]})
+        p, name = pitman_yor._pairs(whole, hot, parts), {word_hash(w)[0]: w for w in seen if w} | {int(pitman_yor.END_HASH): ""}
+        sent = pitman_yor._pair_keys(p.distinct[p.before], p.key & np.uint64((1 << 48) - 1))
+        many = sorted((int(p.part[n]), p.before[n], sent[n], name[int(p.distinct[p.before[n]])], name[int(p.distinct[p.follower[n]])])
+                      for n in range(len(p.key)) if np.bincount(p.pair)[n] > 1)
+        found = {r.part: pitman_yor._counted(pitman_yor.pa.table({k: [r[k]] for k in ("sums", "sums_large")}), "sums") for r in tables.collect()}
+        sums = dict(zip([m[3:] for m in many], np.concatenate([found[k] for k in sorted(found)]).tolist(), strict=True))
+        assert sums.keys() == {k for k, n in pairs.items() if n > 1} and all(samples <= sums[k] <= samples * pairs[k] for k in sums)
+        assert sum(sums.values()) > samples * len(sums)  # not the least seating
+        mean = {k: sums.get(k, samples) / samples for k in pairs}
+        rank, every = dict(zip(model.frequent.tolist(), model.rank.tolist())), Counter()
+        for (u, _), t in mean.items():
+            every[u] += t
+        assert np.allclose([every[name[int(h)]] * samples for h in hot], sums_of[:-2]) and sums_of[-2:].tolist() == [once, twice]
+
+        def klass(word):
+            return pitman_yor.END if word == "" else rank.get(word_hash(word)[0], word_hash(word)[1])
+
+        def chance(u, w):
+            k, d = klass(w), pitman_yor._discount(once, twice)
+            base = 10.0 ** (float(model.log_class[klass(u), k]) + float(model.log_word(np.array([k]), np.array([seen[w]]))[0]))
+            return (pairs[u, w] - d * mean.get((u, w), 0) + (pitman_yor.STRENGTH + d * every[u]) * base) / (pitman_yor.STRENGTH + seen[u])
+
+        want = {i: sum(math.log10(chance(u, w)) for u, w in zip(["", *(t or "").split()], [*(t or "").split(), ""])) for i, t in rows}
+        got = {r.doc_id: r.score for r in pitman_yor.score_texts(df, chunk_bytes=chunk_bytes, seated=True).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-5) for i in want)
+
+
+def test_seated_words_of_odd_rows(spark, odd, empty):
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    for size in (1 << 24, 100_000):
+        agree(pitman_yor.score_texts(odd, chunk_bytes=size, seated=True).select(names).collect(), [r[:2] for r in odd_rows()])
+    assert pitman_yor.score_texts(empty, seated=True).count() == 0
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0)
+    unknown = pitman_yor.score_texts(spark.createDataFrame([(held, "a b")], "doc_id bigint, text string"), seated=True).collect()
+    assert unknown[0].n_known == unknown[0].train_tokens == 0 and unknown[0].n_tokens == 3
+
+
+def test_few_customers_follow_the_law_of_seatings():
+    for counts, parent, discount, strength in (((30, 12), (0.05, 0.3), 0.5, 5.0), ((2, 2), (0.1, 0.2), 0.8, 5.0), ((32, 6), (0.3, 0.2), 0.7, 1.0)):
+        n, draw, total = 2000, np.random.default_rng(6), 0
+        home = (np.tile(counts, n), np.repeat(np.arange(n), 2), np.tile(parent, n), discount, strength, draw)
+        tables = np.ones(2 * n, np.int64)
+        for turn in range(25):
+            around = np.bincount(home[1], tables).astype(np.int64)
+            tables = seating.reseat_few(tables, *home, around)
+            assert (around == np.bincount(home[1], tables)).all()
+            total = total + tables.reshape(-1, 2).mean(axis=0) * (turn >= 5)
+        assert np.allclose(total / 20, tables_by_enumeration(counts, parent, discount, strength), rtol=0.02)
+
+
 def test_pairs_of_a_chunk_are_numbered_by_words(monkeypatch):
     """Pairs are told apart by their words, not by a hash, and scored once each, whatever the order of the rows."""
     texts = [(i, " ".join(f"w{k}" for k in np.random.default_rng(i).integers(0, 30, 200))) for i in range(20)]
