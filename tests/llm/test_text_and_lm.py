@@ -308,6 +308,16 @@ def test_pairs_of_a_chunk_are_numbered_by_words(monkeypatch):
     assert len(pitman_yor._pairs(chunk(texts), hot, 3).key) == len(plain)
 
 
+def test_pairs_are_numbered_alike_at_any_width():
+    draw = np.random.default_rng(9)
+    for most in (1, 2, 700, 2**31):  # with the place in one number, and without
+        for size in (0, 1, 5000):
+            first, second = draw.integers(0, most, size), draw.integers(0, most, size)
+            before, after, pair = pitman_yor._numbered_pairs(first, second, most)
+            assert list(zip(before, after)) == sorted(set(zip(first, second)))
+            assert (before[pair] == first).all() and (after[pair] == second).all()
+
+
 def test_openings_are_sorted_once_a_block(monkeypatch):
     """A block is drawn and sorted, then the seating: nothing is sorted to weigh either."""
     draw, calls, plain = np.random.default_rng(4), [], seating._sorted
